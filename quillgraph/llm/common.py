@@ -174,3 +174,30 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+# -- groups in sorted partitions -----------------------------------------------------------------------------------
+
+
+def runs(parts: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Split batches that come sorted by key into one table for each key; a run may go over several batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in parts:
+        if not b.num_rows:
+            continue
+        k = b.column(key).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1), len(k)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if held and k[i] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(i, j - i))
+            last = k[i]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def in_runs(df: DataFrame, key: str) -> DataFrame:
+    """All rows of a key in one partition, side by side, for runs()."""
+    return df.repartition(key).sortWithinPartitions(key)
