@@ -27,7 +27,17 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillgraph-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()  # the shuffles behind the table are of no more use: Spark's cleaner drops them once they are garbage
+    out = spark.read.schema(df.schema).parquet(path)
+    out._durable_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table of durable() that nothing will read again."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._durable_path)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def batches(spark: SparkSession, rows: int = 1000) -> None:

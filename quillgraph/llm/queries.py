@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, quality, urls
+from . import mixing, neardup, quality, repeats, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_minhash_neardup, op5_url_filter, op9_quality_rules, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_minhash_neardup, op5_url_filter, op8_suffix_dedup, op9_quality_rules, op10_mixing)}
 
 ORACLE: dict[str, str] = {
     "op5_url_filter": r"""
