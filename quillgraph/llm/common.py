@@ -211,3 +211,37 @@ def runs(parts: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 def in_runs(df: DataFrame, key: str) -> DataFrame:
     """All rows of a key in one partition, side by side, for runs()."""
     return df.repartition(key).sortWithinPartitions(key)
+
+
+class Encoded:
+    """Ids of every different segment seen, a bounded number; texts are then a gather. encode: list of segments to lists of ids."""
+
+    def __init__(self, encode, most: int = 300_000):
+        self.encode, self.most = encode, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.row: dict[bytes, int] = {}
+        self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def __call__(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all the segments in a row, how many of each)."""
+        if len(self.row) > self.most:
+            self._clear()
+        rows = np.array([*map(self.row.get, segments)], np.float64)  # None becomes nan
+        if (none := np.isnan(rows)).any():
+            new = list(dict.fromkeys(segments[i] for i in np.flatnonzero(none)))
+            ids = self.encode(new)
+            for s in new:
+                self.row[s] = len(self.row)
+            self.at = np.append(self.at, self.at[-1] + np.cumsum([*map(len, ids)]))
+            self.flat = np.append(self.flat, np.fromiter((x for y in ids for x in y), np.int32))
+            rows = np.array([*map(self.row.get, segments)])
+        return gather(self.flat, self.at, rows.astype(np.int64))
+
+
+def gather(flat: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """flat[at[r]:at[r + 1]] for each r of rows, in a row, and their lengths."""
+    size = at[rows + 1] - at[rows]
+    end = size.cumsum()
+    return flat[np.arange(end[-1] if len(end) else 0) + np.repeat(at[rows] - (end - size), size)], size
