@@ -216,7 +216,7 @@ def in_runs(df: DataFrame, key: str) -> DataFrame:
 class Encoded:
     """Ids of every different segment seen, a bounded number; texts are then a gather. encode: list of segments to lists of ids."""
 
-    def __init__(self, encode, most: int = 300_000):
+    def __init__(self, encode, most: int = 500_000):
         self.encode, self.most = encode, most
         self._clear()
 
