@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, quality, repeats, scoring, subwords, toxicity, urls
+from . import extract, mixing, neardup, quality, repeats, scoring, subwords, toxicity, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +30,18 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(_table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -51,7 +59,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op3_minhash_neardup, op4_sentencepiece, op5_url_filter, op7_toxicity, op8_suffix_dedup, op9_quality_rules, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_html_extraction, op3_minhash_neardup, op4_sentencepiece, op5_url_filter, op6_embedding_neardup, op7_toxicity, op8_suffix_dedup, op9_quality_rules, op10_mixing)}
 
 ORACLE: dict[str, str] = {
     "op5_url_filter": r"""
