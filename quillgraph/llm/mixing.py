@@ -87,4 +87,6 @@ def materialise(docs: DataFrame, taken: DataFrame) -> DataFrame:
     copies = F.concat(F.when(whole > 0, F.array_repeat(F.lit(-1), whole)).otherwise(F.array().cast("array<int>")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
     rows = docs.join(t, docs["doc_id"].eqNullSafe(t["_id"])).withColumn("_cut", F.explode(copies))
     words = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.greatest(F.col("_cut"), F.lit(1))), " ")
-    return rows.select(*[F.when(F.col("_cut") < 0, F.col("text")).otherwise(words).alias("text") if c == "text" else docs[c] for c in docs.columns])
+    text = F.when(F.col("_cut") < 0, F.col("text")).otherwise(words)
+    chars = F.when(F.col("_cut") < 0, F.col("n_chars")).otherwise(F.length(text)) if "n_chars" in docs.columns else None
+    return rows.select(*[text.alias(c) if c == "text" else chars.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else docs[c] for c in docs.columns])

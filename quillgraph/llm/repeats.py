@@ -367,3 +367,35 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     by = spans.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     rows = contexts.where("anchor IS NULL").select("doc", "doc_id", "body", "n_bytes", "sha")
     return _cut(rows.join(by, "doc", "left").select("doc_id", "body", "n_bytes", "sha", "spans"))
+
+
+def rewrite(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, without their repeated bytes; what a cut leaves of a broken character goes too, and n_chars follows the text."""
+    _, spans = repeated_spans(docs)
+    by = spans.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("_spans")).withColumnRenamed("doc", "_doc")
+    names = docs.columns
+    where, count = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def run(parts):
+        for b in parts:
+            spans = b.column(b.num_columns - 1)
+            hit = np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False))
+            columns = b.columns[:-1]
+            if len(hit):
+                texts = columns[where].to_pylist()
+                sizes = columns[count].to_pylist() if count is not None else None
+                for i in hit.tolist():
+                    at = spans[i].values
+                    lo, hi = (at.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (0, 1))
+                    _, lo, hi = _spans(np.zeros(len(lo), np.int64), lo, hi)
+                    text = texts[i].encode()
+                    texts[i] = b"".join(text[x:y] for x, y in zip([0, *hi.tolist()], [*lo.tolist(), len(text)], strict=True)).decode("utf-8", "ignore")
+                    if sizes is not None:
+                        sizes[i] = len(texts[i])
+                columns[where] = pa.array(texts, columns[where].type)
+                if sizes is not None:
+                    columns[count] = pa.array(sizes, columns[count].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    held = docs.withColumn("_doc", F.xxhash64("doc_id", "text")).join(by, "_doc", "left").select(*docs.columns, "_spans")
+    return held.mapInArrow(run, docs.schema)
