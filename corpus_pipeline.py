@@ -1,15 +1,49 @@
-"""The corpus pipeline: documents through the operators of quillgraph.llm."""
+"""The corpus pipeline: documents through five operators of quillgraph.llm, each stage working on all that the one before it kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from quillgraph.llm import mixing, neardup, repeats, subwords, toxicity
+from quillgraph.llm.common import durable
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that the model rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.keep(docs, toxicity.fit(docs, labels))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: one document of each group stays."""
+    return neardup.deduplicate(docs)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup: repeated passages are cut out of the texts; every document stays."""
+    return repeats.rewrite(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: documents as often as their source's target takes them."""
+    return mixing.materialise(docs, mixing.mix(docs))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece: ids of each text of the mix."""
+    return subwords.encode(docs)
+
+
+STAGES = [("toxicity", clean), ("near-duplicates", distinct), ("repeated passages", unrepeated), ("mixing", mixed), ("subwords", encoded)]
+
+#: The stages hold a trained model and a public vocabulary, which SQL can't express; tests compare the pipeline with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = durable(docs)
     return docs
