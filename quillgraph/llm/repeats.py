@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, batches, drop, durable, in_runs, mix, pieces, prefix_hash, range_hash, runs
+from .common import as_long, batches, drop, durable, in_runs, mix, pieces, prefix_hash, range_hash, raw, runs
 
 LENGTH, K, BUCKET = 200, 96, 256
 
@@ -74,23 +74,23 @@ _CTX = "doc long, doc_id long, anchor long, lo int, hi int, c1 long, c2 long, bo
 
 
 def _anchors(texts: DataFrame) -> DataFrame:
-    """doc, anchor, lo, hi: stretches by position in the text."""
+    """doc, anchor, place: stretches by position in the text, first window start * 256 + last - first (packed: rows are many)."""
 
     def run(parts):
         for b in parts:
             for i, j, data, at in pieces(b.column(1), 1_000_000):
                 row, anchor, lo, hi = stretches(data, at)
                 base = at[:-1][row]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).take(pa.array(row)), as_long(anchor), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32))], names=["doc", "anchor", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).take(pa.array(row)), as_long(anchor), pa.array((lo - base) * 256 + hi - lo)], names=["doc", "anchor", "place"])
 
-    return texts.select("doc", "text").mapInArrow(run, "doc long, anchor long, lo int, hi int")
+    return texts.select("doc", "text").mapInArrow(run, "doc long, anchor long, place long")
 
 
 def _packed(texts: DataFrame) -> DataFrame:
     """The texts compressed one by one, for a lighter shuffle."""
 
     def run(parts):
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=3)
         for b in parts:
             z = [pack.compress(x.as_buffer()) if x.is_valid else pack.compress(b"") for x in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z, pa.binary())], names=["doc", "doc_id", "z"])
@@ -128,7 +128,8 @@ def _contexts(held: DataFrame, length: int = LENGTH) -> DataFrame:
                 doc, some = b.column(0).slice(i, j - i), b.column(3).slice(i, j - i)
                 flat = some.flatten()
                 of = np.repeat(np.arange(j - i), some.value_lengths().to_numpy(zero_copy_only=False))
-                anchor, lo, hi = (flat.field(x).to_numpy(zero_copy_only=False) for x in range(3))
+                anchor, place = (flat.field(x).to_numpy(zero_copy_only=False) for x in range(2))
+                lo, hi = (place // 256).astype(np.int32), (place // 256 + place % 256).astype(np.int32)
                 start, end = at[:-1][of] + lo, at[:-1][of] + hi + length
                 size = mix((end - start).astype(np.uint64))
                 c1, c2 = range_hash(prefix_hash(data), start, end) ^ size, range_hash(prefix_hash(_FLIP[data]), start, end) + size
@@ -277,10 +278,10 @@ def _spans(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
 def _bucket_spans(buckets: DataFrame, length: int = LENGTH, most: int = 1_000_000) -> DataFrame:
     """buckets: bucket, doc, lo, lone (its context has no copy), split (its anchor has other buckets), body.
 
-    Gives doc, lo, hi for what repeats cover; and of split buckets, with k1 and k2 set, a row for each different window: doc and place
-    if nothing here equals it, else doc null.
+    Gives doc, lo, hi for what repeats cover; and of split buckets, with body set, the contexts that hold the first of each different
+    window: by window start in `state`, 1 if nothing here equals it, 2 if something does, 0 for those that another context holds.
     """
-    names = ["doc", "lo", "hi", "k1", "k2"]
+    names = ["doc", "lo", "hi", "body", "state"]
 
     def solve(tables):
         t = pa.concat_tables(tables)
@@ -289,13 +290,16 @@ def _bucket_spans(buckets: DataFrame, length: int = LENGTH, most: int = 1_000_00
         data, row, at, group, several, reach = _covered(bodies, length)
         hit = (reach > 0) & lone[row]
         d, lo, hi = _spans(doc[row[hit]], base[row[hit]] + at[hit], base[row[hit]] + at[hit] + reach[hit])
-        yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.int64())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.nulls(len(d), pa.binary()), pa.nulls(len(d), pa.binary())], names=names)
         first = np.append(True, group[1:] != group[:-1]) & split[row]
         if first.any():
-            row, at, known = row[first], at[first], (several | ~lone[row])[first]
-            start = np.append(0, np.cumsum([*map(len, bodies)]))[row] + at
-            k1, k2 = range_hash(prefix_hash(data), start, start + length), range_hash(prefix_hash(_FLIP[data]), start, start + length)
-            yield pa.RecordBatch.from_arrays([pa.array(doc[row], mask=known), pa.array((base[row] + at).astype(np.int32)), pa.array((base[row] + at + length).astype(np.int32)), as_long(k1), as_long(k2)], names=names)
+            bounds = np.append(0, np.cumsum([*map(len, bodies)]))
+            state = np.zeros(bounds[-1], np.uint8)
+            state[bounds[row[first]] + at[first]] = np.where(several | ~lone[row], 2, 1)[first]
+            some = np.flatnonzero(np.add.reduceat(state, bounds[:-1], dtype=np.int64))
+            marks = [state[bounds[i] : bounds[i + 1]].tobytes() for i in some]
+            none = pa.nulls(len(some), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(base[some].astype(np.int32)), none, t.column("body").combine_chunks().take(pa.array(some)), pa.array(marks, pa.binary())], names=names)
 
     def run(parts):
         held, size = [], 0
@@ -308,7 +312,24 @@ def _bucket_spans(buckets: DataFrame, length: int = LENGTH, most: int = 1_000_00
         if held:
             yield from solve(held)
 
-    return in_runs(buckets, "bucket").mapInArrow(run, "doc long, lo int, hi int, k1 long, k2 long")
+    return in_runs(buckets, "bucket").mapInArrow(run, "doc long, lo int, hi int, body binary, state binary")
+
+
+def _windows(split: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc, lo, hi, k1, k2: the marked windows of contexts, with their 128-bit keys; doc is null where a repeat is known already."""
+
+    def run(parts):
+        for b in parts:
+            for i, j, data, at in pieces(b.column(2)):
+                state, _ = raw(b.column(3).slice(i, j - i))
+                start = np.flatnonzero(state)
+                row = np.searchsorted(at, start, "right") - 1
+                lo = b.column(1).slice(i, j - i).to_numpy()[row] + start - at[row]
+                doc = b.column(0).slice(i, j - i).to_numpy()[row]
+                k1, k2 = range_hash(prefix_hash(data), start, start + length), range_hash(prefix_hash(_FLIP[data]), start, start + length)
+                yield pa.RecordBatch.from_arrays([pa.array(doc, mask=state[start] == 2), pa.array(lo.astype(np.int32)), pa.array((lo + length).astype(np.int32)), as_long(k1), as_long(k2)], names=["doc", "lo", "hi", "k1", "k2"])
+
+    return split.select("doc", "lo", "body", "state").repartition("doc", "lo").mapInArrow(run, "doc long, lo int, hi int, k1 long, k2 long")
 
 
 def _cut(held: DataFrame) -> DataFrame:
@@ -342,7 +363,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(F.xxhash64("doc_id", "text").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     anchors = durable(_anchors(texts))
     twice = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    some = anchors.join(twice, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "lo", "hi")).alias("some"))
+    some = anchors.join(twice, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place")).alias("some"))
     held = _packed(texts).join(some, "doc", "left").select("doc", "doc_id", "z", "some")
     contexts = durable(_contexts(held))
     drop(anchors)
@@ -355,10 +376,10 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bodies = rows.where("body IS NOT NULL").join(copies.join(various, "anchor"), ["anchor", "c1", "c2"]).where(place == F.col("pick"))
     bucket = F.xxhash64("anchor", F.pmod("c1", F.ceil(F.col("m") / BUCKET)))
     found = durable(_bucket_spans(bodies.select(bucket.alias("bucket"), "doc", "lo", (F.col("copies") == 1).alias("lone"), (F.col("m") > BUCKET).alias("split"), "body")))
-    windows = found.where("k1 IS NOT NULL")
+    windows = durable(_windows(found.where("body IS NOT NULL")))
     met = windows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     over = windows.where("doc IS NOT NULL").join(met, ["k1", "k2"]).select("doc", "lo", "hi")
-    return contexts, whole.unionByName(found.where("k1 IS NULL").select("doc", "lo", "hi")).unionByName(over)
+    return contexts, whole.unionByName(found.where("body IS NULL").select("doc", "lo", "hi")).unionByName(over)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
