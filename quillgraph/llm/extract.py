@@ -35,23 +35,27 @@ _NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert(?:s|isement|ising)?|adv|banner|breadcrumbs?|byline|comments?|comment-?list|respond|disqus|consent|cookies?|gdpr|copyright|disclaimer|footer|header|masthead|menu|nav(?:bar|igation)?|newsletter|notices?|alert|pagination|pager|popup|modal|overlay|promo(?:tion)?s?|related|recommend(?:ed|ations)?|replies|reply|reactions?|share|sharing|sidebar|side|skip|social|sponsor(?:ed|s)?|subscribe|subscription|signup|login|tags?|toolbar|tracking|widgets?|complementary|contentinfo|search)(?:$|[\s_\d-])",
     re.I,
 )
+_COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|comment-?list|respond|disqus|repl(?:y|ies)|reactions?)(?:$|[\s_\d-])", re.I)
+#: Noise that articles may stand in.
+_REPLIES = 2
 _ARTICLE = re.compile(r"(?:^|\s)(?:article-?body|post-?content|entry-?content|article-?content|story-?body|main-?content)(?:$|\s)", re.I)
 
 
 def lines(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters in links, noise, in the article) of every line that is not empty, and empty ones where noise was left out."""
     out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, noise, article
+    stack: list[tuple[str, int, bool]] = []  # element, noise, article
     words: list[str] = []
     linked: list[str] = []
     links = 0
+    seen = False
     page = _GONE.sub("", page)
 
     def close() -> None:
         text = " ".join(references.unescape("".join(words)).split())
         if text:
             top = stack[-1] if stack else ("", False, False)
-            out.append((text, len(" ".join(references.unescape("".join(linked)).split())), top[1], top[2]))
+            out.append((text, len(" ".join(references.unescape("".join(linked)).split())), bool(top[1]), top[2]))
         words.clear()
         linked.clear()
 
@@ -81,10 +85,10 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             named = " ".join(x for g in _NAMED.findall(m[3]) for x in g if x)
             _, noise, article = stack[-1] if stack else ("", False, False)
             if name in ("article", "main") or _ARTICLE.search(named):
-                # an article inside noise is a reader's comment or a teaser; a mark left open before it is not
-                noise, article = noise and article, True
+                # inside noise, the first on a page follows a mark left open; a later one is a reader's comment or a teaser
+                noise, article, seen = noise and (article or seen or noise == _REPLIES), True, True
             if name in _NEVER or (name == "header" and not article) or (name != "body" and _NOISE.search(named)):
-                noise = True
+                noise = _REPLIES if noise == _REPLIES or _COMMENTS.search(named) else True
             stack.append((name, noise, article))
     if at < len(page):
         words.append(page[at:] if "<" not in page[at:] else page[at : at + page[at:].index("<")])
