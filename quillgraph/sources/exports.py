@@ -15,7 +15,7 @@ PACKAGE_COLUMNS = ("Directory Name", "Package Name", "Prefixes", "VDL ID", "File
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """line_no, raw. Numbers rise in the order of lines within a file, and aren't dense; bytes that aren't UTF-8 are dropped."""
     text = spark.read.text(path)
-    return text.select(F.monotonically_increasing_id().alias("line_no"), F.replace("value", F.lit("�"), F.lit("")).alias("raw"))
+    return text.select(F.monotonically_increasing_id().alias("line_no"), F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit("")).alias("raw"))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
