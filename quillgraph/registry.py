@@ -14,6 +14,7 @@ from .functions.packages import prefixes
 from .operators import edges as E
 from .operators import paths as W
 from .operators import records as R
+from .operators import routines as M
 from .operators import upsert as U
 from .plans import build as B
 from .plans import questions as Q
@@ -61,8 +62,9 @@ def _sql(body: str) -> str:
                 visit(_RECORDS[k])
 
     visit(body)
-    order = [k for k in _RECORDS if k in need]
-    return (f"WITH {', '.join(f'{k} AS ({_RECORDS[k]})' for k in order)} " if order else "") + body
+    parts = [f"{k} AS ({_RECORDS[k]})" for k in _RECORDS if k in need]
+    own = body.removeprefix("WITH ")
+    return f"WITH {', '.join(parts)}{', ' if own != body else ' '}{own}" if parts else body
 
 
 def query(sql: str | None) -> Callable[[Query], Query]:
@@ -372,3 +374,60 @@ _graph_query(
 def _without_tens(graph: Graph) -> Graph:
     """The graph without the files whose number ends in 0."""
     return Graph(graph.spark, graph.node_frames | {"File": graph.nodes("File").where(~F.col("number").endswith("0") | F.col("number").contains("."))}, graph.edge_frames)
+
+
+# -- routine sources (D1, D2, D4-D6, D9, D17), here over documents and rendered sources ------------------------------------------
+
+_SOURCE = "'R' || (c_custkey % 97) || 'X ;; header' || chr(10) || 'EN' || c_custkey || '(A,B) ;start' || chr(10) || ' S X=' || c_custkey || ' D TAG^DIC(2,0) ;set' || chr(10) || ' Q $$F(\"A\")' || chr(10) || CASE WHEN c_custkey % 2 = 0 THEN 'TAG ; note' ELSE ' ; no label' END"
+_SOURCES = f"SELECT CASE WHEN c_custkey % 3 = 0 THEN 'N' ELSE 'Y' END || c_custkey AS routine, {_SOURCE} AS text FROM customer"
+
+
+def _sources(spark: SparkSession, sf: str) -> DataFrame:
+    return M.lines_of(spark.sql(_SOURCES.replace("FROM customer", "FROM {customer}"), customer=spark.read.parquet(f"{sf}/customer.parquet")))
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return M.lines_of(docs.select(F.col("doc_id").cast("string").alias("routine"), "text"))
+
+
+@query(
+    f"""WITH s AS ({_SOURCES}) SELECT routine, 'EN' || substr(routine, 2) AS label, CAST(2 AS INT) AS line_no, 'A|B' AS parameters, 'start' AS comment, true AS is_entry_point FROM s
+    UNION ALL SELECT routine, 'TAG', 5, '', 'note', false FROM s WHERE contains(text, 'TAG ;')"""
+)
+def routine_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return M.labels(_sources(spark, sf)).withColumn("parameters", F.array_join("parameters", "|"))
+
+
+@query(f"WITH s AS ({_SOURCES}) SELECT s.routine, arg_max(p.name, length(p.prefix)) AS package FROM s JOIN (SELECT prefix, arg_max(name, k) AS name FROM prefix_list WHERE o = 1 GROUP BY prefix) p ON starts_with(s.routine, p.prefix) GROUP BY 1")
+def routine_owners(spark: SparkSession, sf: str) -> DataFrame:
+    return M.owners(_sources(spark, sf), B.package_by_prefix(R.packages(inputs(spark, sf, "package_rows"))))
+
+
+@query(f"WITH s AS ({_SOURCES}) SELECT routine FROM s WHERE NOT EXISTS (SELECT 1 FROM prefix_list p WHERE o = 1 AND starts_with(s.routine, p.prefix))")
+def orphan_routines(spark: SparkSession, sf: str) -> DataFrame:
+    return M.orphan_routines(_sources(spark, sf), routine_owners(spark, sf))
+
+
+_LINES_OF = "SELECT routine, CAST(i AS INT) AS line_no, l[i] AS line FROM (SELECT routine, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT routine, string_split(text, chr(10)) AS l FROM ({})))"
+_COUNTS = ", ".join(f"CAST(len(regexp_extract_all(line, '{p}')) AS INT) AS {n}" for n, p in M.PATTERNS.items() if n != "symbols")
+
+
+@query(
+    f"""WITH s AS ({_LINES_OF.format(_SOURCES)}) SELECT routine, line_no, CAST(length(line) AS INT) AS length, CAST(length(line) - length(ltrim(line)) AS INT) AS indent, NOT starts_with(line, ' ') AS is_label, starts_with(line, ' ') AS is_code, starts_with(trim(line), ';') AS is_comment,
+    nullif(regexp_extract(line, '^ *([A-Z]+) ', 1), '') AS command, {_COUNTS}, CAST(length(regexp_replace(line, '[A-Za-z0-9_ ]', '', 'g')) AS INT) AS symbols FROM s"""
+)
+def line_features(spark: SparkSession, sf: str) -> DataFrame:
+    return M.features(_sources(spark, sf))
+
+
+@query(
+    f"""WITH s AS ({_LINES_OF.format("SELECT CAST(doc_id AS STRING) AS routine, text FROM documents WHERE text IS NOT NULL")}) SELECT routine, count(*) AS lines, CAST(sum(len(regexp_extract_all(line, '"[^"]*"'))) AS BIGINT) AS quoted, CAST(sum(len(regexp_extract_all(line, '[A-Z0-9$%]+='))) AS BIGINT) AS assignments FROM s GROUP BY 1"""
+)
+def document_features(spark: SparkSession, sf: str) -> DataFrame:
+    return M.roll_up(M.features(_documents(spark, sf))).select("routine", "lines", "quoted", "assignments")
+
+
+@query(f"WITH s AS ({_LINES_OF.format(_SOURCES)}) SELECT avg(CASE WHEN regexp_matches(line, '^ *[A-Z]+ ') THEN 1.0 ELSE 0.0 END) AS coverage FROM s")
+def command_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return M.coverage(M.features(_sources(spark, sf)), F.col("command").isNotNull())
