@@ -214,7 +214,7 @@ def in_runs(df: DataFrame, key: str) -> DataFrame:
 
 
 class Encoded:
-    """Ids of every different segment seen, a bounded number; texts are then a gather. encode: list of segments to lists of ids."""
+    """Ids of every different segment seen, a bounded number; texts are then a gather. encode: list of segments to (ids of all, how many of each)."""
 
     def __init__(self, encode, most: int = 500_000):
         self.encode, self.most = encode, most
@@ -231,11 +231,10 @@ class Encoded:
         rows = np.array([*map(self.row.get, segments)], np.float64)  # None becomes nan
         if (none := np.isnan(rows)).any():
             new = list(dict.fromkeys(segments[i] for i in np.flatnonzero(none)))
-            ids = self.encode(new)
-            for s in new:
-                self.row[s] = len(self.row)
-            self.at = np.append(self.at, self.at[-1] + np.cumsum([*map(len, ids)]))
-            self.flat = np.append(self.flat, np.fromiter((x for y in ids for x in y), np.int32))
+            flat, size = self.encode(new)
+            self.row.update(zip(new, range(len(self.row), len(self.row) + len(new)), strict=True))
+            self.at = np.append(self.at, self.at[-1] + np.cumsum(size))
+            self.flat = np.append(self.flat, flat.astype(np.int32))
             rows = np.array([*map(self.row.get, segments)])
         return gather(self.flat, self.at, rows.astype(np.int64))
 

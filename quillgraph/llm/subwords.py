@@ -32,6 +32,8 @@ SPACE = "▁"
 _MARK = SPACE.encode()
 #: Code points of one suffix array, about; more segments are taken in turns.
 TEXT = 400_000
+#: Stands for the code point 0 in a suffix array; no text has it.
+NUL = 2**21 - 1
 #: Longer segments are merged with a heap, one by one.
 LONG = 256
 
@@ -72,8 +74,7 @@ def _rank(key: np.ndarray) -> np.ndarray:
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions in order of their suffixes, told apart by `depth` code points (0 ends every segment and sorts first)."""
     n = len(text)
-    padded = np.append(text, np.zeros(3, text.dtype)).astype(np.uint64)
-    rank = _rank(padded[:n] << np.uint64(42) | padded[1 : n + 1] << np.uint64(21) | padded[2 : n + 2])
+    rank = _rank(packed(text))
     step = 3
     while step < depth:
         second = np.zeros(n, np.uint64)
@@ -83,25 +84,39 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
-def occurrences(text: np.ndarray, order: np.ndarray, wanted: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row of wanted (code points, padded with 0; its length in size) the range of order whose suffixes start with it."""
-    n = len(order)
-    padded = np.append(text, np.zeros(wanted.shape[1], text.dtype))
+def packed(text: np.ndarray) -> np.ndarray:
+    """Three code points from each position in one word; 0 beyond the end."""
+    n = len(text)
+    padded = np.append(text, np.zeros(3, text.dtype)).astype(np.uint64)
+    return padded[:n] << np.uint64(42) | padded[1 : n + 1] << np.uint64(21) | padded[2 : n + 2]
+
+
+def occurrences(words: np.ndarray, order: np.ndarray, wanted: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of wanted (packed code points, as masks say how many count) the range of order whose suffixes start with it.
+
+    words: packed() of the text. One binary search for all rows at once, for the first suffix that isn't before and the first that is after.
+    """
+    n, width = len(order), wanted.shape[1]
+    padded = np.append(words, np.zeros(3 * width, np.uint64))
 
     def bound(after: bool) -> np.ndarray:
         lo, hi = np.zeros(len(wanted), np.int64), np.full(len(wanted), n)
-        while (open_ := lo < hi).any():
-            mid = (lo + hi) // 2
+        for _ in range(int(n).bit_length()):
+            mid = (lo + hi) >> 1
             at = order[np.minimum(mid, n - 1)]
-            sign = np.zeros(len(wanted), np.int8)
-            for k in range(wanted.shape[1]):
-                todo = (sign == 0) & (k < size)
-                if not todo.any():
+            up = (padded[at] & masks[:, 0]) < wanted[:, 0]
+            tied = np.flatnonzero((padded[at] & masks[:, 0]) == wanted[:, 0])
+            for k in range(1, width):
+                tied = tied[masks[tied, k] != 0] if not after else tied
+                here, there = padded[at[tied] + 3 * k] & masks[tied, k], wanted[tied, k]
+                up[tied] = here < there
+                tied = tied[here == there]
+                if not len(tied):
                     break
-                here, there = padded[at + k], wanted[:, k]
-                sign[todo] = (here[todo] > there[todo]).astype(np.int8) - (here[todo] < there[todo])
-            up = open_ & ((sign <= 0) if after else (sign < 0))
-            lo, hi = np.where(up, mid + 1, lo), np.where(open_ & ~up, mid, hi)
+            if after:
+                up[tied] = True
+            up &= lo < hi
+            lo, hi = np.where(up, mid + 1, lo), np.where(up | (lo >= hi), hi, mid)
         return lo
 
     return bound(False), bound(True)
@@ -112,9 +127,11 @@ class Encoder:
         self.model = model
         self.size = np.array([*map(len, model.texts)])
         self.depth = int(self.size.max())
-        self.wanted = np.zeros((len(model.texts), self.depth), np.uint32)
+        points = np.zeros((len(model.texts), -(-self.depth // 3) * 3), np.uint64)
         for i, t in enumerate(model.texts):
-            self.wanted[i, : len(t)] = [*map(ord, t)]
+            points[i, : len(t)] = [*map(ord, t)]
+        there = np.where(np.arange(points.shape[1]) < self.size[:, None], np.uint64(2**21 - 1), np.uint64(0))
+        self.wanted, self.masks = (x[:, 0::3] << np.uint64(42) | x[:, 1::3] << np.uint64(21) | x[:, 2::3] for x in (points, there))
         self.newline_apart = not any("\n" in t for t in model.texts if len(t) > 1)
         self.spaces_first = not any(SPACE in t.lstrip(SPACE) for t in model.texts)
         if not self.spaces_first:
@@ -144,49 +161,49 @@ class Encoder:
         ends = np.append(0, of.cumsum())[np.cumsum([*map(len, split)])]
         return ids, np.diff(np.append(0, ends))
 
-    def encode_segments(self, segments: list[bytes]) -> list[list[int]]:
-        out: list[list[int]] = []
+    def encode_segments(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all segments in a row, how many of each)."""
         words = [s.decode("utf-8", "replace") for s in segments]
-        lo = size = 0
-        for hi, w in enumerate(words):
-            size += len(w) + 1
-            if size > TEXT:
-                out += self._encode(words[lo : hi + 1])
-                lo, size = hi + 1, 0
-        return out + self._encode(words[lo:]) if lo < len(words) else out
+        size = np.cumsum([len(w) + 1 for w in words])
+        done, lo = [], 0
+        while lo < len(words):
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + TEXT)))
+            done.append(self._encode(words[lo:hi]))
+            lo = hi
+        return tuple(np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, np.int32), np.zeros(0, np.int64))
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position, length, piece) of every occurrence of every piece, by position."""
         order = suffix_order(text, self.depth)
-        first, last = occurrences(text, order, self.wanted, self.size)
+        first, last = occurrences(packed(text), order, self.wanted, self.masks)
         hits = last - first
         piece = np.repeat(np.arange(len(hits)), hits)
         at = order[np.arange(hits.sum()) - np.repeat(hits.cumsum() - hits, hits) + np.repeat(first, hits)]
         by = np.argsort(at, kind="stable")
         return at[by], self.size[piece[by]], piece[by]
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        text = np.frombuffer("\0".join([w.replace("\0", "￾") for w in words]).encode("utf-32-le") + b"\0\0\0\0", np.uint32)
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        count = np.array([*map(len, words)])
+        plain = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        text = np.insert(np.where(plain == 0, NUL, plain), count.cumsum(), 0)  # 0 ends each segment
         at, size, piece = self.edges(text)
         table = np.full((len(text), self.depth + 1), -1, np.int32)  # edges by position and length
         table[at, size] = piece
-        count = np.array([*map(len, words)])
         begin = (count + 1).cumsum() - count - 1
         starts = self._relax(table, begin, count)
         # tokens of all words, in a row
-        stop = np.append(starts[1:], 0)
-        ends = np.repeat((begin + count), np.bincount(np.searchsorted(begin, starts, "right") - 1, minlength=len(words)))
-        stop = np.where((stop > starts) & (stop < ends), stop, ends)
-        found = table[starts, np.minimum(stop - starts, self.depth)]
-        out: list[list[int]] = [[] for _ in words]
-        ids = np.where(found >= 0, self.model.ids[np.maximum(found, 0)], -1)
         of = np.searchsorted(begin, starts, "right") - 1
-        for w, i, s in zip(of.tolist(), ids.tolist(), starts.tolist(), strict=True):
-            if i >= 0:
-                out[w].append(i)
-            else:  # no piece: its bytes
-                out[w].extend(self.model.byte_ids[[*words[w][s - begin[w]].encode("utf-8", "surrogatepass")]].tolist())
-        return out
+        last = np.append(of[1:] != of[:-1], True)
+        stop = np.where(last, (begin + count)[of], np.append(starts[1:], 0))
+        found = table[starts, np.minimum(stop - starts, self.depth)]
+        ids, size = self.model.ids[found], np.ones(len(found), np.int64)
+        lost = np.flatnonzero(found < 0)  # no piece: the bytes of the code point
+        if len(lost):
+            spelled = [chr(c if c != NUL else 0).encode("utf-8", "surrogatepass") for c in text[starts[lost]].tolist()]
+            size[lost] = [*map(len, spelled)]
+            ids = np.repeat(ids, size)
+            ids[np.repeat(found < 0, size)] = self.model.byte_ids[np.frombuffer(b"".join(spelled), np.uint8)]
+        return ids, np.bincount(of, size, len(words)).astype(np.int64)
 
     def _relax(self, table: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Starts of the tokens that are left, in order."""
@@ -242,6 +259,18 @@ class Encoder:
         return np.array([begin + i for i in range(n) if not gone[i]], np.int64)
 
 
+#: A worker keeps its segments from task to task, for the last model.
+_KEPT: dict[tuple, Encoder] = {}
+
+
+def encoder_of(model: Model) -> Encoder:
+    key = (len(model.texts), hash(tuple(model.texts)), model.scores.tobytes())
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Encoder(model)
+    return _KEPT[key]
+
+
 class Decoder:
     def __init__(self, model: Model):
         self.at = np.append(0, np.cumsum([*map(len, model.spelled)]))
@@ -260,7 +289,7 @@ def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the model file
 
     def run(parts):
-        encoder, decoder = Encoder(shared.value), Decoder(shared.value)
+        encoder, decoder = encoder_of(shared.value), Decoder(shared.value)
         for b in parts:
             for i, j, data, at in pieces(b.column(1), 4_000_000):
                 body = data.tobytes()
