@@ -248,7 +248,8 @@ def _covered(bodies: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     data = np.frombuffer(b"".join(bodies), np.uint8)
     owner = np.repeat(np.arange(len(bodies)), sizes)
     ends = bounds[1:][owner]
-    order, lcp = suffixes(data, ends, np.flatnonzero(np.arange(len(data)) + length <= ends), length)
+    # in full order: intervals deeper than the ranks tell would fall apart
+    order, lcp = suffixes(data, ends, np.flatnonzero(np.arange(len(data)) + length <= ends), int(sizes.max()))
     kept = _maximal(data, bounds, owner, order, intervals(lcp, length))
     reach = np.zeros(len(order), np.int64)
     if len(kept):
