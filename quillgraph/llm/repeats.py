@@ -124,7 +124,7 @@ def _contexts(held: DataFrame, length: int = LENGTH) -> DataFrame:
                 continue
             yield table(doc=b.column(0), doc_id=b.column(1), body=b.column(2))
             text = pa.array([unpack.decompress(x.as_buffer()) for x in b.column(2)], pa.binary())
-            for i, j, data, at in pieces(text, 2_000_000):
+            for i, j, data, at in pieces(text, 1_000_000):
                 doc, some = b.column(0).slice(i, j - i), b.column(3).slice(i, j - i)
                 flat = some.flatten()
                 of = np.repeat(np.arange(j - i), some.value_lengths().to_numpy(zero_copy_only=False))
@@ -276,7 +276,7 @@ def _spans(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
     return doc[first], lo[first], far[last] - base[last]
 
 
-def _bucket_spans(buckets: DataFrame, length: int = LENGTH, most: int = 1_000_000) -> DataFrame:
+def _bucket_spans(buckets: DataFrame, length: int = LENGTH, most: int = 600_000) -> DataFrame:
     """buckets: bucket, doc, lo, lone (its context has no copy), split (its anchor has other buckets), body.
 
     Gives doc, lo, hi for what repeats cover; and of split buckets, with body set, the contexts that hold the first of each different
@@ -360,7 +360,7 @@ def _cut(held: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(contexts, spans): _contexts() of the documents, and doc, lo, hi of what is to be removed, perhaps overlapping."""
-    batches(docs.sparkSession)
+    batches(docs.sparkSession, 400)  # some texts are long, and several arrays stand beside each
     texts = docs.select(F.xxhash64("doc_id", "text").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     anchors = durable(_anchors(texts))
     twice = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
