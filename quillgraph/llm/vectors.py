@@ -2,7 +2,9 @@
 
 Equal vectors are one with a weight. Centroids, fitted on a bounded sample, cut the rest into cells: every vector is indexed in the cell of
 its nearest centroid and asks in every cell where a partner may be at home. A partner y with cosine t has <y, c> = t <x, c> plus a
-random part of known spread, so a cell is asked unless c would have to gain more than MARGIN spreads on x's own centroid.
+part that is at most sqrt(1 - t^2) times what of c is not along x, so a cell is left out only where no vector that near to x can be at
+home, however the vectors are spread. As both ends of a pair would find each other, only the end in the cell of the lower number asks,
+and a pair counts for both; in a cell each asks for itself.
 
 The index holds for each vector the signs of its randomly rotated components, a bit each, and a correction factor, the inner product of the
 unit vector with its code. Divided by it, the inner product of a rotated query with the code is an unbiased estimate of the cosine, and its
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import batches, components, durable, in_runs, runs
 
 COSINE = 0.9
-#: Floats of the sample that centroids are fitted on; rounds; spreads of the margins for cells and for estimates.
-SAMPLE_FLOATS, ROUNDS, MARGIN, SURE = 1_200_000, 5, 3.0, 4.0
+#: Floats of the sample that centroids are fitted on; rounds; spreads of the margin for estimates.
+SAMPLE_FLOATS, ROUNDS, SURE = 1_200_000, 5, 4.0
 INDEX_BLOCK, QUERY_BLOCK = 256, 1024
 
 
@@ -69,13 +71,18 @@ def centroids(sample: np.ndarray, count: int, seed: int = 23) -> np.ndarray:
 
 
 def places(units: np.ndarray, cents: np.ndarray, t: float = COSINE) -> tuple[np.ndarray, np.ndarray]:
-    """(home cell of each row; rows x cells: is this cell asked)."""
+    """(home cell of each row; rows x cells: may a partner of the row be at home in this cell)."""
     near = units @ cents.T
     home = near.argmax(1)
     behind = near[np.arange(len(near)), home][:, None] - near
     apart = 2 - 2 * (cents @ cents.T)[home]  # squared distance of the two centroids, less what lies along x
-    spread = np.sqrt(np.maximum(apart - behind**2, 0) / max(units.shape[1] - 1, 1))
-    return home, behind * t <= MARGIN * math.sqrt(1 - t * t) * spread + 1e-12
+    return home, behind * t <= math.sqrt(max(1 - t * t, 0)) * np.sqrt(np.maximum(apart - behind**2, 0)) + 1e-9
+
+
+def asks(units: np.ndarray, cents: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """places(), each pair of cells asked from one side."""
+    home, may = places(units, cents, t)
+    return home, may & (np.arange(len(cents))[None, :] >= home[:, None])
 
 
 def _rows(batch: pa.RecordBatch, width: int) -> np.ndarray:
@@ -123,7 +130,7 @@ def near_duplicates(table: DataFrame, t: float = COSINE) -> DataFrame:
     def count(parts):
         home_n, ask_n = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
         for b in parts:
-            home, ask = places(_rows(b, width), cents, t)
+            home, ask = asks(_rows(b, width), cents, t)
             home_n += np.bincount(home, minlength=cells)
             ask_n += ask.sum(0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(cells)), pa.array(home_n), pa.array(ask_n)], names=["cell", "home", "ask"])
@@ -134,11 +141,11 @@ def near_duplicates(table: DataFrame, t: float = COSINE) -> DataFrame:
 
     def deal(parts):
         turn = rotation(width)
-        names = ["key", "rep", "weight", "v", "bits", "factor"]
+        names = ["key", "rep", "weight", "v", "bits", "factor", "own"]
         for b in parts:
             units = _rows(b, width)
             ids = b.column(0).to_numpy()
-            home, ask = places(units, cents, t)
+            home, ask = asks(units, cents, t)
             bits, factor = codes(units, turn)
             blobs = pa.array([x.tobytes() for x in units], pa.binary())
             # indexed once, in a block of the home cell, for each block of queries
@@ -147,7 +154,7 @@ def near_duplicates(table: DataFrame, t: float = COSINE) -> DataFrame:
             q = np.arange(len(row)) - np.repeat(many.cumsum() - many, many)
             key = key_at[home[row]] + _block(ids, np.maximum(index_blocks[home], 1))[row] * query_blocks[home[row]] + q
             pick = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(key), b.column(0).take(pick), b.column(1).take(pick), blobs.take(pick), pa.array([x.tobytes() for x in bits], pa.binary()).take(pick), pa.array(factor).take(pick)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(key), b.column(0).take(pick), b.column(1).take(pick), blobs.take(pick), pa.array([x.tobytes() for x in bits], pa.binary()).take(pick), pa.array(factor).take(pick), pa.nulls(len(pick), pa.bool_())], names=names)
             # asks, in a block of queries, each block of the index
             row, cell = np.nonzero(ask & (index_blocks > 0)[None, :])
             mine = _block(ids[row] ^ 0x5BD1E995, np.maximum(query_blocks[cell], 1))
@@ -155,10 +162,11 @@ def near_duplicates(table: DataFrame, t: float = COSINE) -> DataFrame:
             at = np.repeat(np.arange(len(row)), many)
             i = np.arange(len(at)) - np.repeat(many.cumsum() - many, many)
             key = key_at[cell[at]] + i * query_blocks[cell[at]] + mine[at]
+            own = (home[row] == cell)[at]
             for lo in range(0, len(at), 10_000):
                 pick = pa.array(row[at[lo : lo + 10_000]])
                 size = len(pick)
-                yield pa.RecordBatch.from_arrays([pa.array(key[lo : lo + 10_000]), b.column(0).take(pick), b.column(1).take(pick), blobs.take(pick), pa.nulls(size, pa.binary()), pa.nulls(size, pa.float64())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(key[lo : lo + 10_000]), b.column(0).take(pick), b.column(1).take(pick), blobs.take(pick), pa.nulls(size, pa.binary()), pa.nulls(size, pa.float64()), pa.array(own[lo : lo + 10_000])], names=names)
 
     def compare(parts):
         for table in runs(parts, "key"):
@@ -171,8 +179,8 @@ def near_duplicates(table: DataFrame, t: float = COSINE) -> DataFrame:
             factor = table.column("factor").to_numpy()[indexed]
             ids, weight = table.column("rep").to_numpy(), table.column("weight").to_numpy()
             q, i = _links((units[indexed], bits, factor), units[~indexed], width, t)
-            a, b, w = ids[~indexed][q], ids[indexed][i], weight[indexed][i]
-            asked, of = np.unique(a, return_inverse=True)
+            a, b = ids[~indexed][q], ids[indexed][i]
+            far = ~table.column("own").to_numpy(zero_copy_only=False)[~indexed].astype(bool)[q]  # b doesn't ask for a
             nodes, ends = np.unique(np.append(a, b), return_inverse=True)
             x, y = ends[: len(a)], ends[len(a) :]
             root = np.arange(len(nodes))
@@ -185,9 +193,10 @@ def near_duplicates(table: DataFrame, t: float = COSINE) -> DataFrame:
                 if (least == root).all():
                     break
                 root = least
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root]), pa.array(np.bincount(np.searchsorted(nodes, asked)[of], w, len(nodes)).astype(np.int64))], names=["node", "root", "links"])
+            links = np.bincount(x, weight[indexed][i], len(nodes)) + np.bincount(y[far], weight[~indexed][q][far], len(nodes))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root]), pa.array(links.astype(np.int64))], names=["node", "root", "links"])
 
-    dealt = reps.mapInArrow(deal, "key long, rep long, weight long, v binary, bits binary, factor double")
+    dealt = reps.mapInArrow(deal, "key long, rep long, weight long, v binary, bits binary, factor double, own boolean")
     found = durable(in_runs(dealt, "key").mapInArrow(compare, "node long, root long, links long"))
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

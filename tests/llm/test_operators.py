@@ -428,6 +428,20 @@ def test_recall_of_cells():
     assert ask[np.arange(3000), home].mean() >= 0.98
 
 
+def test_links_of_vectors_in_few_directions(spark):
+    """Every pair counts for both of its ends, whatever the spectrum of the vectors."""
+    r = np.random.default_rng(12)
+    spectrum = 1 / np.arange(1, 65)
+    x = vectors.unit(r.normal(size=(1500, 64)) * spectrum)
+    x = vectors.unit(np.concatenate([x, x[:700] + vectors.unit(r.normal(size=(700, 64)) * spectrum) * 0.45]))
+    near = x @ x.T
+    assert (np.abs(near - 0.9) > 1e-9).all()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df).collect()}
+    want = (near >= 0.9).sum(1) - 1
+    assert [i for i, n in enumerate(want) if got[i] != n] == []
+
+
 def test_estimates_are_unbiased_and_bounded():
     r = np.random.default_rng(5)
     x, q = vectors.unit(r.normal(size=(2000, 64))), vectors.unit(r.normal(size=(50, 64)))
