@@ -323,6 +323,23 @@ def test_training_learns_order():
     assert log[real].mean() > np.log(0.5)
 
 
+def test_training_sees_every_position(monkeypatch):
+    """Each id of each text, short or long, is a target of training once."""
+    size = np.append(np.arange(1, 80), 700)
+    ids = np.arange(size.sum()) % 50
+    kinds = scoring.classes(np.ones(50))
+    model, told = scoring.Attention(kinds.rows, kinds.count), np.zeros(kinds.count, int)
+    plain = model.gradient
+
+    def gradient(inputs, target, known):
+        np.add.at(told, target[known], 1)
+        return plain(inputs, target, known)
+
+    monkeypatch.setattr(model, "gradient", gradient)
+    scoring.train_on(model, scoring.Adam(model, 0.001), kinds, ids, size, scoring.EVERY, 0)
+    assert told.tolist() == np.bincount(kinds.of[ids], minlength=kinds.count).tolist()
+
+
 def test_subwords(spark, table):
     rows, df = table
     sp = sentencepiece.SentencePieceProcessor(model_file=subwords.MODEL)
