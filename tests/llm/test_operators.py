@@ -340,6 +340,17 @@ def test_training_sees_every_position(monkeypatch):
     assert told.tolist() == np.bincount(kinds.of[ids], minlength=kinds.count).tolist()
 
 
+def test_classes_are_of_all_training_documents(spark, table, monkeypatch):
+    """What a sample for the first weights holds does not decide which ids are frequent."""
+    rows, df = table
+    tokens, told = scoring.tokens_of(scoring.ranks_of(scoring.VOCABULARY)), []
+    ids, _ = tokens([(t or "").encode() for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 7 != 2])
+    plain = scoring.classes
+    monkeypatch.setattr(scoring, "classes", lambda counts: told.append(counts) or plain(counts))
+    scoring.score(df, seed_docs=1)
+    assert len(told) == 1 and told[0].tolist() == np.bincount(ids, minlength=tokens.size).tolist()
+
+
 def test_subwords(spark, table):
     rows, df = table
     sp = sentencepiece.SentencePieceProcessor(model_file=subwords.MODEL)
