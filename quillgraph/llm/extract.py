@@ -4,8 +4,9 @@ Markup is stripped: what never shows (scripts, styles, head, comments of the sou
 ones vanish, character references are decoded and white space in a line becomes one space. Each line weighs the characters that are not
 in links; lines in menus, headers, footers, sidebars, notices, adverts and reader comments (by element, role, class or id) weigh
 nothing. Where a page marks its article, lines outside weigh nothing either. Sums of weights over WINDOW lines rise from nothing at a
-surge and fall to nothing at a dive; the text between, but for the weightless lines, is a stretch. Kept are the largest stretch and
-every other that has at least SHARE of its weight, all of them where the page marks its article; so no part of it is dropped.
+surge and fall to nothing at a dive; the text between, but for noise, is a stretch. All stretches of a marked article are kept. Elsewhere
+the largest stretch, every other with at least SHARE of its weight and the page's main heading before them tell the container of the
+content, and in it every line is kept that is not noise and has words outside links, however short; so no part of it is dropped.
 
 Nulls, empties: a null or empty html, and a page without a stretch, give an empty text. Rows are judged each for itself, repeated or
 not. Extra columns are not read. Markup that is cut off or badly nested is read as far as it goes.
@@ -41,10 +42,17 @@ _REPLIES = 2
 _ARTICLE = re.compile(r"(?:^|\s)(?:article-?body|post-?content|entry-?content|article-?content|story-?body|main-?content)(?:$|\s)", re.I)
 
 
-def lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters in links, noise, in the article) of every line that is not empty, and empty ones where noise was left out."""
-    out: list[tuple[str, int, bool, bool]] = []
+def _worded(text: str) -> bool:
+    return any(c.isalnum() for c in references.unescape(text))
+
+
+def lines(page: str) -> list[tuple[str, int, bool, bool, bool, int, tuple[int, ...]]]:
+    """(text, characters in links, noise, in the article, has words outside links, level of heading or 0, open containers) of every line that is not empty."""
+    out: list[tuple[str, int, bool, bool, bool, int, tuple[int, ...]]] = []
     stack: list[tuple[str, int, bool]] = []  # element, noise, article
+    path: list[int] = []  # a number for each element of the stack
+    opened = heading = 0
+    plain = False
     words: list[str] = []
     linked: list[str] = []
     links = 0
@@ -52,10 +60,12 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
     page = _GONE.sub("", page)
 
     def close() -> None:
+        nonlocal plain
         text = " ".join(references.unescape("".join(words)).split())
         if text:
             top = stack[-1] if stack else ("", False, False)
-            out.append((text, len(" ".join(references.unescape("".join(linked)).split())), bool(top[1]), top[2]))
+            out.append((text, len(" ".join(references.unescape("".join(linked)).split())), bool(top[1]), top[2], plain, heading, tuple(path)))
+        plain = False
         words.clear()
         linked.clear()
 
@@ -65,6 +75,8 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             words.append(page[at : m.start()])
             if links:
                 linked.append(page[at : m.start()])
+            else:
+                plain = plain or _worded(page[at : m.start()])
         at = m.end()
         name = m[2].lower()
         if name in _INLINE:
@@ -74,12 +86,14 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
                 links = 0 if m[1] else 1
             continue
         close()
+        if name in ("h1", "h2"):
+            heading = 0 if m[1] else int(name[1])
         if name not in _CONTAINERS:
             continue
         if m[1]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    del stack[k:]
+                    del stack[k:], path[k:]
                     break
         elif name not in _VOID and not m[3].endswith("/"):
             named = " ".join(x for g in _NAMED.findall(m[3]) for x in g if x)
@@ -90,8 +104,11 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             if name in _NEVER or (name == "header" and not article) or (name != "body" and _NOISE.search(named)):
                 noise = _REPLIES if noise == _REPLIES or _COMMENTS.search(named) else True
             stack.append((name, noise, article))
+            opened += 1
+            path.append(opened)
     if at < len(page):
         words.append(page[at:] if "<" not in page[at:] else page[at : at + page[at:].index("<")])
+        plain = plain or _worded(words[-1])
     close()
     return out
 
@@ -116,14 +133,21 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = lines(page)
-    marked = any(article and not noise for _, _, noise, article in found)
-    weights = [0 if noise or (marked and not article) else len(text) if marked else max(0, len(text) - 2 * links) for text, links, noise, article in found]
+    marked = any(article and not noise for _, _, noise, article, *_ in found)
+    weights = [0 if noise or (marked and not article) else len(text) if marked else max(0, len(text) - 2 * links) for text, links, noise, article, *_ in found]
     parts = stretches(weights)
     if not parts:
         return ""
+    if marked:
+        return "\n".join(text for i, j in parts for (text, _, noise, article, *_) in found[i:j] if not noise and article)
     mass = [sum(weights[i:j]) for i, j in parts]
-    kept = [p for p, m in zip(parts, mass, strict=True) if marked or m >= SHARE * max(mass)]
-    return "\n".join(text for i, j in kept for (text, _, noise, article) in found[i:j] if not noise and (article or not marked))
+    kept = {k for (i, j), m in zip(parts, mass, strict=True) if m >= SHARE * max(mass) for k in range(i, j)}
+    # the main heading, if it stands before them
+    before = [(line[5], -k) for k, line in enumerate(found[: min(kept)]) if line[5] and not line[2] and line[4]]
+    paths = [found[k][6] for k in kept if weights[k] > 0] + [found[-k][6] for _, k in sorted(before)[:1]]
+    depth = next((d for d, level in enumerate(zip(*paths)) if len(set(level)) > 1), min(map(len, paths)))  # noqa: B905
+    inside = paths[0][:depth]
+    return "\n".join(line[0] for k, line in enumerate(found) if not line[2] and (k in kept or ((line[4] or line[5]) and line[6][:depth] == inside)))
 
 
 def extract(pages: DataFrame) -> DataFrame:

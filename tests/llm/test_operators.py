@@ -421,6 +421,19 @@ def test_main_text(spark):
         assert (got[i].n_chars, got[i].url) == (len(text), f"u{i}")
 
 
+def test_main_text_without_marks():
+    """A short headline, a closing paragraph and paragraphs of links belong to the text, however much noise lies between."""
+    noise = '<div class="byline">By A</div><div class="share">Share</div><div class="tags">Tag one</div><div class="ad">Buy</div>'
+    body = "".join(f"<p>{'Long paragraph of the body. ' * 20}{k}</p>" for k in range(5))
+    texts = ["Headline"] + [f"{'Long paragraph of the body. ' * 20}{k}" for k in range(5)] + ["See a long report on the matter", "The end."]
+    last = '<p>See <a href="r">a long report on the matter</a></p>'
+    menu = '<div><a href="a">Home</a> | <a href="b">About</a></div>' * 5
+    flat = f"<body>{menu}<div><h1>Headline</h1>{noise}{body}{noise}{last}{noise}<p>The end.</p></div>{menu}<div>Elsewhere.</div></body>"
+    assert extract.main_text(flat) == "\n".join(texts)
+    nested = f"<body>{menu}<div><h1>Headline</h1>{noise}<div>{body}{noise}{last}{noise}<p>The end.</p></div></div>{menu}<div>Elsewhere.</div></body>"
+    assert extract.main_text(nested) == "\n".join(texts)
+
+
 def test_vectors(spark, monkeypatch):
     r = np.random.default_rng(8)
     base = r.normal(size=(40, 24))
