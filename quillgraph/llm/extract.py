@@ -3,10 +3,11 @@
 Markup is stripped: what never shows (scripts, styles, head, comments of the source, forms) goes whole, block elements break lines, inline
 ones vanish, character references are decoded and white space in a line becomes one space. Each line weighs the characters that are not
 in links; lines in menus, headers, footers, sidebars, notices, adverts and reader comments (by element, role, class or id) weigh
-nothing. Where a page marks its article, lines outside weigh nothing either. Sums of weights over WINDOW lines rise from nothing at a
+nothing. Where a page marks its article, and no stretch outside has more than MARK times its weight, lines outside weigh nothing either. Sums of weights over WINDOW lines rise from nothing at a
 surge and fall to nothing at a dive; the text between, but for noise, is a stretch. All stretches of a marked article are kept. Elsewhere
 the largest stretch, every other with at least SHARE of its weight and the page's main heading before them tell the container of the
-content, and in it every line is kept that is not noise and has words outside links, however short; so no part of it is dropped.
+content, and in it every line is kept that is not noise and has words outside links, however short; so no part of it is dropped. Marked
+lines stay there too.
 
 Nulls, empties: a null or empty html, and a page without a stretch, give an empty text. Rows are judged each for itself, repeated or
 not. Extra columns are not read. Markup that is cut off or badly nested is read as far as it goes.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import batches
 
-WINDOW, SHARE = 3, 0.3
+WINDOW, SHARE, MARK = 3, 0.3, 3
 
 _GONE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<!?(?:doctype)[^>]*>|<(script|style|noscript|template|svg|head|title|iframe|object|select|textarea|button|canvas|math)\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))", re.I | re.S)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
@@ -134,6 +135,11 @@ def main_text(page: str | None) -> str:
         return ""
     found = lines(page)
     marked = any(article and not noise for _, _, noise, article, *_ in found)
+    if marked:
+        free = [0 if noise or article else max(0, len(text) - 2 * links) for text, links, noise, article, *_ in found]
+        most = max((sum(free[i:j]) for i, j in stretches(free)), default=0)
+        # a marked teaser beside a body that is not marked
+        marked = most <= MARK * sum(len(text) for text, _, noise, article, *_ in found if article and not noise)
     weights = [0 if noise or (marked and not article) else len(text) if marked else max(0, len(text) - 2 * links) for text, links, noise, article, *_ in found]
     parts = stretches(weights)
     if not parts:
@@ -147,7 +153,7 @@ def main_text(page: str | None) -> str:
     paths = [found[k][6] for k in kept if weights[k] > 0] + [found[-k][6] for _, k in sorted(before)[:1]]
     depth = next((d for d, level in enumerate(zip(*paths)) if len(set(level)) > 1), min(map(len, paths)))  # noqa: B905
     inside = paths[0][:depth]
-    return "\n".join(line[0] for k, line in enumerate(found) if not line[2] and (k in kept or ((line[4] or line[5]) and line[6][:depth] == inside)))
+    return "\n".join(line[0] for k, line in enumerate(found) if not line[2] and (k in kept or line[3] or ((line[4] or line[5]) and line[6][:depth] == inside)))
 
 
 def extract(pages: DataFrame) -> DataFrame:

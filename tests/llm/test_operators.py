@@ -434,6 +434,12 @@ def test_main_text_without_marks():
     assert extract.main_text(nested) == "\n".join(texts)
 
 
+def test_main_text_beside_a_marked_teaser():
+    body = [f"{'Long paragraph of the body. ' * 20}{k}" for k in range(5)]
+    got = extract.main_text("<body><div><h1>Headline</h1>" + "".join(f"<p>{x}</p>" for x in body) + "</div><article><p>Read this next.</p></article></body>")
+    assert got.split("\n") == ["Headline", *body, "Read this next."]
+
+
 def test_vectors(spark, monkeypatch):
     r = np.random.default_rng(8)
     base = r.normal(size=(40, 24))
