@@ -211,6 +211,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The documents that are kept: one of each component."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """The documents that are kept: one of each component. Rows without an id of their own, null or repeated, are one where id and text
+    are the same, and take part under a hash of the two."""
+    seen = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    many = durable(seen)
+    own = docs.where("doc_id IS NOT NULL").join(many, docs["doc_id"] == many["_id"], "left_anti").withColumn("_uid", F.col("doc_id").cast("bigint"))
+    rest = docs.where("doc_id IS NULL").unionByName(docs.where("doc_id IS NOT NULL").join(many, docs["doc_id"] == many["_id"], "left_semi"))
+    uid = F.shiftrightunsigned(F.xxhash64(F.lit(7), "doc_id", F.col("text").isNull(), "text"), 1)
+    rest = rest.withColumn("_uid", uid).groupBy("_uid").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")).select("_row.*", "_uid")
+    rows = own.unionByName(durable(rest))
+    kept = near_duplicates(rows.select(F.col("_uid").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept"))
+    return rows.join(kept, F.col("_uid") == F.col("_kept"), "left_semi").select(*docs.columns)

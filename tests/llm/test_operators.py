@@ -102,6 +102,17 @@ def test_near_duplicates(table, monkeypatch, block):
     assert sum(not k for _, _, k in got.values()) > 20
 
 
+def test_deduplicate_rows_without_an_id_of_their_own(spark):
+    """Repeated rows and rows with a null id are documents like others: one of each group stays."""
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(40)) for k in "abcd")
+    rows = [(1, a), (1, a), (2, b), (2, c), (None, a), (None, d), (None, d), (None, d + " end"), (None, None), (3, c.upper()), (4, "alone"), (None, "other")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, "k", 2, 3) for i, t in rows], SCHEMA).repartition(3)
+    got = neardup.deduplicate(df)
+    assert got.columns == df.columns
+    texts_left = sorted((r.text or "").lower().removesuffix(" end") for r in got.collect())
+    assert texts_left == sorted([a, b, c, d, "alone", "other", ""])
+
+
 def test_union_sketch_estimates():
     r = np.random.default_rng(1)
     a = np.unique(r.integers(1, 2**60, 400))
