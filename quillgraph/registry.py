@@ -351,7 +351,7 @@ _graph_query(
     False,
 )
 
-# -- further reports (D10-D13, D15, D16, D19, D20) -------------------------------------------------------------------------------
+# -- further reports (D10-D12, D15, D16, D19, D20) -------------------------------------------------------------------------------
 
 _graph_query("file_structure", Q.file_structure, "SELECT d.file_number, d.number, d.name, d.data_type, f.name AS target_name FROM fields d JOIN files o ON o.number = d.file_number LEFT JOIN files f ON f.number = d.target_file", False)
 _graph_query("required_or_linked", Q.required_or_linked, "SELECT file_number, number, name, data_type FROM fields WHERE required OR data_type IN ('P', 'V')", False)
