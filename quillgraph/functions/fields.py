@@ -41,14 +41,10 @@ def _rules(t: Column) -> dict[str, Column]:
     }
 
 
-def _type(value: Column) -> Column:
-    return F.coalesce(piece(value, 2), F.lit(""))
-
-
-def data_type(value: Column) -> Column:
-    t, first = _type(value), F.upper(F.substring(_type(value), 1, 1))
-    r, second = _rules(t), F.substring(_type(value), 2, 1)
-    return (
+def typed(t: Column, third: Column) -> dict[str, Column]:
+    """The properties that a field's type piece, and its third piece for required, tell; missing pieces are empty texts."""
+    r, first, second = _rules(t), F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1)
+    kind = (
         F.when(r["pointer"], "P")
         .when(r["required"], F.when(_known(second), second).otherwise("R"))
         .when(r["computed"], "C")
@@ -56,29 +52,20 @@ def data_type(value: Column) -> Column:
         .when((t != "") & _known(first), first)
         .otherwise("F")
     )
+    return {
+        "data_type": kind,
+        "required": t.startswith("R") | F.contains(F.upper(third), F.lit("R")),
+        "is_pointer": r["pointer"],
+        "is_computed": ~r["pointer"] & r["computed"],
+        "is_multiple": ~r["pointer"] & r["multiple"],
+        # digits after the first P
+        "target_file": F.when(r["pointer"], F.nullif(F.regexp_extract(t, r"P(\d+)", 1), F.lit(""))),
+    }
 
 
-def is_pointer(value: Column) -> Column:
-    return _rules(_type(value))["pointer"]
-
-
-def is_computed(value: Column) -> Column:
-    r = _rules(_type(value))
-    return ~r["pointer"] & r["computed"]
-
-
-def is_multiple(value: Column) -> Column:
-    r = _rules(_type(value))
-    return ~r["pointer"] & r["multiple"]
-
-
-def target_file(value: Column) -> Column:
-    """Digits after the first P of a pointer's type; null for none."""
-    return F.when(is_pointer(value), F.nullif(F.regexp_extract(_type(value), r"P(\d+)", 1), F.lit("")))
-
-
-def required(value: Column) -> Column:
-    return _type(value).startswith("R") | F.contains(F.upper(F.coalesce(piece(value, 3), F.lit(""))), F.lit("R"))
+def of_value(value: Column) -> dict[str, Column]:
+    """typed() of a field's whole value."""
+    return typed(F.coalesce(piece(value, 2), F.lit("")), F.coalesce(piece(value, 3), F.lit("")))
 
 
 def or_named(name: Column, prefix: str, number: Column) -> Column:
@@ -87,7 +74,7 @@ def or_named(name: Column, prefix: str, number: Column) -> Column:
 
 
 def header_name(value: Column, number: Column) -> Column:
-    first = piece(value, 1)
+    first = F.substring_index(value, "^", 1)
     return F.when((first != "") & ~first.isin("FIELD", "SUB-FIELD"), first).otherwise(F.concat(F.lit("FILE_"), number))
 
 

@@ -5,22 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The form of an entry and the banners that open an export.
-ENTRY = r'(?U)^\^(\w+)\((.*?)\)="(.*)"$'
-BANNERS = ("GT.M", "ZWR")
+#: The marks of an entry. Banners and blank lines don't begin with a caret, so nothing tells them apart further.
+CARET, OPENS, CLOSES = "^", "(", ')="'
+#: Quotes in one list of subscripts that a pattern is tried on; beyond them characters are folded one by one.
+QUOTES = 64
 
 
 def strip(c: Column) -> Column:
-    """Without any white space around; trim() takes off spaces only."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-
-
-def is_entry(line: Column) -> Column:
-    """Whether a stripped line is an entry; blank lines and banners aren't."""
-    banner = F.lit(False)
-    for b in BANNERS:
-        banner = banner | line.startswith(b)
-    return ~banner & line.rlike(ENTRY)
+    """Without any white space around; trim() takes off spaces only. Only a text with white space at an end is searched."""
+    ends = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))
+    return F.when(ends.rlike(r"(?U)\s"), F.regexp_replace(c, r"(?U)^\s+|\s+$", "")).otherwise(c)
 
 
 def clean_subscript(s: Column) -> Column:
@@ -33,7 +27,8 @@ def clean_subscript(s: Column) -> Column:
 def subscripts(text: Column) -> Column:
     """array<string>: commas outside quotes split, a backslash takes the next character as it is, a trailing empty piece is dropped.
 
-    Text without quotes and backslashes, by far the most, is split at commas; the rest is folded character by character.
+    Text without quotes, backslashes and white space, by far the most, is split at commas as it is; text with quotes in pairs by one
+    pattern; only the rest is folded character by character.
     """
     state = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("piece"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"))
 
@@ -49,13 +44,14 @@ def subscripts(text: Column) -> Column:
             .otherwise(made(s["done"], grown, s["quoted"], off))
         )
 
-    drop_last = lambda a: F.when(F.element_at(a, -1) == "", F.slice(a, 1, F.size(a) - 1)).otherwise(a)
-    plain = drop_last(F.split(text, ","))
-    # quotes without a comma or a backslash inside them change nothing about where pieces end
-    simple = ~text.rlike(r'\\|"[^"]*,[^"]*"') & (F.length(F.replace(text, F.lit('"'), F.lit(""))) % 2 == F.length(text) % 2)
+    none = F.array().cast("array<string>")
+    plain = F.split(F.when(text.endswith(","), F.left(text, F.length(text) - 1)).otherwise(text), ",")
+    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+    paired = ~text.contains("\\") & (quotes <= QUOTES) & (quotes % 2 == 0)
+    # every piece ends with a comma here, and a comma at the end of the text, outside quotes as they are in pairs, ends the last one
+    cut = F.regexp_extract_all(F.when(text.endswith(","), text).otherwise(F.concat(text, F.lit(","))), F.lit(r'((?:[^,"]+|"[^"]*")*+),'), F.lit(1))
     folded = F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), state, step, lambda s: F.when(s["piece"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["piece"]))))
-    pieces = F.when(text == "", F.array().cast("array<string>")).when(simple, plain).otherwise(folded)
-    return F.transform(pieces, clean_subscript)
+    return F.when(text == "", none).when(~text.rlike(r'(?U)["\\\s]'), plain).otherwise(F.transform(F.when(paired, cut).otherwise(folded), clean_subscript))
 
 
 def unescape(value: Column) -> Column:

@@ -14,30 +14,31 @@ from ..functions import lines as L
 from ..functions import packages as P
 
 
-def file_names(entries: DataFrame) -> DataFrame:
-    """number, nm: the last name entry of each file; it may be empty."""
-    return entries.where(L.is_file_name()).groupBy(L.sub(1).alias("number")).agg(F.max_by(L.sub(4), "line_no").alias("nm"))
-
-
-def global_roots(entries: DataFrame) -> DataFrame:
-    """number, root: the last root entry of each file, with a caret before it."""
-    return entries.where(L.is_root()).groupBy(L.sub(1).alias("number")).agg(F.max_by(D.with_caret(F.col("value")), "line_no").alias("root"))
-
-
 def files(entries: DataFrame, roots: DataFrame | None = None) -> DataFrame:
-    """One file for each number: its last header, named by its name entry if there is one, with the root of `roots` (global_roots)."""
-    last = entries.where(L.is_file_header()).groupBy(L.sub(1).alias("number")).agg(F.max_by("value", "line_no").alias("value"))
-    named = last.join(file_names(entries), "number", "left")
-    named = named.join(roots, "number", "left") if roots is not None else named.withColumn("root", F.lit(None).cast("string"))
-    return named.select(
+    """One file for each number: its last header, named by its last name entry (which may be empty) if there is one, with the last root that
+    `roots`, the entries of a root export, has for it. Headers, names and roots are told in one aggregate, and if `roots` is `entries` in one scan."""
+    rows = _told(entries, roots is entries)
+    if roots is not None and roots is not entries:
+        rows = rows.unionByName(_told(roots.where(L.is_root()), True))
+    last = lambda c, kind: F.max_by(c, F.when(F.col("kind") == kind, F.col("line_no")))
+    told = rows.groupBy("number").agg(last("value", "file").alias("value"), last("nm", "name").alias("nm"), last("value", "root").alias("root")).where("value IS NOT NULL")
+    value = F.col("value")
+    return told.select(
         "number",
-        F.coalesce("nm", D.header_name(F.col("value"), F.col("number"))).alias("name"),
-        F.col("root").alias("global_root"),
+        F.coalesce("nm", D.header_name(value, F.col("number"))).alias("name"),
+        D.with_caret(F.col("root")).alias("global_root"),
         F.lit(None).cast("string").alias("parent_file"),
-        D.is_subfile_header(F.col("value"), F.col("number")).alias("is_subfile"),
+        D.is_subfile_header(value, F.col("number")).alias("is_subfile"),
     )
 
 
+def _told(entries: DataFrame, rooted: bool) -> DataFrame:
+    """number, kind, nm, value, line_no of what is said of files."""
+    kind = F.when(L.is_file_header(), "file").when(L.is_file_name(), "name")
+    rows = entries.withColumn("kind", kind.when(L.is_root(), "root") if rooted else kind).where("kind IS NOT NULL")
+    return rows.select(L.sub(1).alias("number"), "kind", F.when(F.col("kind") == "name", L.sub(4)).alias("nm"), "value", "line_no")
+
+
 def fields(entries: DataFrame) -> DataFrame:
     """Every field definition, repeated ones too, but for number 0 and the B entries."""
     number, value = F.col("number"), F.col("value")
@@ -47,21 +48,12 @@ def fields(entries: DataFrame) -> DataFrame:
 
 
 def typed_fields(rows: DataFrame) -> DataFrame:
-    """file_number, number, line_no, value to fields."""
-    value = F.col("value")
-    return rows.select(
-        "file_number",
-        "number",
-        "line_no",
-        D.or_named(L.piece(value, 1), "FIELD_", F.col("number")).alias("name"),
-        D.data_type(value).alias("data_type"),
-        D.required(value).alias("required"),
-        D.is_pointer(value).alias("is_pointer"),
-        D.is_computed(value).alias("is_computed"),
-        D.is_multiple(value).alias("is_multiple"),
-        D.target_file(value).alias("target_file"),
-        field_id().alias("field_id"),
-    )
+    """file_number, number, line_no, value to fields. The value is split once."""
+    rows = rows.select("file_number", "number", "line_no", F.split("value", r"\^").alias("p"))
+    text = lambda n: F.coalesce(F.get("p", n), F.lit(""))
+    rows = rows.select("file_number", "number", "line_no", F.get("p", 0).alias("first"), text(1).alias("t"), text(2).alias("third"))
+    told = D.typed(F.col("t"), F.col("third"))
+    return rows.select("file_number", "number", "line_no", D.or_named(F.col("first"), "FIELD_", F.col("number")).alias("name"), *[c.alias(n) for n, c in told.items()], field_id().alias("field_id"))
 
 
 def field_id(file: str = "file_number", number: str = "number", line: str = "line_no"):
@@ -69,24 +61,36 @@ def field_id(file: str = "file_number", number: str = "number", line: str = "lin
 
 
 def cross_references(entries: DataFrame) -> DataFrame:
-    """The last definition of each cross-reference that follows its field's header, with the last set and kill logic after it."""
-    own = entries.where(L.is_xref_header() | L.is_xref("0") | L.is_xref("1") | L.is_xref("2")).select(L.sub(1).alias("file_number"), L.sub(2).alias("field_number"), L.sub(4).alias("xref_number"), F.size("subscripts").alias("depth"), L.sub(5).alias("part"), "line_no", "value")
-    headers = own.where("depth = 4").groupBy("file_number", "field_number").agg(F.min("line_no").alias("since"))
-    parts = F.split("value", r"\^")
-    kept = own.where("part = '0'").where(F.size(parts) >= 2).join(headers, ["file_number", "field_number"]).where("line_no > since")
-    xref_id = F.concat_ws("_", "file_number", "field_number", "xref_number")
-    shape = F.struct("file_number", "field_number", "xref_number", F.get(parts, 1).alias("name"), F.coalesce(F.get(parts, 2), F.lit("regular")).alias("xref_type"), F.col("line_no").alias("defined"))
-    last = kept.groupBy(xref_id.alias("xref_id")).agg(F.max_by(shape, "line_no").alias("d"))
-    logic = own.where("part <> '0'").select(xref_id.alias("xref_id"), "part", "line_no", "value").join(last.select("xref_id", "d.defined"), "xref_id").where("line_no > defined")
-    latest = lambda p: F.max_by("value", F.when(F.col("part") == p, F.col("line_no")))
-    code = logic.groupBy("xref_id").agg(latest("1").alias("set_logic"), latest("2").alias("kill_logic"))
-    return last.join(code, "xref_id", "left").select("xref_id", "d.name", "d.file_number", "d.field_number", "d.xref_type", "d.xref_number", "set_logic", "kill_logic", F.lit("field").alias("execution"))
+    """The last definition of each cross-reference that follows its field's header, with the last set and kill logic after it.
+
+    If the last definition does not follow the header, none does, and the same holds for logic, so each rule is an ordered aggregate by
+    cross-reference. Rows are dealt by field once; the aggregate and the window that hands the header's line to the field's
+    cross-references both stay in that partitioning: one scan, one parse, one exchange.
+    """
+    kind = F.when(L.is_xref_header(), "header").when(L.is_xref("0"), "definition").when(L.is_xref("1"), "set").when(L.is_xref("2"), "kill")
+    rows = entries.select("subscripts", "line_no", "value", kind.alias("kind")).where("kind IS NOT NULL")
+    rows = rows.select(L.sub(1).alias("file_number"), L.sub(2).alias("field_number"), F.when(F.col("kind") != "header", L.sub(4)).alias("xref_number"), "kind", "line_no", F.split("value", r"\^").alias("p"), "value")
+    defines = (F.col("kind") == "definition") & (F.size("p") >= 2)
+    at = lambda k: F.when(F.col("kind") == k, F.col("line_no"))
+    told = (
+        rows.repartition("file_number", "field_number")
+        .groupBy("file_number", "field_number", "xref_number")
+        .agg(
+            F.min(at("header")).alias("header"),
+            F.max_by(F.struct(F.get("p", 1).alias("name"), F.coalesce(F.get("p", 2), F.lit("regular")).alias("xref_type"), F.col("line_no").alias("defined")), F.when(defines, F.col("line_no"))).alias("d"),
+            *[F.max_by(F.struct("value", "line_no"), at(k)).alias(k) for k in ("set", "kill")],
+        )
+    )
+    held = told.withColumn("since", F.min("header").over(Window.partitionBy("file_number", "field_number"))).where("d.defined > since")
+    logic = lambda k: F.when(F.col(f"{k}.line_no") > F.col("d.defined"), F.col(f"{k}.value")).alias(f"{k}_logic")
+    return held.select(F.concat_ws("_", "file_number", "field_number", "xref_number").alias("xref_id"), "d.name", "file_number", "field_number", "d.xref_type", "xref_number", logic("set"), logic("kill"), F.lit("field").alias("execution"))
 
 
 def variable_targets(entries: DataFrame) -> DataFrame:
     """Every variable-pointer target, in the order of lines; missing pieces are empty."""
-    text = lambda n: F.coalesce(L.piece(F.col("value"), n), F.lit(""))
-    return entries.where(L.is_variable_target()).select(L.sub(1).alias("file_number"), L.sub(2).alias("field_number"), L.sub(4).alias("v_number"), text(1).alias("target_file"), text(2).alias("target_global"), text(3).alias("target_description"), "line_no")
+    rows = entries.where(L.is_variable_target()).select(L.sub(1).alias("file_number"), L.sub(2).alias("field_number"), L.sub(4).alias("v_number"), F.split("value", r"\^").alias("p"), "line_no")
+    text = lambda n: F.coalesce(F.get("p", n), F.lit(""))
+    return rows.select("file_number", "field_number", "v_number", text(0).alias("target_file"), text(1).alias("target_global"), text(2).alias("target_description"), "line_no")
 
 
 def subfiles(files: DataFrame) -> DataFrame:

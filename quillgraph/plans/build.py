@@ -32,7 +32,7 @@ def enrich(graph: Graph, xrefs: DataFrame, targets: DataFrame) -> Graph:
 def load(spark: SparkSession, dictionary: str, packages: str, roots: str | None = None) -> Graph:
     """Both phases from an export, a package table and an export of global roots. Lines are parsed once."""
     entries = parse_lines(read_lines(spark, dictionary)).cache()
-    rooted = R.global_roots(parse_lines(read_lines(spark, roots))) if roots else None
+    rooted = parse_lines(read_lines(spark, roots)) if roots else None
     graph = structure(spark, R.packages(read_packages(spark, packages)), R.files(entries, rooted), R.fields(entries))
     return enrich(graph, R.cross_references(entries), R.variable_targets(entries))
 

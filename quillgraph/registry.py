@@ -110,7 +110,7 @@ def lines_by_kind(spark: SparkSession, sf: str) -> DataFrame:
 )
 def files_from_lines(spark: SparkSession, sf: str) -> DataFrame:
     entries = _entries(spark, sf)
-    return R.files(entries, R.global_roots(entries)).select("number", "name", "global_root", "is_subfile")
+    return R.files(entries, entries).select("number", "name", "global_root", "is_subfile")
 
 
 @query("SELECT file_number, number, name, data_type, required OR line_no % 4 = 0 AS required, is_pointer, is_computed, is_multiple, target_file FROM fields")

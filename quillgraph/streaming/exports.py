@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.exports import parse_lines
+from ..sources.exports import clean_bytes, parse_lines
 
 
 def stream_entries(spark: SparkSession, directory: str, files_at_once: int = 100) -> DataFrame:
     """line_no (null: a stream has no order of lines), global_name, subscripts, value, raw_line of every entry of the files in a directory."""
     text = spark.readStream.option("maxFilesPerTrigger", files_at_once).text(directory)
-    return parse_lines(text.select(F.lit(None).cast("bigint").alias("line_no"), F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit("")).alias("raw")))
+    return parse_lines(text.select(F.lit(None).cast("bigint").alias("line_no"), clean_bytes(F.col("value")).alias("raw")))
 
 
 def keep_up(entries: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = True) -> StreamingQuery:

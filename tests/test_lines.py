@@ -28,7 +28,7 @@ def machine(text):
     return [p[1:-1] if p.startswith('"') and p.endswith('"') else p for p in strip]
 
 
-TEXTS = ["", "2", '"NAME",0', "2,0", '2,0,"NM","LAST, FIRST"', "a,,b", "a,b,", ",", "a\\,b,c", '"a\\"b",c', '"', 'x,"', '"a,b', " 2 , 0 ", '""', 'a"b,c"d,e', "\t1\t,2", '"a""b",c', "a,\\"]
+TEXTS = ["", "2", '"NAME",0', "2,0", '2,0,"NM","LAST, FIRST"', "a,,b", "a,b,", ",", "a\\,b,c", '"a\\"b",c', '"', 'x,"', '"a,b', " 2 , 0 ", '""', 'a"b,c"d,e', "\t1\t,2", '"a""b",c', "a,\\", ",,", "a,,", '"a","b, c",', '"x",' * 100, '"' * 99 + ",a"]
 
 
 def test_subscripts(spark):
@@ -66,8 +66,7 @@ CASES = [
 
 @pytest.mark.parametrize("case", CASES, ids=lambda c: c[0] or "empty")
 def test_typing(spark, case):
-    v = F.col("v")
-    row = spark.createDataFrame([(case[0],)], "v string").select(D.data_type(v), D.required(v), D.is_pointer(v), D.is_computed(v), D.is_multiple(v), D.target_file(v)).first()
+    row = spark.createDataFrame([(case[0],)], "v string").select(*D.of_value(F.col("v")).values()).first()
     assert tuple(row) == case[1:]
 
 

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    for t in "nation customer supplier part orders lineitem".split():
+    for t in "nation customer supplier part orders lineitem documents".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 

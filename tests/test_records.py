@@ -45,7 +45,7 @@ def entries(spark):
 
 
 def test_files(entries):
-    files = {r.number: (r.name, r.global_root, r.is_subfile) for r in R.files(entries, R.global_roots(entries)).collect()}
+    files = {r.number: (r.name, r.global_root, r.is_subfile) for r in R.files(entries, entries).collect()}
     assert files == {"2": ("PATIENT FILE", "^DPT(", False), "2.01": ("ALIAS SUB-FIELD", None, True), "5": ("FILE_5", None, False), "200": ("PERSON SUB-FILE", None, True)}
 
 
