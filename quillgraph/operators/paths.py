@@ -1,7 +1,8 @@
 """Paths of any length over edges (edge_id, src, dst): a path may come to a node again, but takes no edge twice.
 
-Each round joins the frontier with the edges once, on the node where paths end. Frontiers carry their edges, so rounds end by themselves; a
-long walk is cut from its lineage every few rounds in spark.checkpoint.dir, where the session names one.
+Each round joins the frontier with the edges once, on the node where paths end. Frontiers carry their edges, so rounds end by themselves. A
+walk without a bound is cut from its lineage in every round (what a round asks, whether any path goes on, would else compute all rounds
+before again), a bounded one every few rounds, both in spark.checkpoint.dir, where the session names one.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 CUT_EVERY = 4
 
 
-def _cut(df: DataFrame, hop: int) -> DataFrame:
+def _cut(df: DataFrame, hop: int, every: int) -> DataFrame:
     folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    return df.checkpoint() if folder and hop % CUT_EVERY == 0 else df
+    return df.checkpoint() if folder and hop % every == 0 else df
 
 
 def walk(starts: DataFrame, edges: DataFrame, most: int | None = None, backward: bool = False) -> DataFrame:
@@ -32,7 +33,7 @@ def walk(starts: DataFrame, edges: DataFrame, most: int | None = None, backward:
     while most is None or hop < most:
         hop += 1
         on = front.join(steps, (F.col("node") == F.col("_at")) & ~F.array_contains("edge_ids", F.col("edge_id")))
-        front = _cut(on.select("start", F.col("_to").alias("node"), F.lit(hop).alias("hops"), F.concat("nodes", F.array("_to")).alias("nodes"), F.concat("edge_ids", F.array("edge_id")).alias("edge_ids")), hop)
+        front = _cut(on.select("start", F.col("_to").alias("node"), F.lit(hop).alias("hops"), F.concat("nodes", F.array("_to")).alias("nodes"), F.concat("edge_ids", F.array("edge_id")).alias("edge_ids")), hop, 1 if most is None else CUT_EVERY)
         if most is None and front.isEmpty():
             break
         found.append(front)

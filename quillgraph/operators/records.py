@@ -13,6 +13,9 @@ from ..functions import fields as D
 from ..functions import lines as L
 from ..functions import packages as P
 
+#: Rows of a package table that look back together; a power of 2.
+BLOCK = 4096
+
 
 def files(entries: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """One file for each number: its last header, named by its last name entry (which may be empty) if there is one, with the last root that
@@ -107,10 +110,13 @@ def packages(rows: DataFrame) -> DataFrame:
     name, directory = F.col("Package Name"), F.col("Directory Name")
     own = P.cell(directory) != ""
     goes_on = P.is_continuation(name, directory)
-    # the table is a small dimension, in one order throughout
-    before = Window.orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
-    at = F.last(F.when(own, F.col("row_no")), ignorenulls=True).over(before)
-    rows = rows.withColumn("file_no", at).where((own | goes_on) & F.col("file_no").isNotNull()).withColumn("own", own)
+    # rows look back within a block of the table; what the blocks before hold is told from one row of each
+    rows = rows.withColumn("block", F.col("row_no").bitwiseAND(~(BLOCK - 1)))
+    last = rows.groupBy("block").agg(F.max(F.when(own, F.col("row_no"))).alias("last"))
+    carried = last.select("block", F.max("last").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
+    before = Window.partitionBy("block").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
+    at = F.coalesce(F.last(F.when(own, F.col("row_no")), ignorenulls=True).over(before), F.col("carried"))
+    rows = rows.join(carried, "block").withColumn("file_no", at).where((own | goes_on) & F.col("file_no").isNotNull()).withColumn("own", own)
     mine = lambda c: F.max(F.when(F.col("own"), c))
     listed = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row_no", c.alias("x")))), lambda s: s["x"]))
     numbers = F.filter(F.array(P.cell(F.col("File Numbers"))), lambda x: x != "")

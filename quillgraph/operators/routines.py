@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .edges import edges
 from .upsert import repeat_groups
 
 #: A label line, a returned value, and the beginnings of entry-point names.
@@ -23,6 +24,23 @@ PATTERNS = {
     "words": r"(?i)\b[A-Z0-9]+\b",
     "symbols": r"[^\w\s]",
 }
+#: What the wider search of a line is for, besides.
+WIDER = {
+    "parenthesized": r"\([^)]*\)",
+    "bracketed": r"\[[^\]]*\]",
+    "dollars": r"\$\$?[A-Z0-9$%]*",
+    "commands": r"\b[A-Z]\b",
+    "gotos": r"\b[A-Z0-9]+\^[A-Z0-9]+",
+    "dates": r"\b\d{6,8}\b",
+    "comments": r";.*$",
+}
+#: Classes of characters.
+CLASSES = {"alpha": r"[^\p{L}]", "digit": r"[^0-9]", "upper": r"[^\p{Lu}]", "lower": r"[^\p{Ll}]", "punct": r"[^!-/:-@\[-`{-~]"}
+#: A call that names label and routine, and the second line of a source: version, package, patches.
+CALL = r"([A-Z%][A-Z0-9]*)\^([A-Z%][A-Z0-9]*)"
+HEADER = r"^\s*;;([^;]*);[^;]*(?:;(?:\*\*([^*;]*)\*\*)?.*)?$"
+#: Weights of the criteria by which schemas are scored.
+WEIGHTS = {"technical_score": 0.4, "stakeholder_fit": 0.3, "implementability": 0.2, "maintainability": 0.1}
 #: Confidence of a call by how it was found: named in full, by label alone, guessed.
 CONFIDENCE = {"exact": 1.0, "label": 0.7}
 
@@ -38,24 +56,86 @@ def lines_of(texts: DataFrame) -> DataFrame:
     return texts.select("routine", F.posexplode(F.split("text", "\r?\n")).alias("i", "line")).select("routine", (F.col("i") + 1).alias("line_no"), "line")
 
 
+def _is_label(lines: DataFrame) -> Column:
+    """A line that is a label; a first line with ;; is a header."""
+    return F.col("line").rlike(LABEL) & ~((F.col("line_no") == 1) & F.col("line").contains(";;"))
+
+
+def within(lines: DataFrame) -> DataFrame:
+    """lines with label and label_line, those of the last label at or above the line; null above a routine's first."""
+    above = Window.partitionBy("routine").orderBy("line_no")
+    mark = F.when(_is_label(lines), F.struct(F.regexp_extract("line", LABEL, 1).alias("label"), F.col("line_no").alias("label_line")))
+    return lines.withColumn("_m", F.last(mark, ignorenulls=True).over(above)).select("routine", "line_no", "line", "_m.label", "_m.label_line")
+
+
 def labels(lines: DataFrame) -> DataFrame:
-    """routine, label, line_no, parameters, comment, is_entry_point: lines that are a label; a first line with ;; is a header."""
+    """routine, label, line_no, parameters, comment, is_entry_point, is_function: the lines that are a label. A label is a function if a line of its
+    body returns a value."""
     found = F.regexp_extract("line", LABEL, 1)
     entry = F.lit(False)
     for e in ENTRY_POINTS:
         entry = entry | found.startswith(e)
-    rows = lines.where(F.col("line").rlike(LABEL) & ~((F.col("line_no") == 1) & F.col("line").contains(";;")))
     names = F.filter(F.split(F.regexp_replace(F.regexp_extract("line", LABEL, 2), "[()]", ""), r"\s*,\s*"), lambda x: x != "")
-    return rows.select("routine", found.alias("label"), "line_no", names.alias("parameters"), F.regexp_replace(F.regexp_extract("line", LABEL, 3), r"^[;\s]+|[;\s]+$", "").alias("comment"), entry.alias("is_entry_point"))
+    own = within(lines)
+    returns = F.max(F.col("line").rlike(RETURNS)).over(Window.partitionBy("routine", "label_line"))
+    rows = own.withColumn("is_function", returns).where("line_no = label_line")
+    return rows.select("routine", found.alias("label"), "line_no", names.alias("parameters"), F.regexp_replace(F.regexp_extract("line", LABEL, 3), r"^[;\s]+|[;\s]+$", "").alias("comment"), entry.alias("is_entry_point"), "is_function")
+
+
+def calls(lines: DataFrame) -> DataFrame:
+    """routine, label, label_line, to_label, to_routine: every call in a body that names label and routine."""
+    named = F.regexp_extract_all("line", F.lit(CALL), F.lit(0))
+    return within(lines).select("routine", "label", "label_line", F.explode(named).alias("c")).select("routine", "label", "label_line", F.substring_index("c", "^", 1).alias("to_label"), F.substring_index("c", "^", -1).alias("to_routine"))
+
+
+def dependencies(calls: DataFrame, labels: DataFrame) -> DataFrame:
+    """routine, depends_on, call_count: calls to labels that are there, of other routines."""
+    outer = calls.where("label IS NOT NULL AND routine <> to_routine").groupBy("routine", "to_routine", "to_label").agg(F.count(F.lit(1)).alias("n"))
+    there = labels.groupBy(F.col("routine").alias("to_routine"), F.col("label").alias("to_label")).agg(F.count(F.lit(1)).alias("times"))
+    met = outer.join(there, ["to_routine", "to_label"])
+    return met.groupBy("routine", F.col("to_routine").alias("depends_on")).agg(F.sum(F.col("n") * F.col("times")).alias("call_count")).orderBy(F.col("call_count").desc(), "routine", "depends_on")
+
+
+def routine_nodes(lines: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Routine nodes: the package that owns them and by which prefix, lines, and what their first two lines tell."""
+    at = lambda n: F.max(F.when(F.col("line_no") == n, F.col("line")))
+    told = lines.groupBy("routine").agg(F.count(F.lit(1)).alias("lines_of_code"), at(1).alias("first"), at(2).alias("second"))
+    part = lambda n: F.nullif(F.regexp_extract("second", HEADER, n), F.lit(""))
+    owned = owners(lines, prefixes)
+    return told.join(owned, "routine", "left").select(
+        F.col("routine").alias("name"),
+        F.col("package").alias("package_name"),
+        "prefix",
+        "lines_of_code",
+        part(1).alias("version"),
+        F.coalesce(F.split(part(2), ","), F.array().cast("array<string>")).alias("patches"),
+        F.nullif(F.regexp_replace(F.regexp_extract("first", r";(.*)$", 1), r"^[;\s]+|[;\s]+$", ""), F.lit("")).alias("description"),
+    )
+
+
+def label_nodes(labels: DataFrame) -> DataFrame:
+    key = F.concat_ws(":", "routine", "label", "line_no")
+    return labels.select(key.alias("label_id"), F.col("label").alias("name"), F.col("routine").alias("routine_name"), F.col("line_no").alias("line_number"), "is_entry_point", "is_function", "parameters", "comment")
+
+
+def contains_label(routines: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges from routine nodes to their label nodes."""
+    held = labels.join(routines.select(F.col("name").alias("src")), F.col("routine_name") == F.col("src"))
+    return edges("CONTAINS_LABEL", held.select("src", F.col("label_id").alias("dst"), "line_number"), line_number="line_number")
+
+
+def owns_routine(routines: DataFrame) -> DataFrame:
+    """Edges from packages to the routines that their prefixes name."""
+    return edges("OWNS_ROUTINE", routines.where("package_name IS NOT NULL").select(F.col("package_name").alias("src"), F.col("name").alias("dst"), "prefix"), prefix="prefix")
 
 
 def owners(routines: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """routine, package: the package with the longest prefix (prefix, name) that the routine's name begins with.
+    """routine, package, prefix: the package with the longest prefix (prefix, name) that the routine's name begins with.
 
     Each name asks by its own beginnings, so this is an equi join.
     """
     asked = routines.select("routine").distinct().withColumn("prefix", F.explode(F.transform(F.sequence(F.lit(1), F.length("routine")), lambda n: F.substring("routine", F.lit(1), n))))
-    return asked.join(prefixes, "prefix").groupBy("routine").agg(F.max_by("name", F.length("prefix")).alias("package"))
+    return asked.join(prefixes, "prefix").groupBy("routine").agg(F.max_by("name", F.length("prefix")).alias("package"), F.max_by("prefix", F.length("prefix")).alias("prefix"))
 
 
 def orphan_routines(routines: DataFrame, owned: DataFrame) -> DataFrame:
@@ -69,7 +149,7 @@ def repeated_routines(routines: DataFrame) -> DataFrame:
 
 def found(line: Column, pattern: str) -> Column:
     """Every match in a line, in order."""
-    return F.regexp_extract_all(line, F.lit(PATTERNS[pattern]), 0)
+    return F.regexp_extract_all(line, F.lit((PATTERNS | WIDER)[pattern]), 0)
 
 
 def features(lines: DataFrame) -> DataFrame:
@@ -88,9 +168,16 @@ def features(lines: DataFrame) -> DataFrame:
         bare.startswith(";").alias("is_comment"),
         F.nullif(F.regexp_extract(line, r"^\s*([A-Z]+)\s", 1), F.lit("")).alias("command"),
         *counts,
+        F.array_distinct(found(line, "globals")).alias("global_names"),
     )
 
 
+def wider_features(lines: DataFrame) -> DataFrame:
+    """How much of each further pattern a line holds, and of each class of characters."""
+    line = F.col("line")
+    return lines.select("routine", "line_no", *[F.size(found(line, p)).alias(p) for p in WIDER], *[F.length(F.regexp_replace(line, p, "")).alias(n) for n, p in CLASSES.items()])
+
+
 def character_counts(lines: DataFrame) -> DataFrame:
     """routine, line_no, character, n."""
     chars = lines.select("routine", "line_no", F.explode(F.split("line", "")).alias("character")).where("character <> ''")
@@ -98,13 +185,14 @@ def character_counts(lines: DataFrame) -> DataFrame:
 
 
 def roll_up(told: DataFrame) -> DataFrame:
-    """features() by routine: totals, and the different commands in order."""
+    """features() by routine: totals, and the different commands and globals in order."""
     return told.groupBy("routine").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if("is_label").alias("labels"),
         F.count_if("is_comment").alias("comments"),
         *[F.sum(p).alias(p) for p in PATTERNS],
         F.array_join(F.array_sort(F.collect_set("command")), ",").alias("commands"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("global_names")))), ",").alias("unique_globals"),
     )
 
 
@@ -113,6 +201,19 @@ def coverage(told: DataFrame, captured: Column) -> DataFrame:
     return told.agg(F.avg(captured.cast("double")).alias("coverage"))
 
 
+def scores(schemas: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """schemas (schema and a column for each criterion) with score, their weighted sum; a missing criterion counts as 0."""
+    total = F.lit(0.0)
+    for c, w in (weights or WEIGHTS).items():
+        total = total + F.coalesce(F.col(c), F.lit(0.0)) * w
+    return schemas.withColumn("score", total)
+
+
+def best(scored: DataFrame) -> DataFrame:
+    """One row: the schema with the highest score, of equal ones the least by name."""
+    return scored.agg(F.min_by(F.struct("schema", "score"), F.struct((-F.col("score")).alias("s"), "schema")).alias("b")).select("b.*")
+
+
 def confidence(how: Column) -> Column:
     """1.0, 0.7 or 0.5 by how a reference was found."""
     c = F.lit(0.5)

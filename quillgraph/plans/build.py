@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import edges as E
 from ..operators import records as R
+from ..operators import routines as M
 from ..sources.exports import parse_lines, read_lines, read_packages
+from ..sources.settings import shared_dir
 from .graph import Graph
 
 
@@ -29,9 +33,22 @@ def enrich(graph: Graph, xrefs: DataFrame, targets: DataFrame) -> Graph:
     return Graph(graph.spark, graph.node_frames | {"CrossReference": xrefs}, graph.edge_frames | more)
 
 
+def with_routines(graph: Graph, lines: DataFrame) -> Graph:
+    """Phase 3 on a graph of packages: routines and labels of sources (routine, line_no, line), who owns them and what they call."""
+    labels, prefixes = M.labels(lines), package_by_prefix(graph.nodes("Package"))
+    routines, nodes = M.routine_nodes(lines, prefixes), M.label_nodes(labels)
+    key = lambda r, n, at: F.concat_ws(":", r, n, at)
+    to = labels.select(F.col("routine").alias("to_routine"), F.col("label").alias("to_label"), key("routine", "label", "line_no").alias("dst"))
+    called = M.calls(lines).where("label IS NOT NULL").join(to, ["to_routine", "to_label"]).select(key("routine", "label", "label_line").alias("src"), "dst")
+    return Graph(graph.spark, graph.node_frames | {"Routine": routines, "Label": nodes}, graph.edge_frames | {"CONTAINS_LABEL": M.contains_label(routines, nodes), "OWNS_ROUTINE": M.owns_routine(routines), "CALLS": E.edges("CALLS", called)})
+
+
 def load(spark: SparkSession, dictionary: str, packages: str, roots: str | None = None) -> Graph:
-    """Both phases from an export, a package table and an export of global roots. Lines are parsed once."""
-    entries = parse_lines(read_lines(spark, dictionary)).cache()
+    """Both phases from an export, a package table and an export of global roots. Lines are parsed once and stored; who saves the graph may delete
+    what lies in the folder of spark.checkpoint.dir then."""
+    stored = f"{shared_dir(spark)}/quillgraph-entries-{uuid.uuid4().hex}"
+    parse_lines(read_lines(spark, dictionary)).write.parquet(stored)
+    entries = spark.read.parquet(stored)
     rooted = parse_lines(read_lines(spark, roots)) if roots else None
     graph = structure(spark, R.packages(read_packages(spark, packages)), R.files(entries, rooted), R.fields(entries))
     return enrich(graph, R.cross_references(entries), R.variable_targets(entries))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EDGE_TYPES, LABELS, edge_type, label
@@ -102,12 +102,15 @@ class Graph:
 
     # storage ------------------------------------------------------------------------------------------------------
 
-    def save(self, path: str) -> None:
-        """One directory for each frame, laid out by the column that joins look it up by."""
-        for n, df in self.node_frames.items():
-            df.repartition(F.col(LABELS[n].key[0])).sortWithinPartitions(*LABELS[n].key).write.mode("overwrite").parquet(f"{path}/nodes/{n}")
-        for n, df in self.edge_frames.items():
-            df.repartition("dst").sortWithinPartitions("dst").write.mode("overwrite").parquet(f"{path}/edges/{n}")
+    def save(self, path: str) -> dict[str, int]:
+        """One directory for each frame, laid out by the column that joins look it up by. Rows written, by label and type."""
+        frames = [("nodes", n, df, LABELS[n].key) for n, df in self.node_frames.items()] + [("edges", n, df, ("dst",)) for n, df in self.edge_frames.items()]
+        written = {}
+        for kind, n, df, key in frames:
+            watch = Observation()
+            df.observe(watch, F.count(F.lit(1)).alias("n")).repartition(F.col(key[0])).sortWithinPartitions(*key).write.mode("overwrite").parquet(f"{path}/{kind}/{n}")
+            written[n] = int(watch.get["n"])
+        return written
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, labels: list[str], types: list[str]) -> Graph:

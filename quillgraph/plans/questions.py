@@ -105,7 +105,7 @@ def xrefs_by_file(graph: Graph) -> DataFrame:
 def most_indexed_fields(graph: Graph, most: int = 20) -> DataFrame:
     counts = graph.edges("INDEXED_BY").groupBy("src").agg(F.count(F.lit(1)).alias("xref_count"))
     named = counts.join(graph.nodes("Field"), F.col("src") == F.col("field_id")).select("file_number", F.col("number").alias("field_number"), F.col("name").alias("field_name"), "xref_count")
-    return named.orderBy(_down("xref_count"), "file_number", "field_number").limit(most)
+    return named.orderBy(_down("xref_count"), "file_number", "field_number", "field_name").limit(most)
 
 
 def files_with_most_fields(graph: Graph, most: int = 10) -> DataFrame:

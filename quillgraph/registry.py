@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,11 @@ from .operators import upsert as U
 from .plans import build as B
 from .plans import questions as Q
 from .plans.graph import Graph
-from .plans.sample import FILE_NUMBER, INPUTS, TARGET, cross_references, inputs, sample_graph
-from .sources.exports import parse_lines
+from .plans.sample import FILE_NUMBER, INPUTS, TARGET, cross_references, export_files, inputs, package_file, sample_graph, saved_graph, written_counts as counts_written
+from .sources.exports import parse_lines, read_lines, read_packages
+from .schemas import EDGE_TYPES
+from .sources.settings import shared_dir
+from .streaming.exports import keep_up, stream_entries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,9 +81,9 @@ def query(sql: str | None) -> Callable[[Query], Query]:
     return put
 
 
-def _graph_query(name: str, f: Callable, sql: str, whole: bool = True) -> None:
-    """A query on the sample graph."""
-    QUERIES[name] = lambda spark, sf: f(sample_graph(spark, sf, whole))
+def _graph_query(name: str, f: Callable, sql: str) -> None:
+    """A question to the sample graph, as saved."""
+    QUERIES[name] = lambda spark, sf: f(saved_graph(spark, sf))
     SQL[name] = _sql(sql)
 
 
@@ -140,7 +144,7 @@ def variable_targets_from_lines(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("file_number", "field_number").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(listed, lambda x: x["t"]), ",").alias("targets"))
 
 
-@query("SELECT number, name, split_part(number, '.', 1) AS parent_file_number, '' AS parent_field_number, CAST(2 AS INT) AS nesting_level FROM files WHERE contains(number, '.')")
+@query("SELECT number, name, split_part(number, '.', 1) AS parent_file_number, '' AS parent_field_number, CAST(len(string_split(number, '.')) AS INT) AS nesting_level FROM files WHERE contains(number, '.')")
 def subfile_records(spark: SparkSession, sf: str) -> DataFrame:
     return R.subfiles(inputs(spark, sf, "files"))
 
@@ -156,6 +160,27 @@ def fields_by_type(spark: SparkSession, sf: str) -> DataFrame:
     return counts.withColumn("type_name", D.type_name(F.col("data_type")))
 
 
+# -- the same from text files: lines over several files, and a stream of them (S1, S2, S4, W5) --------------------------------
+
+
+def _from_text(name: str, f: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[f"{name}_from_text"] = lambda spark, sf: f(parse_lines(read_lines(spark, export_files(spark, sf))))
+    SQL[f"{name}_from_text"] = SQL[f"{name}_from_lines"]
+
+
+_from_text("files", lambda e: R.files(e, e).select("number", "name", "global_root", "is_subfile"))
+_from_text("fields", lambda e: R.fields(e).drop("line_no", "field_id"))
+_from_text("cross_references", lambda e: R.cross_references(e).drop("execution"))
+
+
+@query("SELECT g AS global_name, count(*) AS n, min(len(value)) AS shortest, max(len(value)) AS longest FROM parsed GROUP BY 1")
+def entries_from_stream(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/quillgraph-stream-{uuid.uuid4().hex}"
+    keep_up(stream_entries(spark, export_files(spark, sf), 2), lambda df, n: df.select("global_name", "value").write.mode("append").parquet(f"{folder}/entries"), f"{folder}/progress").awaitTermination()
+    size = F.length("value").cast("bigint")
+    return spark.read.parquet(f"{folder}/entries").groupBy("global_name").agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("shortest"), F.max(size).alias("longest"))
+
+
 # -- packages (S5, P21-P23, W3, J3, J16, A20, A24) ---------------------------------------------------------------------
 
 
@@ -164,7 +189,10 @@ def fields_by_type(spark: SparkSession, sf: str) -> DataFrame:
     CAST(CASE WHEN p.k % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN p.continued AND (p.k + 1) % 5 = 0 THEN 1 ELSE 0 END AS INT) AS n_numbers FROM packages p"""
 )
 def packages_from_rows(spark: SparkSession, sf: str) -> DataFrame:
-    p = R.packages(inputs(spark, sf, "package_rows"))
+    return _packages(R.packages(inputs(spark, sf, "package_rows")))
+
+
+def _packages(p: DataFrame) -> DataFrame:
     own = F.array_sort("first_prefixes")
     more = F.array_sort(F.slice("prefixes", F.size("first_prefixes") + 1, F.size("prefixes")))
     return p.select("name", "directory", F.array_join(F.concat(own, F.reverse(more)), ",").alias("prefixes"), "vdl_id", "files_low", "files_high", F.size("file_numbers").alias("n_numbers"))
@@ -173,6 +201,13 @@ def packages_from_rows(spark: SparkSession, sf: str) -> DataFrame:
 SQL["packages_from_rows"] = SQL["packages_from_rows"].replace("ORDER BY o, prefix", "ORDER BY o, CASE WHEN o = 1 THEN prefix END, prefix DESC")
 
 
+def packages_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return _packages(R.packages(read_packages(spark, package_file(spark, sf))))
+
+
+QUERIES["packages_from_csv"], SQL["packages_from_csv"] = packages_from_csv, SQL["packages_from_rows"]
+
+
 @query("SELECT prefix, arg_max(name, k) AS name FROM prefix_list WHERE o = 1 GROUP BY prefix")
 def package_by_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return B.package_by_prefix(R.packages(inputs(spark, sf, "package_rows")))
@@ -203,13 +238,16 @@ def prefixes_of_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _edge_query(name: str, sql: str, columns: list[str]) -> None:
-    _graph_query(f"edges_{name.lower()}", lambda g: g.edges(name).select(*columns, "confidence"), sql, name not in ())
+    """Edges as they are built, not as saved."""
+    whole = name in ("SUBFILE_OF", "INDEXED_BY", "VARIABLE_POINTER")
+    QUERIES[f"edges_{name.lower()}"] = lambda spark, sf: sample_graph(spark, sf, whole).edges(name).select(*columns, "confidence")
+    SQL[f"edges_{name.lower()}"] = _sql(sql)
 
 
 _edge_query("CONTAINS_FILE", "SELECT src, dst, CAST(0.8 AS DOUBLE) AS confidence FROM contains_file", ["src", "dst"])
 _edge_query("CONTAINS_FIELD", "SELECT src, dst, split_part(dst, ':', 2) AS field_number, CAST(1 AS DOUBLE) AS confidence FROM contains_field", ["src", "dst", "field_number"])
 _edge_query("POINTS_TO", "SELECT src, dst, CAST(1 AS DOUBLE) AS confidence FROM points_to", ["src", "dst"])
-_edge_query("SUBFILE_OF", "SELECT src, dst, CAST(NULL AS STRING) AS parent_field, CAST(2 AS INT) AS level, CAST(1 AS DOUBLE) AS confidence FROM subfile_of", ["src", "dst", "parent_field", "level"])
+_edge_query("SUBFILE_OF", "SELECT src, dst, CAST(NULL AS STRING) AS parent_field, CAST(len(string_split(src, '.')) AS INT) AS level, CAST(1 AS DOUBLE) AS confidence FROM subfile_of", ["src", "dst", "parent_field", "level"])
 _edge_query("INDEXED_BY", "SELECT src, dst, name AS xref_name, xref_type, set_logic AS set_condition, CAST(NULL AS STRING) AS kill_condition, CAST(1 AS DOUBLE) AS confidence FROM indexed_by", ["src", "dst", "xref_name", "xref_type", "set_condition", "kill_condition"])
 _edge_query("VARIABLE_POINTER", "SELECT src, dst, target_file, target_global, nullif(target_description, '') AS target_description, v_number, CAST(1 AS DOUBLE) AS confidence FROM variable_pointer", ["src", "dst", "target_file", "target_global", "target_description", "v_number"])
 
@@ -273,7 +311,7 @@ _graph_query("count_by_label", lambda g: g.count_by_label(), "SELECT label, coun
 _graph_query("count_by_type", lambda g: g.count_by_type(), "SELECT type, count(*) AS count FROM all_edges GROUP BY 1")
 _graph_query("all_node_keys", lambda g: g.all_nodes(), "SELECT label, key FROM all_nodes")
 _graph_query("all_edge_ends", lambda g: g.all_edges(), "SELECT type, src, dst FROM all_edges")
-_graph_query("key_repeats", lambda g: g.key_repeats(), "SELECT label, CAST(0 AS BIGINT) AS repeats FROM all_nodes GROUP BY 1")
+_graph_query("key_repeats", lambda g: g.key_repeats(), "SELECT label, count(*) FILTER (n > 1) AS repeats FROM (SELECT label, key, count(*) AS n FROM all_nodes GROUP BY 1, 2) GROUP BY 1")
 _graph_query("bad_confidence", lambda g: g.bad_confidence(), "SELECT type, CAST(0 AS BIGINT) AS bad FROM all_edges GROUP BY 1")
 _graph_query("graph_info", lambda g: g.info(), "WITH i AS (SELECT 'node' AS kind, label AS name, count(*) AS count FROM all_nodes GROUP BY 2 UNION ALL SELECT 'edge', type, count(*) FROM all_edges GROUP BY 2) SELECT * FROM i UNION ALL SELECT kind, 'total', CAST(sum(count) AS BIGINT) FROM i GROUP BY 1".replace("WITH i AS (", "SELECT * FROM (WITH i AS (").replace("GROUP BY 1", "GROUP BY 1)"))
 _graph_query(
@@ -283,32 +321,76 @@ _graph_query(
 )
 _graph_query("connections", lambda g: g.connections(), "SELECT * FROM (VALUES ('Package', 'CONTAINS_FILE', 'File'), ('File', 'CONTAINS_FIELD', 'Field'), ('Field', 'POINTS_TO', 'File'), ('File', 'SUBFILE_OF', 'File'), ('Field', 'INDEXED_BY', 'CrossReference'), ('Field', 'VARIABLE_POINTER', 'File')) AS t(from_label, type, to_label)")
 
+
+
+@query("SELECT 'node:' || label AS name, count(*) AS rows FROM all_nodes GROUP BY 1 UNION ALL SELECT 'edge:' || type, count(*) FROM all_edges GROUP BY 1")
+def written_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that the save of the graph has written (A21); the first question to the graph of some tables saves it."""
+    rows = [(("edge:" if k in EDGE_TYPES else "node:") + k, n) for k, n in counts_written(spark, sf).items()]
+    return spark.createDataFrame(rows, "name string, rows bigint")
+
+
+_graph_query(
+    "graph_schema",
+    lambda g: g.schema().where("name IN ('File', 'Package', 'CONTAINS_FILE')").select("kind", "name", F.col("column").alias("attribute"), F.col("dtype").alias("kind_of_value")),
+    """SELECT * FROM (VALUES ('node', 'File', 'number', 'string'), ('node', 'File', 'name', 'string'), ('node', 'File', 'global_root', 'string'), ('node', 'File', 'parent_file', 'string'), ('node', 'File', 'is_subfile', 'boolean'),
+    ('node', 'Package', 'file_no', 'bigint'), ('node', 'Package', 'name', 'string'), ('node', 'Package', 'directory', 'string'), ('node', 'Package', 'prefixes', 'array<string>'), ('node', 'Package', 'vdl_id', 'string'), ('node', 'Package', 'files_low', 'string'),
+    ('node', 'Package', 'files_high', 'string'), ('node', 'Package', 'file_numbers', 'array<string>'), ('node', 'Package', 'first_prefixes', 'array<string>'), ('edge', 'CONTAINS_FILE', 'src', 'string'), ('edge', 'CONTAINS_FILE', 'dst', 'string'), ('edge', 'CONTAINS_FILE', 'confidence', 'double')) AS t(kind, name, attribute, kind_of_value)""",
+)
+
+
+def _faulty(spark: SparkSession, sf: str) -> Graph:
+    """Files that stand twice, and containment whose confidence is out of its range at times."""
+    g, n = saved_graph(spark, sf), F.expr("CAST(split_part(number, '.', 1) AS BIGINT)")
+    files = g.nodes("File")
+    edges = g.edges("CONTAINS_FILE").withColumn("confidence", F.when(F.col("dst").endswith("5"), 1.5).when(F.col("dst").endswith("1"), -0.25).otherwise(F.col("confidence")))
+    return Graph(spark, {"File": files.unionByName(files.where(n % 20 == 0))}, {"CONTAINS_FILE": edges, "POINTS_TO": g.edges("POINTS_TO")})
+
+
+@query("SELECT 'File' AS label, count(*) AS repeats FROM files WHERE CAST(split_part(number, '.', 1) AS BIGINT) % 20 = 0")
+def faulty_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return _faulty(spark, sf).key_repeats()
+
+
+@query("SELECT 'CONTAINS_FILE' AS type, count(*) FILTER (ends_with(dst, '5') OR ends_with(dst, '1')) AS bad FROM contains_file UNION ALL SELECT 'POINTS_TO', CAST(0 AS BIGINT)")
+def faulty_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    return _faulty(spark, sf).bad_confidence()
+
+
+@query("SELECT CAST(1 AS BIGINT) AS test")
+def ping(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.range(1).select((F.col("id") + 1).alias("test"))
+
+
 # -- filters and lookups (F1-F6, F11) ------------------------------------------------------------------------------------------
 
-_graph_query("find_file", lambda g: Q.find(g, "File", "number", "10").select("number", "name"), "SELECT number, name FROM files WHERE number = '10'", False)
-_graph_query("find_fields", lambda g: Q.find(g, "Field", "data_type", "P").select("file_number", "number"), "SELECT file_number, number FROM fields WHERE data_type = 'P'", False)
-_graph_query("subfile_numbers", lambda g: g.nodes("File").where(F.col("number").contains(".")).select("number", D.nesting_level(F.col("number")).alias("level")), "SELECT number, CAST(2 AS INT) AS level FROM files WHERE contains(number, '.')", False)
+_graph_query("find_file", lambda g: Q.find(g, "File", "number", "10").select("number", "name"), "SELECT number, name FROM files WHERE number = '10'")
+_graph_query("find_fields", lambda g: Q.find(g, "Field", "data_type", "P").select("file_number", "number"), "SELECT file_number, number FROM fields WHERE data_type = 'P'")
+_graph_query("subfile_numbers", lambda g: g.nodes("File").where(F.col("number").contains(".")).select("number", D.nesting_level(F.col("number")).alias("level")), "SELECT number, CAST(len(string_split(number, '.')) AS INT) AS level FROM files WHERE contains(number, '.')")
 
 # -- questions (J9-J15, A7-A18, O1-O10) ----------------------------------------------------------------------------------------
 
-_graph_query("orphan_files", Q.orphan_files, "SELECT number, name FROM files WHERE number NOT IN (SELECT dst FROM contains_file)", False)
-_graph_query("dangling_pointers", Q.dangling_pointers, "SELECT file_number, number, name, target_file FROM fields WHERE is_pointer AND field_id NOT IN (SELECT src FROM points_to)", False)
+_graph_query("orphan_files", Q.orphan_files, "SELECT number, name FROM files WHERE number NOT IN (SELECT dst FROM contains_file)")
+_graph_query("dangling_pointers", Q.dangling_pointers, "SELECT file_number, number, name, target_file FROM fields WHERE is_pointer AND field_id NOT IN (SELECT src FROM points_to)")
 _join = lambda c, *fs: F.array_join(F.transform(c, lambda x: F.concat_ws("|", *[x[f] for f in fs])), ",")
 _graph_query(
     "file_with_fields",
     lambda g: Q.file_with_fields(g).select("number", "name", F.size("fields").alias("n"), _join("fields", "f_number", "f_name", "data_type").alias("fields")),
     "SELECT f.number, f.name, CAST(count(d.number) AS INT) AS n, coalesce(string_agg(d.number || '|' || d.name || '|' || d.data_type, ',' ORDER BY d.number), '') AS fields FROM files f LEFT JOIN fields d ON d.file_number = f.number GROUP BY 1, 2",
-    False,
 )
 _graph_query(
     "package_with_files",
     lambda g: Q.package_with_files(g).select("name", F.size("files").alias("n"), _join("files", "number", "file_name").alias("files")),
     "SELECT p.name, CAST(count(c.dst) AS INT) AS n, coalesce(string_agg(f.number || '|' || f.name, ',' ORDER BY f.number), '') AS files FROM packages p LEFT JOIN contains_file c ON c.src = p.name LEFT JOIN files f ON f.number = c.dst GROUP BY 1",
-    False,
 )
-_graph_query("file_dependencies", Q.file_dependencies, "SELECT h.src AS file_number, h.dst AS target, f.name AS target_name, count(*) AS reference_count FROM hops h JOIN files f ON f.number = h.dst GROUP BY 1, 2, 3", False)
-_graph_query("file_dependents", Q.file_dependents, "SELECT h.dst AS target, h.src AS file_number, f.name AS file_name, count(*) AS reference_count FROM hops h JOIN files f ON f.number = h.src GROUP BY 1, 2, 3", False)
-_graph_query("dependents_of_one", lambda g: Q.file_dependents(g, "10"), "SELECT h.dst AS target, h.src AS file_number, f.name AS file_name, count(*) AS reference_count FROM hops h JOIN files f ON f.number = h.src WHERE h.dst = '10' GROUP BY 1, 2, 3", False)
+_graph_query(
+    "some_packages_with_files",
+    lambda g: Q.package_with_files(g).select("name", F.size("files").alias("n")).orderBy("name").limit(5),
+    "SELECT p.name, CAST(count(c.dst) AS INT) AS n FROM packages p LEFT JOIN contains_file c ON c.src = p.name GROUP BY 1 ORDER BY 1 LIMIT 5",
+)
+_graph_query("file_dependencies", Q.file_dependencies, "SELECT h.src AS file_number, h.dst AS target, f.name AS target_name, count(*) AS reference_count FROM hops h JOIN files f ON f.number = h.dst GROUP BY 1, 2, 3")
+_graph_query("file_dependents", Q.file_dependents, "SELECT h.dst AS target, h.src AS file_number, f.name AS file_name, count(*) AS reference_count FROM hops h JOIN files f ON f.number = h.src GROUP BY 1, 2, 3")
+_graph_query("dependents_of_one", lambda g: Q.file_dependents(g, "10"), "SELECT h.dst AS target, h.src AS file_number, f.name AS file_name, count(*) AS reference_count FROM hops h JOIN files f ON f.number = h.src WHERE h.dst = '10' GROUP BY 1, 2, 3")
 _graph_query(
     "field_cross_references",
     lambda g: Q.field_cross_references(g).select("field_id", "name", F.size("cross_references").alias("n"), _join("cross_references", "x_name", "x_type", "set_logic").alias("xrefs")),
@@ -321,8 +403,8 @@ _graph_query(
 )
 _graph_query("xrefs_by_file", Q.xrefs_by_file, "SELECT file_number, count(*) AS xref_count FROM xrefs GROUP BY 1")
 _graph_query("most_indexed_fields", Q.most_indexed_fields, "SELECT d.file_number, d.number AS field_number, d.name AS field_name, count(*) AS xref_count FROM indexed_by i JOIN fields d ON d.field_id = i.src GROUP BY 1, 2, 3 ORDER BY 4 DESC, 1, 2 LIMIT 20")
-_graph_query("files_with_most_fields", Q.files_with_most_fields, "SELECT f.number, f.name, count(*) AS field_count FROM contains_field c JOIN files f ON f.number = c.src GROUP BY 1, 2 ORDER BY 3 DESC, 1 LIMIT 10", False)
-_graph_query("most_referenced_files", Q.most_referenced_files, "SELECT f.number, f.name, count(*) AS reference_count FROM points_to c JOIN files f ON f.number = c.dst GROUP BY 1, 2 ORDER BY 3 DESC, 1 LIMIT 10", False)
+_graph_query("files_with_most_fields", Q.files_with_most_fields, "SELECT f.number, f.name, count(*) AS field_count FROM contains_field c JOIN files f ON f.number = c.src GROUP BY 1, 2 ORDER BY 3 DESC, 1 LIMIT 10")
+_graph_query("most_referenced_files", Q.most_referenced_files, "SELECT f.number, f.name, count(*) AS reference_count FROM points_to c JOIN files f ON f.number = c.dst GROUP BY 1, 2 ORDER BY 3 DESC, 1 LIMIT 10")
 _graph_query("check_minima", Q.check_minima, "SELECT t.type, CAST(t.e AS BIGINT) AS expected, count(a.src) AS actual, CASE WHEN count(a.src) >= t.e THEN 'PASS' ELSE 'FAIL' END AS status FROM (VALUES ('INDEXED_BY', 100), ('SUBFILE_OF', 10), ('VARIABLE_POINTER', 1)) AS t(type, e) LEFT JOIN all_edges a ON a.type = t.type GROUP BY t.type, t.e")
 _graph_query(
     "validation",
@@ -333,8 +415,8 @@ _graph_query(
 
 # -- traversals (T1-T6, D14, D18) ----------------------------------------------------------------------------------------------
 
-_graph_query("find_subfiles", Q.find_subfiles, "SELECT s.dst AS parent_number, s.src AS child_number, f.name AS child_name, CAST(2 AS INT) AS level FROM subfile_of s JOIN files f ON f.number = s.src")
-_graph_query("pointer_chain", lambda g: Q.pointer_chain(g).select("start", "node", "hops"), "SELECT src AS start, dst AS node, CAST(1 AS INT) AS hops FROM points_to", False)
+_graph_query("find_subfiles", Q.find_subfiles, "SELECT s.dst AS parent_number, s.src AS child_number, f.name AS child_name, CAST(len(string_split(s.src, '.')) AS INT) AS level FROM subfile_of s JOIN files f ON f.number = s.src")
+_graph_query("pointer_chain", lambda g: Q.pointer_chain(g).select("start", "node", "hops"), "SELECT src AS start, dst AS node, CAST(1 AS INT) AS hops FROM points_to")
 _graph_query("subfile_paths", lambda g: Q.subfile_paths(g).select("start", "node", "hops", F.array_join("nodes", ">").alias("nodes")), "SELECT dst AS start, src AS node, CAST(1 AS INT) AS hops, dst || '>' || src AS nodes FROM subfile_of")
 _graph_query("ancestors", lambda g: Q.ancestors(g).select("start", "node", "hops"), "SELECT src AS start, dst AS node, CAST(1 AS INT) AS hops FROM subfile_of")
 _graph_query("subfile_counts", Q.subfile_counts, "SELECT f.number AS root_file, f.name AS root_name, count(s.src) AS subfile_count FROM files f LEFT JOIN subfile_of s ON s.dst = f.number WHERE f.number NOT IN (SELECT src FROM subfile_of) GROUP BY 1, 2")
@@ -342,27 +424,66 @@ _graph_query(
     "three_file_flow",
     lambda g: Q.file_flow(g, g.nodes("File").select(F.col("number").alias("node")), 2).groupBy("hops", "node").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("start").alias("starts")),
     "SELECT CAST(1 AS INT) AS hops, dst AS node, count(*) AS n, count(DISTINCT src) AS starts FROM hops GROUP BY dst UNION ALL SELECT 2, b.dst, count(*), count(DISTINCT a.src) FROM hops a JOIN hops b ON a.dst = b.src AND a.field <> b.field GROUP BY b.dst",
-    False,
 )
 _graph_query(
     "pointer_cycles",
     lambda g: W.cycles(Q.file_flow(g, g.nodes("File").select(F.col("number").alias("node")), 1).select(F.get("edge_ids", 0).alias("edge_id"), F.col("start").alias("src"), F.col("node").alias("dst")), 2),
     "SELECT node, CAST(min(h) AS INT) AS hops FROM (SELECT src AS node, 1 AS h FROM hops WHERE src = dst UNION ALL SELECT a.src, 2 FROM hops a JOIN hops b ON a.dst = b.src AND b.dst = a.src AND a.field <> b.field) GROUP BY 1",
-    False,
 )
 
+# -- traversals of any depth, on files whose parents have parents, and cycles of three (T1-T4, A15, D18) ------------------------
+
+_DEEP = "SELECT CAST(c_custkey AS STRING) AS src, CAST(c_custkey // 3 AS STRING) AS dst FROM customer WHERE c_custkey >= 3"
+_DOWN = f"WITH RECURSIVE e AS ({_DEEP}), w AS (SELECT dst AS start, src AS node, 1 AS hops, dst || '>' || src AS nodes FROM e UNION ALL SELECT w.start, e.src, w.hops + 1, w.nodes || '>' || e.src FROM w JOIN e ON e.dst = w.node)"
+
+
+def _deep(spark: SparkSession, sf: str) -> Graph:
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("k"), "c_name")
+    edges = c.where("k >= 3").select(F.col("k").cast("string").alias("src"), F.floor(F.col("k") / 3).cast("string").alias("dst"), F.lit(1.0).alias("confidence"))
+    return Graph(spark, {"File": c.select(F.col("k").cast("string").alias("number"), F.col("c_name").alias("name"))}, {"SUBFILE_OF": edges})
+
+
+def deep_subfile_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.subfile_paths(_deep(spark, sf)).select("start", "node", "hops", F.array_join("nodes", ">").alias("nodes"))
+
+
+def deep_ancestors(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.ancestors(_deep(spark, sf)).select("start", "node", "hops")
+
+
+def deep_subfile_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.subfile_counts(_deep(spark, sf))
+
+
+for _f, _body in (
+    (deep_subfile_paths, f"{_DOWN} SELECT start, node, CAST(hops AS INT) AS hops, nodes FROM w"),
+    (deep_ancestors, f"{_DOWN} SELECT node AS start, start AS node, CAST(hops AS INT) AS hops FROM w"),
+    (deep_subfile_counts, f"{_DOWN} SELECT CAST(c_custkey AS STRING) AS root_file, c_name AS root_name, (SELECT count(*) FROM w WHERE start = CAST(c_custkey AS STRING)) AS subfile_count FROM customer WHERE c_custkey < 3"),
+):
+    QUERIES[_f.__name__], SQL[_f.__name__] = _f, _body
+
+
+_RING = "SELECT CAST(s_suppkey AS STRING) AS src, CAST(CASE WHEN s_suppkey % 3 = 2 AND s_suppkey % 4 <> 0 THEN s_suppkey - 2 ELSE s_suppkey + 1 END AS STRING) AS dst FROM {supplier}"
+
+
+@query(f"WITH e AS ({_RING.format(supplier='supplier')}) SELECT DISTINCT a.src AS node, CAST(3 AS INT) AS hops FROM e a JOIN e b ON a.dst = b.src JOIN e c ON b.dst = c.src AND c.dst = a.src")
+def cycles_of_three(spark: SparkSession, sf: str) -> DataFrame:
+    edges = spark.sql(_RING, supplier=spark.read.parquet(f"{sf}/supplier.parquet"))
+    return W.cycles(edges.select(F.concat_ws(">", "src", "dst").alias("edge_id"), "src", "dst"), 3)
+
+
 # -- further reports (D10-D12, D15, D16, D19, D20) -------------------------------------------------------------------------------
 
-_graph_query("file_structure", Q.file_structure, "SELECT d.file_number, d.number, d.name, d.data_type, f.name AS target_name FROM fields d JOIN files o ON o.number = d.file_number LEFT JOIN files f ON f.number = d.target_file", False)
-_graph_query("required_or_linked", Q.required_or_linked, "SELECT file_number, number, name, data_type FROM fields WHERE required OR data_type IN ('P', 'V')", False)
+_graph_query("file_structure", Q.file_structure, "SELECT d.file_number, d.number, d.name, d.data_type, f.name AS target_name FROM fields d JOIN files o ON o.number = d.file_number LEFT JOIN files f ON f.number = d.target_file")
+_graph_query("required_or_linked", Q.required_or_linked, "SELECT file_number, number, name, data_type FROM fields WHERE required OR data_type IN ('P', 'V')")
 _graph_query(
     "impact",
     Q.impact,
     "SELECT f.number, f.name, (SELECT count(*) FROM contains_field c WHERE c.src = f.number) AS fields, (SELECT count(*) FROM points_to p WHERE p.dst = f.number) AS pointing_fields, (SELECT count(DISTINCT h.src) FROM hops h WHERE h.dst = f.number) AS pointing_files, (SELECT count(*) FROM subfile_of s WHERE s.dst = f.number) AS subfiles FROM files f",
 )
 _graph_query("fan_in_out", lambda g: Q.degree(g, ["CONTAINS_FIELD", "POINTS_TO"]), "SELECT key, CAST(sum(o) AS BIGINT) AS fan_out, CAST(sum(i) AS BIGINT) AS fan_in FROM (SELECT src AS key, 1 AS o, 0 AS i FROM all_edges WHERE type IN ('CONTAINS_FIELD', 'POINTS_TO') UNION ALL SELECT dst, 0, 1 FROM all_edges WHERE type IN ('CONTAINS_FIELD', 'POINTS_TO')) GROUP BY 1")
-_graph_query("subfiles_by_parent", Q.subfiles_by_parent, "SELECT dst AS parent, count(*) AS n, string_agg(src, ',' ORDER BY src) AS children FROM subfile_of GROUP BY 1", False)
-_graph_query("missing_parents", lambda g: Q.missing_parents(_without_tens(g)), "SELECT DISTINCT split_part(number, '.', 1) AS number, 'FILE_' || split_part(number, '.', 1) AS name, CAST(0.5 AS DOUBLE) AS confidence FROM files WHERE contains(number, '.') AND split_part(number, '.', 1) LIKE '%0'", False)
+_graph_query("subfiles_by_parent", Q.subfiles_by_parent, "SELECT dst AS parent, count(*) AS n, string_agg(src, ',' ORDER BY src) AS children FROM subfile_of GROUP BY 1")
+_graph_query("missing_parents", lambda g: Q.missing_parents(_without_tens(g)), "SELECT DISTINCT split_part(number, '.', 1) AS number, 'FILE_' || split_part(number, '.', 1) AS name, CAST(0.5 AS DOUBLE) AS confidence FROM files WHERE contains(number, '.') AND split_part(number, '.', 1) LIKE '%0'")
 _graph_query(
     "migration",
     Q.migration,
@@ -376,14 +497,20 @@ def _without_tens(graph: Graph) -> Graph:
     return Graph(graph.spark, graph.node_frames | {"File": graph.nodes("File").where(~F.col("number").endswith("0") | F.col("number").contains("."))}, graph.edge_frames)
 
 
-# -- routine sources (D1, D2, D4-D6, D9, D17), here over documents and rendered sources ------------------------------------------
+# -- routine sources (D1-D9, D13, D17), here over documents and rendered sources ------------------------------------------------
 
-_SOURCE = "'R' || (c_custkey % 97) || 'X ;; header' || chr(10) || 'EN' || c_custkey || '(A,B) ;start' || chr(10) || ' S X=' || c_custkey || ' D TAG^DIC(2,0) ;set' || chr(10) || ' Q $$F(\"A\")' || chr(10) || CASE WHEN c_custkey % 2 = 0 THEN 'TAG ; note' ELSE ' ; no label' END"
-_SOURCES = f"SELECT CASE WHEN c_custkey % 3 = 0 THEN 'N' ELSE 'Y' END || c_custkey AS routine, {_SOURCE} AS text FROM customer"
+#: A source of each customer: a header, patches, an entry point that calls the routine of another customer or its own, and a second label.
+_CALLED = "CASE WHEN c_custkey % 4 = 1 THEN c_custkey ELSE 7 * (c_custkey // 7) + 1 END"
+_NAME = "CASE WHEN {k} % 3 = 0 THEN 'N' ELSE 'Y' END || CAST({k} AS STRING)"
+_SOURCE = f"""'R' || CAST(c_custkey % 97 AS STRING) || 'X ;; header' || chr(10) || ' ;;' || CAST(c_custkey % 7 AS STRING) || '.0;KIT;' || CASE WHEN c_custkey % 5 = 0 THEN '**' || CAST(c_custkey AS STRING) || ',9**;' ELSE '' END || 'Aug' || chr(10)
+    || 'EN' || CAST(c_custkey AS STRING) || '(A,B) ;start' || chr(10) || ' S X=' || CAST(c_custkey AS STRING) || ' D TAG^' || {_NAME.format(k=f'({_CALLED})')} || '(2,0) ;set [a] 20240131' || chr(10) || ' Q $$F("A")' || chr(10) || CASE WHEN c_custkey % 2 = 0 THEN 'ZAG ; note' ELSE 'TAG' END || chr(10) || ' S ^DPT(1)="Ab",^DIC(2)=3 Q 1'"""
+_SOURCES = f"SELECT c_custkey AS k, {_NAME.format(k='c_custkey')} AS routine, {_SOURCE} AS text FROM customer"
+_OWNED = "SELECT s.routine, arg_max(p.name, length(p.prefix)) AS package, arg_max(p.prefix, length(p.prefix)) AS prefix FROM s JOIN (SELECT prefix, arg_max(name, k) AS name FROM prefix_list WHERE o = 1 GROUP BY prefix) p ON starts_with(s.routine, p.prefix) GROUP BY 1"
 
 
 def _sources(spark: SparkSession, sf: str) -> DataFrame:
-    return M.lines_of(spark.sql(_SOURCES.replace("FROM customer", "FROM {customer}"), customer=spark.read.parquet(f"{sf}/customer.parquet")))
+    texts = spark.sql(_SOURCES.replace("FROM customer", "FROM {customer}").replace("//", "div"), customer=spark.read.parquet(f"{sf}/customer.parquet"))
+    return M.lines_of(texts)
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -392,14 +519,14 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH s AS ({_SOURCES}) SELECT routine, 'EN' || substr(routine, 2) AS label, CAST(2 AS INT) AS line_no, 'A|B' AS parameters, 'start' AS comment, true AS is_entry_point FROM s
-    UNION ALL SELECT routine, 'TAG', 5, '', 'note', false FROM s WHERE contains(text, 'TAG ;')"""
+    f"""WITH s AS ({_SOURCES}) SELECT routine, 'EN' || k AS label, CAST(3 AS INT) AS line_no, 'A|B' AS parameters, 'start' AS comment, true AS is_entry_point, true AS is_function FROM s
+    UNION ALL SELECT routine, CASE WHEN k % 2 = 0 THEN 'ZAG' ELSE 'TAG' END, 6, '', CASE WHEN k % 2 = 0 THEN 'note' ELSE '' END, false, false FROM s"""
 )
 def routine_labels(spark: SparkSession, sf: str) -> DataFrame:
     return M.labels(_sources(spark, sf)).withColumn("parameters", F.array_join("parameters", "|"))
 
 
-@query(f"WITH s AS ({_SOURCES}) SELECT s.routine, arg_max(p.name, length(p.prefix)) AS package FROM s JOIN (SELECT prefix, arg_max(name, k) AS name FROM prefix_list WHERE o = 1 GROUP BY prefix) p ON starts_with(s.routine, p.prefix) GROUP BY 1")
+@query(f"WITH s AS ({_SOURCES}) {_OWNED}")
 def routine_owners(spark: SparkSession, sf: str) -> DataFrame:
     return M.owners(_sources(spark, sf), B.package_by_prefix(R.packages(inputs(spark, sf, "package_rows"))))
 
@@ -409,6 +536,45 @@ def orphan_routines(spark: SparkSession, sf: str) -> DataFrame:
     return M.orphan_routines(_sources(spark, sf), routine_owners(spark, sf))
 
 
+@query("SELECT 'N' || c_nationkey AS routine, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1")
+def repeated_routines(spark: SparkSession, sf: str) -> DataFrame:
+    names = spark.read.parquet(f"{sf}/customer.parquet").select(F.concat(F.lit("N"), "c_nationkey").alias("routine"))
+    return M.repeated_routines(names).withColumnRenamed("count", "n")
+
+
+def _routines(spark: SparkSession, sf: str) -> Graph:
+    return B.with_routines(Graph(spark, {"Package": R.packages(inputs(spark, sf, "package_rows"))}), _sources(spark, sf))
+
+
+@query(f"WITH s AS ({_SOURCES}), o AS ({_OWNED}) SELECT routine AS name, o.package AS package_name, o.prefix, CAST(7 AS BIGINT) AS lines_of_code, (k % 7) || '.0' AS version, CASE WHEN k % 5 = 0 THEN k || '|9' ELSE '' END AS patches, 'header' AS description FROM s LEFT JOIN o USING (routine)")
+def routine_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    return _routines(spark, sf).nodes("Routine").withColumn("patches", F.array_join("patches", "|"))
+
+
+@query(f"WITH s AS ({_SOURCES}), n AS (SELECT routine, 3 AS line_number, 'EN' || k AS label FROM s UNION ALL SELECT routine, 6, CASE WHEN k % 2 = 0 THEN 'ZAG' ELSE 'TAG' END FROM s) SELECT routine AS src, routine || ':' || label || ':' || line_number AS dst, CAST(line_number AS INT) AS line_number, CAST(1 AS DOUBLE) AS confidence FROM n")
+def edges_contains_label(spark: SparkSession, sf: str) -> DataFrame:
+    return _routines(spark, sf).edges("CONTAINS_LABEL")
+
+
+@query(f"WITH s AS ({_SOURCES}) SELECT package AS src, routine AS dst, prefix, CAST(1 AS DOUBLE) AS confidence FROM ({_OWNED})")
+def edges_owns_routine(spark: SparkSession, sf: str) -> DataFrame:
+    return _routines(spark, sf).edges("OWNS_ROUTINE")
+
+
+_CALLS = f"s AS ({_SOURCES}), c AS (SELECT routine, {_CALLED.replace('c_custkey', 'k')} AS t, k FROM s), d AS (SELECT c.routine, c.k, x.routine AS dep FROM c JOIN s x ON x.k = c.t WHERE x.k % 2 = 1)"
+
+
+@query(f"WITH {_CALLS} SELECT routine || ':EN' || k || ':3' AS src, dep || ':TAG:6' AS dst, CAST(1 AS DOUBLE) AS confidence FROM d")
+def edges_calls(spark: SparkSession, sf: str) -> DataFrame:
+    return _routines(spark, sf).edges("CALLS")
+
+
+@query(f"WITH {_CALLS} SELECT routine, dep AS depends_on, count(*) AS call_count FROM d WHERE routine <> dep GROUP BY 1, 2")
+def routine_dependencies(spark: SparkSession, sf: str) -> DataFrame:
+    lines = _sources(spark, sf)
+    return M.dependencies(M.calls(lines), M.labels(lines))
+
+
 _LINES_OF = "SELECT routine, CAST(i AS INT) AS line_no, l[i] AS line FROM (SELECT routine, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT routine, string_split(text, chr(10)) AS l FROM ({})))"
 _COUNTS = ", ".join(f"CAST(len(regexp_extract_all(line, '{p}')) AS INT) AS {n}" for n, p in M.PATTERNS.items() if n != "symbols")
 
@@ -418,7 +584,45 @@ _COUNTS = ", ".join(f"CAST(len(regexp_extract_all(line, '{p}')) AS INT) AS {n}"
     nullif(regexp_extract(line, '^ *([A-Z]+) ', 1), '') AS command, {_COUNTS}, CAST(length(regexp_replace(line, '[A-Za-z0-9_ ]', '', 'g')) AS INT) AS symbols FROM s"""
 )
 def line_features(spark: SparkSession, sf: str) -> DataFrame:
-    return M.features(_sources(spark, sf))
+    return M.features(_sources(spark, sf)).drop("global_names")
+
+
+_WIDE = ", ".join(f"CAST(len(regexp_extract_all(line, '{p}')) AS INT) AS {n}" for n, p in M.WIDER.items())
+_CHARS = ", ".join(f"CAST(len(regexp_replace(line, '{p.replace(chr(39), chr(39) * 2)}', '', 'g')) AS INT) AS {n}" for n, p in M.CLASSES.items())
+
+
+@query(f"WITH s AS ({_LINES_OF.format(_SOURCES)}) SELECT routine, line_no, {_WIDE}, {_CHARS} FROM s")
+def wider_line_features(spark: SparkSession, sf: str) -> DataFrame:
+    return M.wider_features(_sources(spark, sf))
+
+
+@query(
+    f"""WITH s AS ({_LINES_OF.format(_SOURCES)}), t AS (SELECT routine, unnest(regexp_extract_all(line, '\\^[A-Z0-9$%]+')) AS g FROM s) SELECT routine, (SELECT string_agg(DISTINCT g, ',' ORDER BY g) FROM t WHERE t.routine = s.routine) AS unique_globals, string_agg(DISTINCT nullif(regexp_extract(line, '^ *([A-Z]+) ', 1), ''), ',' ORDER BY nullif(regexp_extract(line, '^ *([A-Z]+) ', 1), '')) AS commands FROM s GROUP BY routine"""
+)
+def routine_roll_up(spark: SparkSession, sf: str) -> DataFrame:
+    return M.roll_up(M.features(_sources(spark, sf))).select("routine", "unique_globals", "commands")
+
+
+@query("SELECT p_brand AS stratum, least(count(*), 5) AS n FROM part GROUP BY 1")
+def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    return M.stratified(part.select("p_partkey", "p_brand"), F.col("p_brand"), 5).groupBy(F.col("p_brand").alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_SCHEMAS = "SELECT c_mktsegment AS schema, avg(c_nationkey) / 25.0 AS technical_score, avg(c_custkey % 10) / 10.0 AS stakeholder_fit, avg(c_custkey % 4) / 4.0 AS implementability, CAST(NULL AS DOUBLE) AS maintainability FROM {customer} GROUP BY c_mktsegment"
+
+
+@query(f"SELECT schema, round(0.4 * technical_score + 0.3 * stakeholder_fit + 0.2 * implementability, 9) AS score FROM ({_SCHEMAS.format(customer='customer')}) ORDER BY 2 DESC LIMIT 1")
+def best_schema(spark: SparkSession, sf: str) -> DataFrame:
+    told = spark.sql(_SCHEMAS, customer=spark.read.parquet(f"{sf}/customer.parquet"))
+    return M.best(M.scores(told)).withColumn("score", F.round("score", 9))
+
+
+@query("SELECT CASE l_returnflag WHEN 'A' THEN 'exact' WHEN 'N' THEN 'label' ELSE 'guess' END AS how, CAST(CASE l_returnflag WHEN 'A' THEN 1.0 WHEN 'N' THEN 0.7 ELSE 0.5 END AS DOUBLE) AS confidence, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def confidence_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    how = F.when(F.col("l_returnflag") == "A", "exact").when(F.col("l_returnflag") == "N", "label").otherwise("guess")
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(how.alias("how"))
+    return rows.groupBy("how").agg(F.count(F.lit(1)).alias("n")).withColumn("confidence", M.confidence(F.col("how")))
 
 
 @query(

@@ -28,6 +28,8 @@ LABELS = {
     "File": Label(("number",), "number string, name string, global_root string, parent_file string, is_subfile boolean"),
     "Field": Label(("file_number", "number", "line_no"), "file_number string, number string, line_no bigint, name string, data_type string, required boolean, is_pointer boolean, is_computed boolean, is_multiple boolean, target_file string"),
     "CrossReference": Label(("xref_id",), "xref_id string, name string, file_number string, field_number string, xref_type string, xref_number string, set_logic string, kill_logic string, execution string"),
+    "Routine": Label(("name",), "name string, package_name string, prefix string, lines_of_code bigint, version string, patches array<string>, description string"),
+    "Label": Label(("label_id",), "label_id string, name string, routine_name string, line_number int, is_entry_point boolean, is_function boolean, parameters array<string>, comment string"),
 }
 EDGE_TYPES = {
     "CONTAINS_FILE": EdgeType("Package", "File", 0.8),
@@ -37,6 +39,9 @@ EDGE_TYPES = {
     "SUBFILE_OF": EdgeType("File", "File", merged=True),
     "INDEXED_BY": EdgeType("Field", "CrossReference", merged=True),
     "VARIABLE_POINTER": EdgeType("Field", "File"),
+    "CONTAINS_LABEL": EdgeType("Routine", "Label"),
+    "OWNS_ROUTINE": EdgeType("Package", "Routine"),
+    "CALLS": EdgeType("Label", "Label"),
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +26,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     A line is told by its file's place among the names, then where its split begins, then its place in the split: no shuffle, no one task.
     """
     text = spark.read.text(path)
-    names = sorted(text.inputFiles())
+    # the two ways in which Spark tells a file differ in slashes after the scheme
+    names = sorted(re.sub(":/+", ":/", n, count=1) for n in text.inputFiles())
     at = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    lines = text.select(F.col("_metadata.file_path").alias("file"), at.alias("at"), clean_bytes(F.col("value")).alias("raw"))
+    lines = text.select(F.regexp_replace("_metadata.file_path", "^([^:/]*):/+", "$1:/").alias("file"), at.alias("at"), clean_bytes(F.col("value")).alias("raw"))
     if len(names) <= 1:
         return lines.select(F.col("at").alias("line_no"), "raw")
     places = spark.createDataFrame([*enumerate(names)], "place long, file string")
@@ -53,7 +56,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 def read_packages(spark: SparkSession, path: str) -> DataFrame:
     """row_no and the package columns, all strings; columns that the file lacks are null."""
-    table = spark.read.csv(path, header=True, inferSchema=False)
+    table = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True)
     return package_rows(table.withColumn("row_no", F.monotonically_increasing_id()))
 
 

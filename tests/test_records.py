@@ -12,30 +12,30 @@ from quillgraph.sources.settings import Settings
 from quillgraph.streaming.exports import keep_up, stream_entries
 
 EXPORT = [
-    '^DD(2,0)="OLD^^"',
-    '^DD(2,0)="PATIENT^DPT"',
-    '^DD(2,0,"NM","PATIENT FILE")=""',
-    '^DD(2,0,"DT")=3180326',
-    '^DD(2,.01,0)="NAME^RF^^0;1"',
-    '^DD(2,.02,0)="^P5\'"',
-    '^DD(2,0,0)="skipped"',
-    '^DD(2,"B1",0)="skipped"',
-    '^DD(2,"GL",0,1,.01)=""',
-    '^DD(2,991,1,1,0)="2^EARLY^MUMPS"',
-    '^DD(2,991,1,0)="^.1"',
-    '^DD(2,991,1,391,1)="too early"',
-    '^DD(2,991,1,391,0)="2^AVAFC391^MUMPS"',
-    '^DD(2,991,1,391,1)="S X=1"',
-    '^DD(2,991,1,391,2)="K X"',
-    '^DD(2,991,1,5,0)="short"',
-    '^DD(2,991,1,6,0)="2^"',
-    '^DD(2,100,"V",1,0)="200^VA(200,^PERSON"',
-    '^DD(2,100,"V",2,0)="5"',
-    '^DD(2,100,0)="VP^V"',
-    '^DD(2.01,0)="ALIAS SUB-FIELD^^"',
-    '^DD(5,0)="FIELD^^"',
-    '^DD(200,0)="PERSON SUB-FILE^"',
-    '^DIC(2,0,"GL")="DPT("',
+    '^DD(31,0)="DRAFT^^"',
+    '^DD(31,0)="VESSEL^KEEL"',
+    '^DD(31,0,"NM","VESSEL LOG")=""',
+    '^DD(31,0,"DT")=3240105',
+    '^DD(31,.01,0)="CALL SIGN^RF^^0;1"',
+    '^DD(31,.02,0)="^P64\'"',
+    '^DD(31,0,0)="left out"',
+    '^DD(31,"B7",0)="left out"',
+    '^DD(31,"GL",0,1,.01)=""',
+    '^DD(31,48,1,1,0)="31^AHEAD^TRIGGER"',
+    '^DD(31,48,1,0)="^.1"',
+    '^DD(31,48,1,27,1)="before its definition"',
+    '^DD(31,48,1,27,0)="31^TIDE^TRIGGER"',
+    '^DD(31,48,1,27,1)="S M=4"',
+    '^DD(31,48,1,27,2)="K M"',
+    '^DD(31,48,1,5,0)="alone"',
+    '^DD(31,48,1,6,0)="31^"',
+    '^DD(31,77,"V",1,0)="850^HARBOR(850,^PORT"',
+    '^DD(31,77,"V",2,0)="64"',
+    '^DD(31,77,0)="MOORING^V"',
+    '^DD(31.04,0)="CREW SUB-FIELD^^"',
+    '^DD(64,0)="FIELD^^"',
+    '^DD(850,0)="PORT SUB-FILE^"',
+    '^DIC(31,0,"GL")="KEEL("',
 ]
 
 
@@ -46,29 +46,29 @@ def entries(spark):
 
 def test_files(entries):
     files = {r.number: (r.name, r.global_root, r.is_subfile) for r in R.files(entries, entries).collect()}
-    assert files == {"2": ("PATIENT FILE", "^DPT(", False), "2.01": ("ALIAS SUB-FIELD", None, True), "5": ("FILE_5", None, False), "200": ("PERSON SUB-FILE", None, True)}
+    assert files == {"31": ("VESSEL LOG", "^KEEL(", False), "31.04": ("CREW SUB-FIELD", None, True), "64": ("FILE_64", None, False), "850": ("PORT SUB-FILE", None, True)}
 
 
 def test_fields(entries):
     rows = {(r.number, r.name, r.target_file) for r in R.fields(entries).collect()}
-    assert rows == {(".01", "NAME", None), (".02", "FIELD_.02", "5"), ("GL", "FIELD_GL", None), ("100", "VP", None)}
+    assert rows == {(".01", "CALL SIGN", None), (".02", "FIELD_.02", "64"), ("GL", "FIELD_GL", None), ("77", "MOORING", None)}
 
 
 def test_cross_references_follow_their_header(entries):
     rows = {r.xref_id: (r.name, r.xref_type, r.set_logic, r.kill_logic) for r in R.cross_references(entries).collect()}
-    assert rows == {"2_991_391": ("AVAFC391", "MUMPS", "S X=1", "K X"), "2_991_6": ("", "regular", None, None)}
+    assert rows == {"31_48_27": ("TIDE", "TRIGGER", "S M=4", "K M"), "31_48_6": ("", "regular", None, None)}
 
 
 def test_graph_of_an_export(spark, entries):
-    packages = R.packages(package_rows(spark.createDataFrame([(0, "DIR A", "A", "AB CD", "", "", "1", "10"), (1, "", "", "EF", "", "200", "", ""), (2, "DIR B", "", "", "7", "", "2", "3")], "row_no long, " + ", ".join(f"`{c}` string" for c in PACKAGE_COLUMNS))))
-    assert {r.name: (r.prefixes, r.file_numbers) for r in packages.collect()} == {"A": (["AB", "CD", "EF"], ["200"]), "DIR B": ([], [])}
+    packages = R.packages(package_rows(spark.createDataFrame([(0, "DIR A", "A", "AB CD", "", "", "30", "70"), (1, "", "", "EF", "", "850", "", ""), (2, "DIR B", "", "", "7", "", "2", "3")], "row_no long, " + ", ".join(f"`{c}` string" for c in PACKAGE_COLUMNS))))
+    assert {r.name: (r.prefixes, r.file_numbers) for r in packages.collect()} == {"A": (["AB", "CD", "EF"], ["850"]), "DIR B": ([], [])}
     g = build.structure(spark, packages, R.files(entries), R.fields(entries))
     g = build.enrich(g, R.cross_references(entries), R.variable_targets(entries))
     ends = lambda t: {(r.src, r.dst) for r in g.edges(t).collect()}
-    assert ends("CONTAINS_FILE") == {("A", "2"), ("A", "2.01"), ("A", "5"), ("A", "200")}
-    assert ends("POINTS_TO") == {("2:.02:5", "5")}
-    assert ends("SUBFILE_OF") == {("2.01", "2")}
-    assert ends("VARIABLE_POINTER") == {("2:100:19", "200"), ("2:100:19", "5")}
+    assert ends("CONTAINS_FILE") == {("A", "31"), ("A", "31.04"), ("A", "64"), ("A", "850")}
+    assert ends("POINTS_TO") == {("31:.02:5", "64")}
+    assert ends("SUBFILE_OF") == {("31.04", "31")}
+    assert ends("VARIABLE_POINTER") == {("31:77:19", "850"), ("31:77:19", "64")}
     assert ends("COMPUTED_FROM") == set()
     assert Q.orphan_files(g).count() == 0
     with pytest.raises(ValueError):
@@ -129,6 +129,11 @@ def test_text_files_and_streams(spark, tmp_path):
     (tmp_path / "in" / "a.zwr").write_bytes("\n".join(EXPORT).encode() + b'\n^DD(7,0)="BAD\xff BYTE"\n')
     lines = read_lines(spark, str(tmp_path / "in"))
     assert parse_lines(lines).count() == len(EXPORT)
+    # lines of a file whose name comes later are later, whatever its name looks like
+    (tmp_path / "two parts").mkdir()
+    for name, part in (("b é.zwr", ['^DD(7,0)="LAST"', '^DD(8,0)="ONE"']), ("a b.zwr", ['^DD(7,0)="FIRST"'] * 3)):
+        (tmp_path / "two parts" / name).write_text("\n".join(part))
+    assert {r.number: r.name for r in R.files(parse_lines(read_lines(spark, str(tmp_path / "two parts")))).collect()} == {"7": "LAST", "8": "ONE"}
     assert R.files(parse_lines(lines)).where("number = '7'").first().name == "BAD BYTE"
     seen = []
     q = keep_up(stream_entries(spark, str(tmp_path / "in")), lambda df, n: seen.append(df.count()), str(tmp_path / "cp"))
