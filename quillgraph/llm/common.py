@@ -22,11 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder or LOCAL_CHECKPOINTS
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: its lineage ends here, so a lost executor costs nothing before it."""
+def durable(df: DataFrame, *by: str) -> DataFrame:
+    """Write df to the shared folder, in a folder for each value of the columns `by`, and read it back: its lineage ends here, so a lost executor costs
+    nothing before it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillgraph-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     spark.sparkContext._jvm.System.gc()  # the shuffles behind the table are of no more use: Spark's cleaner drops them once they are garbage
     out = spark.read.schema(df.schema).parquet(path)
     out._durable_path = path
@@ -91,14 +92,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """h with h[j] - h[i] = sum of a random value of each byte of data[i:j] times base ** position, in 64-bit arithmetic."""
+def prefix_hash(data: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
+    """h with h[j] - h[i] = sum of a random value of each byte (or other small number) of data[i:j] times base ** position, in 64-bit arithmetic."""
     up, _ = _powers(len(data) + 1)
     h = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=h[1:])
+    np.cumsum(values[data] * up[: len(data)], out=h[1:])
     return h
 
 
+def lower_bytes(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
 def range_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of the bytes of each range, alike wherever the range stands."""
     _, down = _powers(len(h))
