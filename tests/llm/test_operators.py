@@ -456,13 +456,14 @@ def test_vectors(spark, monkeypatch):
     base = r.normal(size=(40, 24))
     rows = [(i, v) for i, v in enumerate(np.concatenate([base, base[:5].repeat(30, 0) + r.normal(size=(150, 24)) * 0.25, base[5:8], base[9:10] * 1e200]).tolist())]
     rows += [(500, None), (501, []), (502, [0.0] * 24), (503, [1.0, None] * 12), (504, [float("nan")] * 24), (505, [float("inf")] * 24), (506, [1.0, 2.0]), (None, base[0].tolist())]
+    rows += [(507, [2.0, 4.1]), (508, [-1.0, 1.0]), (509, [1.0] * 5)]  # other lengths link among themselves
     rows = [(i, v, 1, "k") for i, v in rows]
-    fine = {i: np.array(v, float) for i, v, *_ in rows if i is not None and v and len(v) == 24 and None not in v and np.isfinite(np.array(v, float)).all() and np.any(v)}
+    fine = {i: np.array(v, float) for i, v, *_ in rows if i is not None and v and None not in v and np.isfinite(np.array(v, float)).all() and np.any(v)}
     unit = {i: v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for i, v in fine.items()}
     s, links = Sets([i for i, *_ in rows if i is not None]), collections.Counter()
     for a in unit:
         for b in unit:
-            if a < b and unit[a] @ unit[b] >= 0.9:
+            if a < b and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.9:
                 s.join(a, b)
                 links[a] += 1
                 links[b] += 1
@@ -475,6 +476,29 @@ def test_vectors(spark, monkeypatch):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_that_share_an_id(spark):
+    """Each is a vector of its own: one finds its partner, the other has none."""
+    rows = [(1, [1.0, 0.0, 0.1]), (2, [0.0, 1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [1.0, 0.05, 0.0])]
+    got = sorted(tuple(r) for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    assert got == [(1, 2, 1, True), (2, 0, 2, True), (2, 2, 1, False), (3, 2, 1, False)]
+
+
+@pytest.mark.parametrize("flat", [True, False])
+def test_planted_pairs_at_the_threshold(spark, flat):
+    """All of 20,000 vectors against brute force, many pairs just above the threshold."""
+    r = np.random.default_rng(31)
+    x = vectors.unit(r.normal(size=(14_000, 48)) / (1 if flat else np.arange(1, 49) ** 0.5))
+    y = r.normal(size=(6_000, 48))
+    y = vectors.unit(y - (y * x[:6_000]).sum(1, keepdims=True) * x[:6_000])
+    t = r.uniform(0.895, 0.92, (6_000, 1))
+    x = np.concatenate([x, t * x[:6_000] + np.sqrt(1 - t * t) * y])
+    want = np.concatenate([(x[i : i + 2000] @ x.T >= 0.9).sum(1) - 1 for i in range(0, len(x), 2000)])
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(4)
+    got = dict(vectors.near_duplicates(df).select("vec_id", "n_links").collect())
+    wrong = [i for i, n in enumerate(want) if got[i] != n]
+    assert [i for i in wrong if np.abs(x @ x[i] - 0.9).min() > 1e-12] == []
+
+
 def test_recall_of_cells():
     """Pairs right at the threshold among unstructured vectors: nearly all lie in a cell that is asked."""
     r = np.random.default_rng(4)
