@@ -7,19 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.settings import shared_dir
+
 #: One character class, in Java's, Python's and RE2's syntax alike: what separates words.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
-LOCAL_CHECKPOINTS = "/tmp/quillgraph-checkpoints"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A folder of our own is set only where the session names none, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or LOCAL_CHECKPOINTS
 
 
 def durable(df: DataFrame, *by: str) -> DataFrame:
@@ -41,9 +36,22 @@ def drop(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows of one Arrow batch; whole texts are long, so far fewer than Spark's 10,000."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(parts: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of so many rows at most: whole texts are long, and what is made of a batch stands beside it."""
+    for b in parts:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made one that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
 
 
 def lower_ascii(c: Column) -> Column:
@@ -175,7 +183,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     seen = None
     for _ in range(rounds):
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = durable(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))  # a table by itself: the join below can split a hub
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x")).select("x.*").where("u <> v").distinct()

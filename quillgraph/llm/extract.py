@@ -294,7 +294,7 @@ class Page:
                     if name in OF_HEAD or self.hidden:
                         continue
                 self.start(name, names, closed)
-            else:
+            elif self.at < n:  # no mark; at the end of a page it is the start of one that is cut off
                 self.say("<")
         self.close()
         while self.stack:

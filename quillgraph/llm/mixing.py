@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, word_count
+from .common import durable, free, word_count
 
 #: Rows of one (source, range) cell aimed at; only a cell at a cut is sorted.
 CELL_ROWS = 2000
@@ -78,15 +78,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
 def materialise(docs: DataFrame, taken: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken, the one at its source's cut with its first words only.
 
-    taken: doc_id, size, taken of mix(). Rows of docs that share a doc_id are each repeated alike. A document without words
-    is in the mix once, as it costs nothing.
+    taken: doc_id, size, taken of mix(). Rows of docs that share a doc_id and a size share the words that mix() gave them, each as many, but for a
+    remainder of less than a word each. A document without words is in the mix once, as it costs nothing. Columns may have any names.
     """
-    t = taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken")).groupBy("_id").agg(F.max("_size").alias("_size"), F.max("_taken").alias("_taken"))
-    whole = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size"))).otherwise(F.lit(1)).cast("int")
-    rest = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(F.lit(0)).cast("int")
+    own, told, size, took, cut = free(docs, "own", "told", "size", "took", "cut")
+    by = taken.groupBy("doc_id", "size").agg(F.floor(F.sum("taken") / F.count(F.lit(1))).cast("bigint").alias("taken"))
+    # a table by itself, so that the join can split an id that very many rows have
+    t = durable(by.groupBy(F.col("doc_id").alias(own)).agg(F.map_from_entries(F.collect_list(F.struct("size", "taken"))).alias(told)))
+    met = docs.join(t, docs["doc_id"].eqNullSafe(t[own]))
+    # a row's size is counted anew only where rows with its id have several
+    met = met.withColumn(size, F.when(F.size(told) == 1, F.get(F.map_keys(told), F.lit(0))).otherwise(word_count(F.col("text"))))
+    met = met.withColumn(took, F.element_at(told, F.col(size)))
+    whole = F.when(F.col(size) > 0, F.floor(F.col(took) / F.col(size))).otherwise(F.lit(1)).cast("int")
+    rest = F.when(F.col(size) > 0, F.col(took) % F.col(size)).otherwise(F.lit(0)).cast("int")
     copies = F.concat(F.when(whole > 0, F.array_repeat(F.lit(-1), whole)).otherwise(F.array().cast("array<int>")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    rows = docs.join(t, docs["doc_id"].eqNullSafe(t["_id"])).withColumn("_cut", F.explode(copies))
-    words = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.greatest(F.col("_cut"), F.lit(1))), " ")
-    text = F.when(F.col("_cut") < 0, F.col("text")).otherwise(words)
-    chars = F.when(F.col("_cut") < 0, F.col("n_chars")).otherwise(F.length(text)) if "n_chars" in docs.columns else None
-    return rows.select(*[text.alias(c) if c == "text" else chars.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else docs[c] for c in docs.columns])
+    rows = met.withColumn(cut, F.explode(copies))
+    words = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.greatest(F.col(cut), F.lit(1))), " ")
+    text = F.when(F.col(cut) < 0, F.col("text")).otherwise(words)
+    chars = F.when(F.col(cut) < 0, F.col("n_chars")).otherwise(F.length(text)) if "n_chars" in docs.columns else None
+    return rows.select(*[text.alias(c) if c == "text" else chars.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])

@@ -8,7 +8,7 @@ falls once in several billion pairs. So a sketch with fewer values that anyone e
 
 Within a cluster, documents stand in bands of set size, so that only a band and the next can hold links, and in blocks of at most
 about BLOCK; a task gets two blocks, estimates overlaps from union sketches, and verifies on the full sets: exact Jaccard. It tells
-only a spanning forest of the links it found. No pairs are listed, no group meets in one task, and no link is lost.
+only a spanning forest of the links it found. No pairs are listed, no group meets in one task, and no link is lost but with the odds above.
 
 Nulls, empties: a null or wordless text has an empty set, links with nothing and is its own component; so is a row whose doc_id is
 null. Fewer words than a shingle count as one shingle. Rows that repeat a doc_id are judged by it. Extra columns are not read.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, batches, components, durable, in_runs, mix, pieces, runs, word_hashes
+from .common import as_long, components, durable, free, in_runs, mix, pieces, runs, slices, word_hashes
 
 SHINGLE, K, BLOCK = 5, 32, 64
 _TURN = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
@@ -51,7 +51,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n, f1 and f2 (a 128-bit fingerprint of the set), sketch (its K least hashes, in order)."""
 
     def run(parts):
-        for b in parts:
+        for b in slices(parts):
             ids = b.column(0)
             for i, j, data, at in pieces(b.column(1)):
                 n, f1, f2, kept = [], [], [], []
@@ -64,7 +64,6 @@ def sketches(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(lens, pa.int32()), as_long(np.concatenate(kept) if kept else np.zeros(0, np.uint64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n, pa.int64()), as_long(np.array(f1, np.uint64)), as_long(np.array(f2, np.uint64)), lists], names=["doc_id", "n", "f1", "f2", "sketch"])
 
-    batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sketch array<long>")
 
 
@@ -76,12 +75,13 @@ def _least(n: Column) -> Column:
 def _clusters(reps: DataFrame) -> DataFrame:
     """(rep, n, cluster) of the representatives that may have a link."""
     postings = reps.select("rep", "n", F.explode("sketch").alias("value"))
-    shared = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # lists' lengths are a table by itself, so that the join can split a list that is very long
+    shared = durable(postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     met = postings.join(shared, "value")
     listed = met.groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
     enough = listed.where(F.size("v") >= _least(F.col("n")))
     rare = durable(enough.select("rep", "n", F.explode(F.slice("v", 1, F.size("v") - _least(F.col("n")) + 1)).alias("v")).select("rep", "n", "v.value"))
-    hubs = rare.groupBy("value").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    hubs = durable(rare.groupBy("value").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m"))
     edges = rare.join(hubs, "value").select(F.col("rep").alias("a"), F.col("hub").alias("b")).where("a <> b").distinct()
     found = components(edges)
     return rare.select("rep", "n").distinct().join(found, F.col("rep") == F.col("node")).select("rep", "n", F.col("component").alias("cluster"))
@@ -156,7 +156,7 @@ def links(docs: DataFrame, tasks: DataFrame) -> DataFrame:
     """(a, b): spanning edges of the links of each task."""
 
     def spread(parts):
-        for b in parts:
+        for b in slices(parts):
             for i, j, data, at in pieces(b.column(1)):
                 ids, keys = b.column(0).slice(i, j - i), b.column(2).slice(i, j - i)
                 blobs = [s.tobytes() for s in shingle_sets(data, at)]
@@ -211,14 +211,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The documents that are kept: one of each component. Rows without an id of their own, null or repeated, are one where id and text
-    are the same, and take part under a hash of the two."""
-    seen = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
-    many = durable(seen)
-    own = docs.where("doc_id IS NOT NULL").join(many, docs["doc_id"] == many["_id"], "left_anti").withColumn("_uid", F.col("doc_id").cast("bigint"))
-    rest = docs.where("doc_id IS NULL").unionByName(docs.where("doc_id IS NOT NULL").join(many, docs["doc_id"] == many["_id"], "left_semi"))
-    uid = F.shiftrightunsigned(F.xxhash64(F.lit(7), "doc_id", F.col("text").isNull(), "text"), 1)
-    rest = rest.withColumn("_uid", uid).groupBy("_uid").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")).select("_row.*", "_uid")
+    """The documents that are kept, all columns: one of each component. Rows without an id of their own, null or repeated, are one where id and text
+    are the same, and take part under a hash of the two. Null and wordless texts link with nothing and stay. Columns may have any names."""
+    own_id, uid, keep, row = free(docs, "own_id", "uid", "keep", "row")
+    many = durable(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(own_id)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(own_id))
+    repeated = docs["doc_id"] == many[own_id]
+    own = docs.where("doc_id IS NOT NULL").join(many, repeated, "left_anti").withColumn(uid, F.col("doc_id").cast("bigint"))
+    rest = docs.where("doc_id IS NULL").unionByName(docs.where("doc_id IS NOT NULL").join(many, repeated, "left_semi"))
+    told = F.shiftrightunsigned(F.xxhash64(F.lit(7), "doc_id", F.col("text").isNull(), "text"), 1)
+    rest = rest.withColumn(uid, told).groupBy(uid).agg(F.min_by(F.struct(*[f"`{c}`" for c in docs.columns]), F.xxhash64(*[f"`{c}`" for c in docs.columns])).alias(row)).select(f"{row}.*", uid)
     rows = own.unionByName(durable(rest))
-    kept = near_duplicates(rows.select(F.col("_uid").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept"))
-    return rows.join(kept, F.col("_uid") == F.col("_kept"), "left_semi").select(*docs.columns)
+    kept = near_duplicates(rows.select(F.col(uid).alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias(keep))
+    return rows.join(kept, F.col(uid) == F.col(keep), "left_semi").select(*[f"`{c}`" for c in docs.columns])

@@ -5,14 +5,16 @@ so that any `length` bytes hold one, the same one wherever they stand. Each wind
 with one anchor are a stretch, and its context is all bytes that they cover. Only anchors seen twice matter. Equal
 contexts are counted by a 128-bit key, and one is enough for the rest of the work.
 
-Different contexts of one anchor meet in a bucket. There an enhanced suffix array (prefix doubling up to `length`, common prefixes of
+A context that stands more than once as it is is a repeat with its copies as occurrences: its 128-bit key decides. Different contexts of one anchor meet in a bucket, where the suffix
+array decides. There an enhanced suffix array (prefix doubling up to `length`, common prefixes of
 neighbours) is scanned with a stack into its tree of common-prefix intervals; an interval of depth `length` or more, whose suffixes
 differ in the byte before them, is a maximal repeat, with all its occurrences. An anchor with many different contexts
 (a passage that many documents share, between other words) is dealt over several buckets, BUCKET contexts in each; then what each bucket
 has found once or more is also counted over the buckets of that anchor, by the 128-bit key of each string, so nothing is lost.
 
 Nulls, empties: a null text is empty; nothing is removed from texts of fewer than `length` bytes. Every row is a text of its own, so a
-repeated row is a repeat; a null doc_id stays null. Extra columns are not read.
+repeated row is a repeat; a null doc_id stays null. Extra columns are not read. A text is told by a 64-bit hash of doc_id and text: of 10^10 texts about
+three pairs share one, and then each of the two loses the spans of the other too.
 """
 
 from __future__ import annotations
@@ -25,9 +27,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, batches, drop, durable, in_runs, mix, pieces, prefix_hash, range_hash, raw, runs
+from .common import as_long, drop, durable, free, in_runs, mix, pieces, prefix_hash, range_hash, raw, runs, slices
 
 LENGTH, K, BUCKET = 200, 96, 256
+#: Rows that are worked on together: some texts are long, and several arrays stand beside each.
+ROWS = 400
 
 
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -77,7 +81,7 @@ def _anchors(texts: DataFrame) -> DataFrame:
     """doc, anchor, place: stretches by position in the text, first window start * 256 + last - first (packed: rows are many)."""
 
     def run(parts):
-        for b in parts:
+        for b in slices(parts, ROWS):
             for i, j, data, at in pieces(b.column(1), 1_000_000):
                 row, anchor, lo, hi = stretches(data, at)
                 base = at[:-1][row]
@@ -91,7 +95,7 @@ def _packed(texts: DataFrame) -> DataFrame:
 
     def run(parts):
         pack = zstandard.ZstdCompressor(level=3)
-        for b in parts:
+        for b in slices(parts, ROWS):
             z = [pack.compress(x.as_buffer()) if x.is_valid else pack.compress(b"") for x in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z, pa.binary())], names=["doc", "doc_id", "z"])
 
@@ -113,7 +117,7 @@ def _contexts(held: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def run(parts):
         unpack = zstandard.ZstdDecompressor()
-        for b in parts:
+        for b in slices(parts, ROWS):
             doubt = b.column(3).is_valid()
             calm = b.filter(pa.compute.invert(doubt))
             if calm.num_rows:
@@ -320,7 +324,7 @@ def _windows(split: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc, lo, hi, k1, k2: the marked windows of contexts, with their 128-bit keys; doc is null where a repeat is known already."""
 
     def run(parts):
-        for b in parts:
+        for b in slices(parts, ROWS):
             for i, j, data, at in pieces(b.column(2)):
                 state, _ = raw(b.column(3).slice(i, j - i))
                 start = np.flatnonzero(state)
@@ -338,7 +342,7 @@ def _cut(held: DataFrame) -> DataFrame:
 
     def run(parts):
         unpack = zstandard.ZstdDecompressor()
-        for b in parts:
+        for b in slices(parts, ROWS):
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
             for z, n, sha, spans in zip(*(b.column(k) for k in range(1, 5)), strict=True):
                 if not z.is_valid:
@@ -360,10 +364,10 @@ def _cut(held: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(contexts, spans): _contexts() of the documents, and doc, lo, hi of what is to be removed, perhaps overlapping."""
-    batches(docs.sparkSession, 400)  # some texts are long, and several arrays stand beside each
     texts = docs.select(F.xxhash64("doc_id", "text").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     anchors = durable(_anchors(texts))
-    twice = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # a table by itself, so that the join can split an anchor that very many texts have
+    twice = durable(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     some = anchors.join(twice, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place")).alias("some"))
     held = _packed(texts).join(some, "doc", "left").select("doc", "doc_id", "z", "some")
     contexts = durable(_contexts(held))
@@ -372,7 +376,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     place = F.xxhash64("doc", "lo")
     copies = rows.groupBy("anchor", "c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.when(F.col("body").isNotNull(), place)).alias("pick"))
     copies = durable(copies)
-    various = copies.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    various = durable(copies.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
     whole = rows.drop("body").join(copies.where("copies > 1"), ["anchor", "c1", "c2"]).select("doc", "lo", (F.col("hi") + LENGTH).alias("hi"))
     bodies = rows.where("body IS NOT NULL").join(copies.join(various, "anchor"), ["anchor", "c1", "c2"]).where(place == F.col("pick"))
     bucket = F.xxhash64("anchor", F.pmod("c1", F.ceil(F.col("m") / BUCKET)))
@@ -392,14 +396,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def rewrite(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, without their repeated bytes; what a cut leaves of a broken character goes too, and n_chars follows the text."""
+    """The documents, all columns, without their repeated bytes; what a cut leaves of a broken character goes too, and n_chars follows the text. Null
+    and short texts stay as they are, every row stays, and columns may have any names."""
     _, spans = repeated_spans(docs)
-    by = spans.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("_spans")).withColumnRenamed("doc", "_doc")
+    key, cuts = free(docs, "key", "cuts")
+    by = spans.groupBy(F.col("doc").alias(key)).agg(F.collect_set(F.struct("lo", "hi")).alias(cuts))
     names = docs.columns
     where, count = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(parts):
-        for b in parts:
+        for b in slices(parts, ROWS):
             spans = b.column(b.num_columns - 1)
             hit = np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False))
             columns = b.columns[:-1]
@@ -419,5 +425,6 @@ def rewrite(docs: DataFrame) -> DataFrame:
                     columns[count] = pa.array(sizes, columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    held = docs.withColumn("_doc", F.xxhash64("doc_id", "text")).join(by, "_doc", "left").select(*docs.columns, "_spans")
+    held = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(by, key, "left").select(*[f"`{c}`" for c in docs.columns], cuts)
+    held = held.toDF(*[f"c{i}" for i in range(len(held.columns))])  # Python's side takes no dots in names
     return held.mapInArrow(run, docs.schema)

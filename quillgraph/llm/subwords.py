@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Encoded, batches, gather, pieces
+from .common import Encoded, gather, pieces, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -290,7 +290,7 @@ def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     def run(parts):
         encoder, decoder = encoder_of(shared.value), Decoder(shared.value)
-        for b in parts:
+        for b in slices(parts):
             for i, j, data, at in pieces(b.column(1), 4_000_000):
                 body = data.tobytes()
                 texts = [body[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
@@ -299,7 +299,6 @@ def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, size.cumsum()), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(size), lists, pa.array(same)], names=["doc_id", "n_pieces", "ids", "decoded_same"])
 
-    batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, n_pieces long, ids array<int>, decoded_same boolean")
 
 
@@ -310,10 +309,9 @@ def decode(encoded: DataFrame, model: Model | None = None) -> DataFrame:
 
     def run(parts):
         decoder = Decoder(shared.value)
-        for b in parts:
+        for b in slices(parts):
             lists = b.column(1)
             texts = decoder(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t.decode("utf-8", "replace") for t in texts])], names=["doc_id", "text"])
 
-    batches(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")

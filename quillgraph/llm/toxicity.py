@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _LOWER, as_long, batches, durable, pieces, prefix_hash, range_hash
+from .common import _LOWER, as_long, durable, pieces, prefix_hash, range_hash, slices
 
 SAMPLE, FEATURES, GRADES, STARTS = 12_000, 8192, 4, (4, 5, 6)
 _LETTER = np.zeros(256, bool)
@@ -67,7 +67,7 @@ def _features(texts: DataFrame) -> DataFrame:
     """toxic, keys (distinct features)."""
 
     def run(parts):
-        for b in parts:
+        for b in slices(parts):
             for i, j, data, at in pieces(b.column(1)):
                 row, key = _marks(data, at)
                 order = np.lexsort((key, row))
@@ -80,10 +80,9 @@ def _features(texts: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> Ordinal:
-    batches(docs.sparkSession)
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     n = known.count()
-    chosen = known.where(F.pmod(F.xxhash64(F.lit(5), "_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / max(n, 1))) + 1)
+    chosen = known.where(F.pmod(F.xxhash64(F.lit(5), "_id"), F.lit(1 << 40)) <= int((1 << 40) * min(1.0, sample / max(n, 1))))
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("toxic", "text")
     rows = durable(_features(texts))
     none = Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES - 1, 50.0))
@@ -158,24 +157,23 @@ def score(docs: DataFrame, model: Ordinal) -> DataFrame:
     """doc_id, severity (expected grade), p_toxic (P(grade > 0)), grade (the likeliest), rejected (p_toxic >= 0.5)."""
 
     def run(parts):
-        for b in parts:
+        for b in slices(parts):
             for i, j, data, at in pieces(b.column(1)):
                 over = model.exceed(_signal(model, data, at))
                 steps = np.hstack([np.ones((j - i, 1)), over]) - np.hstack([over, np.zeros((j - i, 1))])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(over.sum(1)), pa.array(over[:, 0]), pa.array(steps.argmax(1).astype(np.int32)), pa.array(over[:, 0] >= 0.5)], names=["doc_id", "severity", "p_toxic", "grade", "rejected"])
 
-    batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, severity double, p_toxic double, grade int, rejected boolean")
 
 
 def keep(docs: DataFrame, model: Ordinal) -> DataFrame:
-    """The documents, all columns, that are not rejected: judged row by row, without a join."""
-    where = docs.columns.index("text")
+    """The documents, all columns, that are not rejected: judged row by row, without a join. Null and empty texts stay; columns may have any names."""
+    names, where = docs.columns, docs.columns.index("text")
 
     def run(parts):
-        for b in parts:
+        for b in slices(parts):
             kept = [model.exceed(_signal(model, data, at))[:, 0] < 0.5 for _, _, data, at in pieces(b.column(where))]
-            yield b.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
+            some = b.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
+            yield pa.RecordBatch.from_arrays(some.columns, names=names)
 
-    batches(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, docs.schema)  # Python's side takes no dots in names

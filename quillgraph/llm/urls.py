@@ -1,11 +1,12 @@
 """URL rules by a blocked Bloom filter and an exact hash join.
 
 Listed canonical URLs (host + path) allow or block a host, its subdomains and all that starts with their path. A page's URL gives
-one candidate for each host suffix and each path length that the list has. Candidates probe a blocked Bloom filter, whose every key
+one candidate for each host suffix with as many labels as a listed host has, and each path length that the list has. Candidates probe a blocked Bloom filter, whose every key
 sets eight bits of one 256-bit block; the few that pass go to an exact hash join with the list, which removes false hits.
 
 Nulls, empties: a null url, or one without `://`, has an empty host and path, no candidates and the default verdict. Repeated
-rows and urls are judged each for itself; candidates are made once for each distinct (host, path). Extra columns are not read.
+rows and urls are judged each for itself; candidates are made once for each distinct (host, path). Of rules with one host and path the
+last verdict by name holds: block before allow. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -46,13 +47,14 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     """pages (page_id, url) and rules (host, path, verdict) to page_id, host, path, rule, verdict; the longest rule that fits wins."""
     host, path = parts(F.col("url"))
     all_pages = pages.select("page_id", host.alias("host"), path.alias("path"))
-    listed = durable(rules.select(F.concat(lower_ascii(F.col("host")), "path").alias("key"), F.length("host").alias("host_length"), F.length("path").alias("path_length"), F.col("verdict").alias("listed")).dropDuplicates(["key"]))
-    count, lengths = listed.agg(F.count(F.lit(1)), F.collect_set("path_length")).first()  # as many lengths as paths have, not as rules
+    listed = durable(rules.select(F.concat(lower_ascii(F.col("host")), "path").alias("key"), F.length("host").alias("host_length"), F.length("path").alias("path_length"), F.size(F.split("host", r"\.")).alias("labels"), F.col("verdict").alias("listed")).groupBy("key", "host_length", "path_length", "labels").agg(F.max("listed").alias("listed")))
+    # as many lengths as paths have and as many numbers of labels as hosts have, not as rules
+    count, lengths, labels = listed.agg(F.count(F.lit(1)), F.collect_set("path_length"), F.collect_set("labels")).first()
     blocks = max(1, -(-count // KEYS_PER_BLOCK))
     filt = bloom(listed.select("key"), blocks)
 
     names = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.array_join(F.slice(names, i, F.size(names) - i + 1), "."))
+    suffixes = F.transform(F.filter(F.array(*map(F.lit, sorted(labels))).cast("array<int>"), lambda n: n <= F.size(names)), lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n))
     heads = F.transform(F.filter(F.array(*map(F.lit, sorted(lengths))).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
     asked = all_pages.where("host <> ''").select("host", "path").distinct()
     candidates = asked.withColumn("suffix", F.explode(suffixes)).withColumn("head", F.explode(heads)).select("host", "path", F.concat("suffix", "head").alias("key"), F.length("suffix").alias("suffix_length"))
