@@ -7,7 +7,8 @@ falls once in several billion pairs. So a sketch with fewer values that anyone e
 `_least(n) - 1`, need a list (any pair with enough overlap meets in one of them). Lists whose documents hang together are a cluster.
 
 Within a cluster, documents stand in bands of set size, so that only a band and the next can hold links, and in blocks of at most
-about BLOCK; a task gets two blocks, estimates overlaps from union sketches, and verifies on the full sets: exact Jaccard. It tells
+about BLOCK; a task gets two blocks. There the inverted lists of the retained values give the overlaps of pairs, union sketches of the pairs that share enough
+give estimates that rule most out, and what is left is verified on the full sets: exact Jaccard. It tells
 only a spanning forest of the links it found. No pairs are listed, no group meets in one task, and no link is lost but with the odds above.
 
 Nulls, empties: a null or wordless text has an empty set, links with nothing and is its own component; so is a row whose doc_id is
@@ -28,6 +29,8 @@ from .common import as_long, components, durable, free, in_runs, mix, pieces, ru
 SHINGLE, K, BLOCK = 5, 32, 64
 _TURN = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _CHUNK = 1 << 14
+#: Candidate pairs for each set of a task that are verified one by one.
+PAIRWISE = 4
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -95,6 +98,7 @@ def _tasks(clusters: DataFrame) -> DataFrame:
     known = blocks
     for s in sides:
         known = known.join(s, ["cluster", "band"], "left")
+    known = durable(known)  # a table by itself: the join can split a cluster that very many rows are in
     placed = banded.join(known, ["cluster", "band"]).withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     key = lambda lo, i, hi, j: F.xxhash64("cluster", lo, i, hi, j)
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -104,30 +108,60 @@ def _tasks(clusters: DataFrame) -> DataFrame:
     return placed.select("rep", F.concat(own, up, down).alias("keys"))
 
 
-def forest(ids: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Edges that span the components of the links (Jaccard 0.75 or more) among these sets."""
-    m = len(ids)
-    if m < 2:
-        return []
-    size = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(m), size)
+def inverted(flat: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
+    """m x m: how many values each two of m owners share, from the inverted list of every value that several have."""
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-    new = np.ones(len(flat), bool)
-    new[1:] = flat[1:] != flat[:-1]
+    new = np.append(True, flat[1:] != flat[:-1])[: len(flat)]
     run = np.diff(np.append(np.flatnonzero(new), len(flat)))
     keep = np.repeat(run > 1, run)
-    column = np.cumsum(new[keep]) - 1
-    owner = owner[keep]
+    column, owner = np.cumsum(new[keep]) - 1, owner[keep]
     common = np.zeros((m, m), np.float32)
     for lo in range(0, int(column[-1]) + 1 if len(column) else 0, _CHUNK):
-        a, b = np.searchsorted(column, (lo, lo + _CHUNK))
-        cells = np.zeros((m, _CHUNK), np.float32)
-        cells[owner[a:b], column[a:b] - lo] = 1
+        i, j = np.searchsorted(column, (lo, lo + _CHUNK))
+        cells = np.zeros((m, min(_CHUNK, int(column[-1]) + 1 - lo)), np.float32)
+        cells[owner[i:j], column[i:j] - lo] = 1
         common += cells @ cells.T
-    link = 100 * common >= 75 * (size[:, None] + size[None, :] - common)
-    np.fill_diagonal(link, True)
+    return common
+
+
+def union_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Shared values among the K least of each pair's union, for rows of sorted sketches padded with -1: the union-sketch estimate."""
+    big = np.iinfo(np.int64).max
+    both = np.sort(np.concatenate([np.where(a < 0, big, a), np.where(b < 0, big, b)], 1), 1)
+    same = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != big)
+    rank = np.arange(same.shape[1])[None, :] - (np.cumsum(same, 1) - same)
+    return (same & (rank < K)).sum(1)
+
+
+def candidates(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets, by number, whose union-sketch estimate does not rule a link out: of those that the inverted lists of their sketches bring together."""
+    m = len(sets)
+    size = np.array([*map(len, sets)])
+    sketch = np.full((m, K), -1, np.int64)
+    for i, s in enumerate(sets):
+        sketch[i, : min(K, len(s))] = s[:K].view(np.int64)
+    at = np.flatnonzero(sketch.ravel() >= 0)
+    need = np.where(size < 25, np.ceil(0.75 * size), 8)
+    need = np.minimum(need[:, None], need[None, :])
+    i, j = np.nonzero(np.triu(inverted(sketch.ravel()[at], at // K, m) >= need, 1))
+    near = union_shared(sketch[i], sketch[j]) >= need[i, j] if len(i) else np.zeros(0, bool)
+    return i[near], j[near]
+
+
+def forest(ids: np.ndarray, sets: list[np.ndarray], pairs: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
+    """Edges that span the components of the links (Jaccard 0.75 or more) among these pairs of sets."""
+    m, (i, j) = len(ids), pairs
+    if not len(i):
+        return []
+    size = np.array([*map(len, sets)])
+    if len(i) <= PAIRWISE * m:
+        common = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist(), strict=True)])
+    else:  # so many that all overlaps at once are less work
+        common = inverted(np.concatenate(sets), np.repeat(np.arange(m), size), m)[i, j]
+    ok = 100 * common >= 75 * (size[i] + size[j] - common)
+    link = np.eye(m, dtype=bool)
+    link[i[ok], j[ok]] = link[j[ok], i[ok]] = True
     root = np.arange(m)
     while True:
         least = np.where(link, root[None, :], m).min(1)
@@ -135,21 +169,7 @@ def forest(ids: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
         if (least == root).all():
             break
         root = least
-    return [(int(ids[i]), int(ids[r])) for i, r in enumerate(root) if i != r]
-
-
-def estimates(sketch: np.ndarray) -> np.ndarray:
-    """Shared values among the K least of each pair's union, for rows of sorted sketches padded with -1: the union-sketch estimate."""
-    m = len(sketch)
-    out = np.zeros((m, m), np.int16)
-    top = np.where(sketch < 0, np.iinfo(np.int64).max, sketch)
-    for i in range(m):
-        both = np.isin(top, top[i]) & (sketch >= 0)
-        rank_a = np.arange(sketch.shape[1])[None, :]
-        common = np.cumsum(both, 1)
-        rank_b = np.searchsorted(top[i], top)
-        out[i] = (both & (rank_a + rank_b - (common - 1) < K)).sum(1)
-    return out
+    return [(int(ids[k]), int(ids[r])) for k, r in enumerate(root) if k != r]
 
 
 def links(docs: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -176,7 +196,7 @@ def links(docs: DataFrame, tasks: DataFrame) -> DataFrame:
             if t.num_rows > 1:
                 ids = t.column("rep").to_numpy()
                 sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")]
-                if edges := forest(*candidates(ids, sets)):
+                if edges := forest(ids, sets, candidates(sets)):
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], names=["a", "b"])
 
     held = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(tasks, F.col("doc_id") == F.col("rep")).select("rep", "text", "keys")
@@ -184,19 +204,6 @@ def links(docs: DataFrame, tasks: DataFrame) -> DataFrame:
     return in_runs(apart, "key").mapInArrow(compare, "a long, b long")
 
 
-def candidates(ids: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Those with a partner whose union-sketch estimate does not rule a link out."""
-    m = len(ids)
-    sketch = np.full((m, K), -1, np.int64)
-    for i, s in enumerate(sets):
-        sketch[i, : min(K, len(s))] = s[:K].view(np.int64)
-    size = np.array([len(s) for s in sets])
-    need = np.minimum(np.where(size < 25, np.ceil(0.75 * size), 8)[:, None], np.where(size < 25, np.ceil(0.75 * size), 8)[None, :])
-    near = (estimates(sketch) >= need) & ~np.eye(m, dtype=bool)
-    some = np.flatnonzero(near.any(1))
-    return ids[some], [sets[i] for i in some]
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept (doc_id = component_id)."""
     seen = durable(sketches(docs))

@@ -120,7 +120,29 @@ def test_union_sketch_estimates():
     b = np.unique(np.append(a[:300], r.integers(1, 2**60, 60)))
     both = np.array([a[:32], b[:32]])
     union = np.union1d(a, b)[:32]
-    assert neardup.estimates(both)[0, 1] == len(np.intersect1d(np.intersect1d(a, b), union))
+    assert neardup.union_shared(both[:1], both[1:])[0] == len(np.intersect1d(np.intersect1d(a, b), union))
+
+
+def test_candidates_and_links_of_a_task(monkeypatch):
+    """Inverted lists, sketch filter and exact Jaccard against all pairs by brute force, whether pairs are verified one by one or at once."""
+    r = np.random.default_rng(14)
+    sets = []
+    for n in [3, 5, 24, 25, 60, 400] * 4:
+        s = np.unique(r.integers(1, 2**62, n).astype(np.uint64))
+        sets += [s] + [np.unique(np.append(r.permutation(s)[: max(1, int(n * x))], r.integers(1, 2**62, max(0, n // 12)).astype(np.uint64))) for x in (0.95, 0.85, 0.6)]
+    ids = np.arange(len(sets)) * 7
+    union = Sets(ids.tolist())
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                union.join(int(ids[a]), int(ids[b]))
+    for most in (1000, 0):
+        monkeypatch.setattr(neardup, "PAIRWISE", most)
+        found = Sets(ids.tolist())
+        for a, b in neardup.forest(ids, sets, neardup.candidates(sets)):
+            found.join(a, b)
+        assert all(found.find(int(i)) == union.find(int(i)) for i in ids)
 
 
 def brute_repeats(rows, length):
