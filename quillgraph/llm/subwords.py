@@ -11,7 +11,8 @@ piece covers falls back to bytes. The ids are those of the sentencepiece library
 Decoding gathers the bytes of the pieces, for all texts of a batch at once, and takes off the space put before each text.
 
 Nulls, empties: a null text is empty; an empty text has no ids. U+2581 is the model's own sign for a space and decodes to one, as
-with the library. Rows are encoded each for itself, repeated or not. Extra columns are not read.
+with the library. Rows are encoded each for itself, repeated or not. Extra columns are not read. A text may be of any length; its longest stretch without
+white space bounds what a task holds: 4 bytes for each of its code points and each length that pieces have (some 70 bytes a code point for the model at hand).
 """
 
 from __future__ import annotations
