@@ -41,10 +41,9 @@ def main(argv: list[str] | None = None) -> int:
         if missing := Settings(a.dictionary, a.roots, a.packages, a.output).missing():
             print("missing:", *missing)
             return 1
-        graph = B.load(spark, a.dictionary, a.packages, a.roots if not Settings(dictionary=a.roots, packages=a.packages).missing() else None)
-        if a.phase == 1:
-            graph = Graph(spark, {n: graph.nodes(n) for n in PHASE_1[0]}, {t: graph.edges(t) for t in PHASE_1[1]})
-        graph.save(a.output)
+        told = B.records(spark, a.dictionary, a.packages, a.roots if not Settings(dictionary=a.roots, packages=a.packages).missing() else None)
+        for name, n in B.store(a.output, *told[: 3 if a.phase == 1 else 5]).items():
+            print(f"{name}: {n} written")
     saved = (PHASE_1[0] + PHASE_2[0] * (a.phase == 2), PHASE_1[1] + PHASE_2[1] * (a.phase == 2))
     report(Graph.load(spark, a.output, *saved), a.phase == 2)
     return 0

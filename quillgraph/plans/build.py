@@ -43,15 +43,33 @@ def with_routines(graph: Graph, lines: DataFrame) -> Graph:
     return Graph(graph.spark, graph.node_frames | {"Routine": routines, "Label": nodes}, graph.edge_frames | {"CONTAINS_LABEL": M.contains_label(routines, nodes), "OWNS_ROUTINE": M.owns_routine(routines), "CALLS": E.edges("CALLS", called)})
 
 
-def load(spark: SparkSession, dictionary: str, packages: str, roots: str | None = None) -> Graph:
-    """Both phases from an export, a package table and an export of global roots. Lines are parsed once and stored; who saves the graph may delete
-    what lies in the folder of spark.checkpoint.dir then."""
+def store(path: str, packages: DataFrame, files: DataFrame, fields: DataFrame, xrefs: DataFrame | None = None, targets: DataFrame | None = None) -> dict[str, int]:
+    """Save the graph of these records, of phase 2 too if there are cross-references; rows written by label and type. Nodes are saved first and edges derived
+    from the nodes as saved, so that no record is made twice."""
+    spark = packages.sparkSession
+    frames = {"Package": packages, "File": files, "Field": fields} | ({} if xrefs is None else {"CrossReference": xrefs})
+    written = Graph(spark, frames).save(path)
+    held = Graph.load(spark, path, [*frames], [])
+    graph = structure(spark, *(held.nodes(n) for n in ("Package", "File", "Field")))
+    if xrefs is not None:
+        graph = enrich(graph, held.nodes("CrossReference"), targets)
+    return written | Graph(spark, {}, graph.edge_frames).save(path)
+
+
+def records(spark: SparkSession, dictionary: str, packages: str, roots: str | None = None) -> tuple[DataFrame, ...]:
+    """Packages, files, fields, cross-references and variable targets of an export, a package table and an export of global roots. Lines are parsed
+    once and stored in the folder of spark.checkpoint.dir; once the graph is saved they may be deleted."""
     stored = f"{shared_dir(spark)}/quillgraph-entries-{uuid.uuid4().hex}"
     parse_lines(read_lines(spark, dictionary)).write.parquet(stored)
     entries = spark.read.parquet(stored)
     rooted = parse_lines(read_lines(spark, roots)) if roots else None
-    graph = structure(spark, R.packages(read_packages(spark, packages)), R.files(entries, rooted), R.fields(entries))
-    return enrich(graph, R.cross_references(entries), R.variable_targets(entries))
+    return R.packages(read_packages(spark, packages)), R.files(entries, rooted), R.fields(entries), R.cross_references(entries), R.variable_targets(entries)
+
+
+def load(spark: SparkSession, dictionary: str, packages: str, roots: str | None = None) -> Graph:
+    """The graph of both phases, to be asked at once; store() saves it."""
+    p, files, fields, xrefs, targets = records(spark, dictionary, packages, roots)
+    return enrich(structure(spark, p, files, fields), xrefs, targets)
 
 
 def parser_statistics(files: DataFrame, fields: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from ..operators import records as R
 from ..operators.upsert import last_by_key
 from ..schemas import EDGE_TYPES, LABELS
 from ..sources.settings import shared_dir
-from .build import enrich, structure
+from .build import enrich, store, structure
 from .graph import Graph
 
 FILE_NUMBER = "CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS STRING) ELSE CAST(c_custkey - c_custkey % 5 AS STRING) || '.0' || CAST(c_custkey % 5 AS STRING) END"
@@ -88,7 +88,8 @@ def saved_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """The whole graph as saved: loaded once by an application, then asked from its files, as a loaded dictionary is."""
     place = _place(spark, sf_dir, "graph")
     if not (counts := _written(spark.sparkContext.applicationId, place)):
-        counts.update(sample_graph(spark, sf_dir).save(place))
+        packages, fields = R.packages(inputs(spark, sf_dir, "package_rows")), R.typed_fields(inputs(spark, sf_dir, "field_rows"))
+        counts.update(store(place, packages, inputs(spark, sf_dir, "files"), fields, cross_references(spark, sf_dir), inputs(spark, sf_dir, "target_rows").withColumn("line_no", F.lit(0))))
     return Graph.load(spark, place, [n for n in counts if n in LABELS], [n for n in counts if n in EDGE_TYPES])
 
 

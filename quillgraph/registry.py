@@ -23,7 +23,7 @@ from .plans.graph import Graph
 from .plans.sample import FILE_NUMBER, INPUTS, TARGET, cross_references, export_files, inputs, package_file, sample_graph, saved_graph, written_counts as counts_written
 from .sources.exports import parse_lines, read_lines, read_packages
 from .schemas import EDGE_TYPES
-from .sources.settings import shared_dir
+from .sources.settings import Settings, shared_dir
 from .streaming.exports import keep_up, stream_entries
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -296,6 +296,40 @@ def merged_edges(spark: SparkSession, sf: str) -> DataFrame:
     return U.merge_edges(sample_graph(spark, sf).edges("VARIABLE_POINTER")).select("src", "dst")
 
 
+@query("SELECT count(*) AS first, CAST(count(*) + count(*) FILTER (s_suppkey % 2 = 0) AS BIGINT) AS both, true AS cleared FROM supplier")
+def append_and_clear(spark: SparkSession, sf: str) -> DataFrame:
+    """Two appends to a directory, told by what each has written and what is read then, and the directory cleared (K1, K9)."""
+    folder = f"{shared_dir(spark)}/quillgraph-append-{uuid.uuid4().hex}"
+    rows = spark.read.parquet(f"{sf}/supplier.parquet").select("s_suppkey")
+    first, more = U.append(rows, folder), U.append(rows.where("s_suppkey % 2 = 0"), folder)
+    both = spark.read.parquet(folder).count()
+    return spark.createDataFrame([(first, both if both == first + more else -1, U.clear(spark, folder))], "first bigint, both bigint, cleared boolean")
+
+
+@query("SELECT * FROM (VALUES ('an unknown edge type', true), ('an unknown label', true), ('phase 2 without files', true), ('a property that a label lacks', true), ('a path that is not there', true), ('a depth that is no number', true)) AS t(what, refused)")
+def refusals(spark: SparkSession, sf: str) -> DataFrame:
+    """What is refused before any row is read (K8, V3, V4, T1)."""
+    g = saved_graph(spark, sf)
+    empty = Graph(spark, {n: g.nodes(n).limit(0) for n in ("File", "Field")})
+
+    def refuses(f: Callable[[], object]) -> bool:
+        try:
+            f()
+        except ValueError:
+            return True
+        return False
+
+    told = [
+        ("an unknown edge type", refuses(lambda: g.edges("BELONGS_TO_PACKAGE"))),
+        ("an unknown label", refuses(lambda: g.nodes("Nothing"))),
+        ("phase 2 without files", refuses(lambda: B.enrich(empty, None, None))),
+        ("a property that a label lacks", refuses(lambda: Q.find(g, "File", "nothing", 1))),
+        ("a path that is not there", bool(Settings(dictionary=f"{sf}/none", packages=f"{sf}/customer.parquet").missing())),
+        ("a depth that is no number", refuses(lambda: Q.pointer_chain(g, None, 0))),
+    ]
+    return spark.createDataFrame(told, "what string, refused boolean")
+
+
 @query("SELECT CAST(s_suppkey // 10 AS BIGINT) AS batch, count(*) AS n FROM supplier GROUP BY 1")
 def batches(spark: SparkSession, sf: str) -> DataFrame:
     return U.batches(spark.read.parquet(f"{sf}/supplier.parquet"), 10, ["s_suppkey"]).groupBy("batch").agg(F.count(F.lit(1)).alias("n"))

@@ -37,6 +37,6 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local["):
+    if spark.conf.get("spark.master", "local").partition("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
     return ONE_MACHINE
