@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,23 +19,54 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: With this setting Spark drops the shuffle files of a query at its end; durable() asks for it while it writes.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_INSIDE: ContextVar[list[DataFrame] | None] = ContextVar("tables of the innermost passing()", default=None)
+
+
 def durable(df: DataFrame, *by: str) -> DataFrame:
     """Write df to the shared folder, in a folder for each value of the columns `by`, and read it back: its lineage ends here, so a lost executor costs
-    nothing before it."""
+    nothing before it, and the shuffles behind it go."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillgraph-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
-    spark.sparkContext._jvm.System.gc()  # the shuffles behind the table are of no more use: Spark's cleaner drops them once they are garbage
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before else spark.conf.unset(CLEANUP)
     out = spark.read.schema(df.schema).parquet(path)
     out._durable_path = path
+    if (inside := _INSIDE.get()) is not None:
+        inside.append(out)
     return out
 
 
+@contextmanager
+def passing() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that durable() writes inside are deleted at the end, but for those handed to the function that this gives: the next passing() out has them."""
+    outer, mine = _INSIDE.get(), []
+    token = _INSIDE.set(mine)
+
+    def keep(df: DataFrame) -> DataFrame:
+        mine.remove(df)
+        if outer is not None:
+            outer.append(df)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _INSIDE.reset(token)
+        for df in mine:
+            drop(df)
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table of durable() that nothing will read again."""
-    jvm = df.sparkSession.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df._durable_path)
-    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    context = df.sparkSession.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(df._durable_path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def slices(parts: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -171,15 +204,9 @@ def as_long(x: np.ndarray) -> pa.Array:
 # -- components ----------------------------------------------------------------------------------------------------
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """(node, component) for every node of edges (a, b): component is the smallest node reachable.
-
-    Alternating large-star and small-star steps: each lets every node tell its neighbours the least of them, so chains
-    shorten by half and a hub's rows are summed before they are shuffled. Every step ends in a durable table.
-    """
-    spark = edges.sparkSession
-    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    e = durable(e)
+def _stars(edges: DataFrame, rounds: int) -> DataFrame:
+    """(u, v): every node but the least of its component, and that."""
+    e = durable(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     seen = None
     for _ in range(rounds):
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -191,10 +218,19 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         # two sums of the edges tell whether a step changed them: a star forest stays as it is
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
-            break
+            return e
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
+    raise RuntimeError("components did not settle")
+
+
+def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+    """(node, component) for every node of edges (a, b): component is the smallest node reachable.
+
+    Alternating large-star and small-star steps: each lets every node tell its neighbours the least of them, so chains
+    shorten by half and a hub's rows are summed before they are shuffled. Every step ends in a durable table; the last one stays.
+    """
+    with passing() as keep:
+        e = keep(_stars(edges, rounds))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

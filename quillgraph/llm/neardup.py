@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, components, durable, free, in_runs, mix, pieces, runs, slices, word_hashes
+from .common import as_long, components, durable, free, in_runs, mix, passing, pieces, runs, slices, word_hashes
 
 SHINGLE, K, BLOCK = 5, 32, 64
 _TURN = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
@@ -210,7 +210,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = seen.where("n > 0 AND doc_id IS NOT NULL")
     same = durable(sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")))
     reps = sets.join(same.withColumnRenamed("rep", "doc_id"), ["n", "f1", "f2", "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), "n", "sketch")
-    tasks = _tasks(_clusters(reps))
+    with passing() as keep:
+        tasks = keep(durable(_tasks(_clusters(reps))))
     found = components(links(docs, tasks))
     of = same.join(found, F.col("rep") == F.col("node"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component"))
     out = seen.join(of, ["n", "f1", "f2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

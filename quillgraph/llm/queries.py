@@ -55,11 +55,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9's ledger, rule by rule: what each rule of the policy costs."""
+    return quality.ablation(quality.ledger(_table(spark, sf_dir, "documents")), quality.PROSE)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_html_extraction, op3_minhash_neardup, op4_sentencepiece, op5_url_filter, op6_embedding_neardup, op7_toxicity, op8_suffix_dedup, op9_quality_rules, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_lm_scoring, op2_html_extraction, op3_minhash_neardup, op4_sentencepiece, op5_url_filter, op6_embedding_neardup, op7_toxicity, op8_suffix_dedup, op9_quality_rules, op10_mixing, quality_ablation)}
 
 ORACLE: dict[str, str] = {
     "op5_url_filter": r"""
@@ -82,3 +87,8 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
                CAST(n_repeat_words AS BIGINT) AS n_repeat_words, (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, CAST(failed AS BIGINT) AS failed, 'prose-1' AS policy FROM f""",
 }
+ORACLE["quality_ablation"] = f"""
+        WITH ledger AS ({ORACLE["op9_quality_rules"]}),
+        rules(rule, b) AS (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('duplicate_lines', 8), ('short_words', 16), ('long_words', 32))
+        SELECT 'prose-1' AS policy, rule, count(*) FILTER (failed & b <> 0) AS n_failed, count(*) FILTER (failed = b) AS n_only, count(*) FILTER (failed & (63 - b) = 0) AS n_kept_without
+        FROM rules, ledger GROUP BY rule"""

@@ -13,8 +13,8 @@ differ in the byte before them, is a maximal repeat, with all its occurrences. A
 has found once or more is also counted over the buckets of that anchor, by the 128-bit key of each string, so nothing is lost.
 
 Nulls, empties: a null text is empty; nothing is removed from texts of fewer than `length` bytes. Every row is a text of its own, so a
-repeated row is a repeat; a null doc_id stays null. Extra columns are not read. A text is told by a 64-bit hash of doc_id and text: of 10^10 texts about
-three pairs share one, and then each of the two loses the spans of the other too.
+repeated row is a repeat; a null doc_id stays null. Extra columns are not read. A text is told by a 64-bit key of doc_id
+and text; of 10^10 texts about three pairs would share one, so keys that different rows share are looked for first, and their rows get others.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, drop, durable, free, in_runs, mix, pieces, prefix_hash, range_hash, raw, runs, slices
+from .common import as_long, durable, free, in_runs, mix, passing, pieces, prefix_hash, range_hash, raw, runs, slices
 
 LENGTH, K, BUCKET = 200, 96, 256
 #: Rows that are worked on together: some texts are long, and several arrays stand beside each.
@@ -362,16 +362,32 @@ def _cut(held: DataFrame) -> DataFrame:
     return held.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(contexts, spans): _contexts() of the documents, and doc, lo, hi of what is to be removed, perhaps overlapping."""
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    anchors = durable(_anchors(texts))
-    # a table by itself, so that the join can split an anchor that very many texts have
-    twice = durable(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    some = anchors.join(twice, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place")).alias("some"))
-    held = _packed(texts).join(some, "doc", "left").select("doc", "doc_id", "z", "some")
-    contexts = durable(_contexts(held))
-    drop(anchors)
+def _key(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
+
+
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a column `name`: a key that only rows of one doc_id and text share."""
+    (shared,) = free(docs.withColumn(name, F.lit(0)), "shared")
+    told = docs.select(_key(1).alias(shared), _key(2).alias("other"))
+    clash = durable(told.groupBy(shared).agg(F.min("other").alias("least"), F.max("other").alias("most")).where("least <> most").select(shared))
+    out = docs.withColumn(name, _key(1))
+    if clash.isEmpty():
+        return out
+    out = out.join(clash, F.col(name) == F.col(shared), "left")
+    return out.withColumn(name, F.when(F.col(shared).isNull(), F.col(name)).otherwise(_key(2))).drop(shared)
+
+
+def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows: doc (a key), doc_id, text. (contexts, spans): _contexts() of the rows, and doc, lo, hi of what is to be removed, perhaps overlapping."""
+    texts = rows.select("doc", F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    with passing() as keep:
+        anchors = durable(_anchors(texts))
+        # a table by itself, so that the join can split an anchor that very many texts have
+        twice = durable(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+        some = anchors.join(twice, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place")).alias("some"))
+        held = _packed(texts).join(some, "doc", "left").select("doc", "doc_id", "z", "some")
+        contexts = keep(durable(_contexts(held)))
     rows = contexts.where("anchor IS NOT NULL").select("doc", "anchor", "lo", "hi", "c1", "c2", "body")
     place = F.xxhash64("doc", "lo")
     copies = rows.groupBy("anchor", "c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.when(F.col("body").isNotNull(), place)).alias("pick"))
@@ -389,7 +405,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept: the bytes left (null: all of them)."""
-    contexts, spans = repeated_spans(docs)
+    contexts, spans = repeated_spans(keyed(docs.select("doc_id", "text"), "doc"))
     by = spans.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     rows = contexts.where("anchor IS NULL").select("doc", "doc_id", "body", "n_bytes", "sha")
     return _cut(rows.join(by, "doc", "left").select("doc_id", "body", "n_bytes", "sha", "spans"))
@@ -398,8 +414,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 def rewrite(docs: DataFrame) -> DataFrame:
     """The documents, all columns, without their repeated bytes; what a cut leaves of a broken character goes too, and n_chars follows the text. Null
     and short texts stay as they are, every row stays, and columns may have any names."""
-    _, spans = repeated_spans(docs)
     key, cuts = free(docs, "key", "cuts")
+    told = keyed(docs, key)
+    _, spans = repeated_spans(told.select(F.col(key).alias("doc"), "doc_id", "text"))
     by = spans.groupBy(F.col("doc").alias(key)).agg(F.collect_set(F.struct("lo", "hi")).alias(cuts))
     names = docs.columns
     where, count = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
@@ -425,6 +442,6 @@ def rewrite(docs: DataFrame) -> DataFrame:
                     columns[count] = pa.array(sizes, columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    held = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(by, key, "left").select(*[f"`{c}`" for c in docs.columns], cuts)
+    held = told.join(by, key, "left").select(*[f"`{c}`" for c in docs.columns], cuts)
     held = held.toDF(*[f"c{i}" for i in range(len(held.columns))])  # Python's side takes no dots in names
     return held.mapInArrow(run, docs.schema)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import time
@@ -14,7 +15,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from quillgraph.llm import extract, mixing, neardup, quality, repeats, scoring, subwords, toxicity, urls, vectors
-from quillgraph.llm.common import components
+from quillgraph.llm.common import CLEANUP, components, durable, passing
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, value long, key string, rep long, n long"
 
@@ -169,6 +170,37 @@ def test_repeats(spark, table, monkeypatch, bucket):
     assert sorted(tuple(r) for r in got.collect()) == brute_repeats(rows, repeats.LENGTH)
 
 
+def test_texts_whose_keys_clash(spark, table, monkeypatch):
+    """Keys of 4 bits clash at once; the rows that share one get another, so each text keeps its own spans and every row its columns."""
+    key = repeats._key
+    monkeypatch.setattr(repeats, "_key", lambda seed: F.pmod(key(seed), F.lit(16)) if seed == 1 else key(seed))
+    rows = [*table[0], table[0][20]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert repeats.keyed(df, "k").select("k").distinct().count() > 16
+    got = repeats.remove_repeats(df).drop("kept")
+    assert sorted(tuple(r) for r in got.collect()) == brute_repeats(rows, repeats.LENGTH)
+    assert repeats.rewrite(df).count() == len(rows)
+
+
+def test_passing_tables(spark):
+    """Tables written inside go, those kept are the next one's out, and what fails inside leaves nothing behind."""
+    there = lambda df: os.path.exists(df._durable_path)
+    with passing() as outer:
+        a = outer(durable(spark.range(3)))
+        with passing() as inner:
+            b, c = durable(spark.range(4)), inner(durable(spark.range(5)))
+        assert there(a) and not there(b) and there(c) and c.count() == 5
+    assert there(a) and not there(c)
+    with pytest.raises(ZeroDivisionError), passing():
+        d = durable(spark.range(2))
+        assert there(d)
+        1 // 0
+    assert not there(d)
+    e = durable(spark.range(6))
+    assert there(e)
+    assert spark.conf.get(CLEANUP) == "false"
+
+
 def test_rewrite(spark, table):
     rows, df = table
     want = {i: removed for i, _, removed, _, _ in brute_repeats(rows, repeats.LENGTH)}
