@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillgraph.llm import mixing, neardup, repeats, subwords, toxicity
-from quillgraph.llm.common import durable
+from quillgraph.llm.common import drop, durable, passing
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +41,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = durable(docs)
-    return docs
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        with passing() as keep:  # what a stage wrote on its way goes once its result is written, and so does the result before it
+            docs = keep(durable(stage(spark, docs, sf_dir)))
+        if before:
+            drop(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
