@@ -6,15 +6,13 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from .operators import records as R
 from .operators.upsert import clear
 from .plans import build as B
 from .plans import questions as Q
-from .plans.graph import Graph
+from .plans.graph import Graph, saved_rows
 from .sources.settings import Settings
 
-PHASE_1 = (["Package", "File", "Field"], ["CONTAINS_FILE", "CONTAINS_FIELD", "POINTS_TO"])
-PHASE_2 = (["CrossReference"], ["INDEXED_BY", "SUBFILE_OF", "VARIABLE_POINTER"])
-
 
 def report(graph: Graph, whole: bool) -> None:
     Q.validate(graph).orderBy("measure").show(50, truncate=False)
@@ -41,11 +39,18 @@ def main(argv: list[str] | None = None) -> int:
         if missing := Settings(a.dictionary, a.roots, a.packages, a.output).missing():
             print("missing:", *missing)
             return 1
-        told = B.records(spark, a.dictionary, a.packages, a.roots if not Settings(dictionary=a.roots, packages=a.packages).missing() else None)
-        for name, n in B.store(a.output, *told[: 3 if a.phase == 1 else 5]).items():
+        # phase 2 goes on from the phase 1 that is saved there, if there is one
+        there = a.phase == 2 and "File" in saved_rows(spark, a.output)
+        with B.reading(spark, a.dictionary) as entries:
+            if there:
+                written = B.add_phase_2(spark, a.output, R.cross_references(entries), R.variable_targets(entries))
+            else:
+                roots = a.roots if not Settings(dictionary=a.roots, packages=a.packages).missing() else None
+                written = B.store(a.output, *B.records(spark, entries, a.packages, roots)[: 3 if a.phase == 1 else 5])
+        for name, n in written.items():
             print(f"{name}: {n} written")
-    saved = (PHASE_1[0] + PHASE_2[0] * (a.phase == 2), PHASE_1[1] + PHASE_2[1] * (a.phase == 2))
-    report(Graph.load(spark, a.output, *saved), a.phase == 2)
+        Graph.vacuum(spark, a.output)
+    report(Graph.load(spark, a.output), a.phase == 2)
     return 0
 
 

@@ -1,4 +1,4 @@
-"""Edges between records: equi joins on the keys of nodes, and one range join with a first match.
+"""Edges between records: equi joins on the keys of nodes, and one look-up of ranges.
 
 Every edge has src, dst (keys of its ends), its properties and a confidence.
 """
@@ -9,10 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import edge_type
-
-#: Ranges that may be broadcast; a table with more is joined by bins of file numbers.
-BROADCAST_RANGES = 10_000
-BIN = 64.0
+from .ranges import first_range
 
 
 def edges(name: str, df: DataFrame, **properties: str) -> DataFrame:
@@ -42,15 +39,7 @@ def package_of(files: DataFrame, packages: DataFrame) -> DataFrame:
     """number, package: by direct assignment (the last that lists the number), else the first range that holds it."""
     direct = packages.select("file_no", "name", F.explode("file_numbers").alias("number")).groupBy("number").agg(F.max_by("name", "file_no").alias("direct"))
     numbers = files.select("number", F.col("number").try_cast("double").alias("n"))
-    spans = ranges(packages)
-    small = spans.limit(BROADCAST_RANGES + 1).count() <= BROADCAST_RANGES
-    asked = numbers.where("n IS NOT NULL")
-    if small:
-        met = asked.join(F.broadcast(spans), (F.col("n") >= F.col("low")) & (F.col("n") <= F.col("high")))
-    else:
-        cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / BIN), F.floor(F.col("high") / BIN))))
-        met = asked.withColumn("cell", F.floor(F.col("n") / BIN)).join(cells, "cell").where("n BETWEEN low AND high")
-    ranged = met.groupBy("number").agg(F.min_by("name", "place").alias("ranged"))
+    ranged = first_range(numbers.select(F.col("number").alias("key"), "n").distinct(), ranges(packages)).select(F.col("key").alias("number"), F.col("name").alias("ranged"))
     return numbers.join(direct, "number", "left").join(ranged, "number", "left").select("number", F.coalesce("direct", "ranged").alias("package"))
 
 

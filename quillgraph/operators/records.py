@@ -20,26 +20,43 @@ BLOCK = 4096
 def files(entries: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """One file for each number: its last header, named by its last name entry (which may be empty) if there is one, with the last root that
     `roots`, the entries of a root export, has for it. Headers, names and roots are told in one aggregate, and if `roots` is `entries` in one scan."""
-    rows = _told(entries, roots is entries)
+    rows = _kinds(entries, roots is entries)
     if roots is not None and roots is not entries:
-        rows = rows.unionByName(_told(roots.where(L.is_root()), True))
-    last = lambda c, kind: F.max_by(c, F.when(F.col("kind") == kind, F.col("line_no")))
-    told = rows.groupBy("number").agg(last("value", "file").alias("value"), last("nm", "name").alias("nm"), last("value", "root").alias("root")).where("value IS NOT NULL")
-    value = F.col("value")
-    return told.select(
-        "number",
-        F.coalesce("nm", D.header_name(value, F.col("number"))).alias("name"),
-        D.with_caret(F.col("root")).alias("global_root"),
-        F.lit(None).cast("string").alias("parent_file"),
-        D.is_subfile_header(value, F.col("number")).alias("is_subfile"),
-    )
+        rows = rows.unionByName(_kinds(roots.where(L.is_root()), True))
+    return files_of(_files_told(rows))
 
 
-def _told(entries: DataFrame, rooted: bool) -> DataFrame:
-    """number, kind, nm, value, line_no of what is said of files."""
+def files_told(entries: DataFrame) -> DataFrame:
+    """What entries tell of each file number: its last header, name and root, each with its line. Such tables of several parts of an export add up (add_files)."""
+    return _files_told(_kinds(entries, True))
+
+
+def _kinds(entries: DataFrame, rooted: bool) -> DataFrame:
+    """number, kind, told (a header's or root's value, or a name), line_no of what is said of files."""
     kind = F.when(L.is_file_header(), "file").when(L.is_file_name(), "name")
     rows = entries.withColumn("kind", kind.when(L.is_root(), "root") if rooted else kind).where("kind IS NOT NULL")
-    return rows.select(L.sub(1).alias("number"), "kind", F.when(F.col("kind") == "name", L.sub(4)).alias("nm"), "value", "line_no")
+    return rows.select(L.sub(1).alias("number"), "kind", F.when(F.col("kind") == "name", L.sub(4)).otherwise(F.col("value")).alias("told"), "line_no")
+
+
+def _files_told(rows: DataFrame) -> DataFrame:
+    last = lambda kind: F.max(F.when(F.col("kind") == kind, F.struct("line_no", "told"))).alias(kind)
+    return rows.groupBy("number").agg(*[last(k) for k in ("file", "name", "root")])
+
+
+def add_files(told: DataFrame) -> DataFrame:
+    return told.groupBy("number").agg(*[F.max(k).alias(k) for k in ("file", "name", "root")])
+
+
+def files_of(told: DataFrame) -> DataFrame:
+    """Files of what is told of their numbers; a number without a header is no file."""
+    value = F.col("file.told")
+    return told.where(value.isNotNull()).select(
+        "number",
+        F.coalesce("name.told", D.header_name(value, F.col("number"))).alias("name"),
+        D.with_caret(F.col("root.told")).alias("global_root"),
+        F.lit(None).cast("string").alias("parent_file"),
+        D.is_subfile_header(value, F.col("number")).alias("is_subfile"),
+    )
 
 
 def fields(entries: DataFrame) -> DataFrame:
@@ -70,22 +87,34 @@ def cross_references(entries: DataFrame) -> DataFrame:
     cross-reference. Rows are dealt by field once; the aggregate and the window that hands the header's line to the field's
     cross-references both stay in that partitioning: one scan, one parse, one exchange.
     """
+    return cross_references_of(_xrefs_told(_xref_rows(entries).repartition("file_number", "field_number")))
+
+
+def cross_references_told(entries: DataFrame) -> DataFrame:
+    """What entries tell of each cross-reference, and of fields (xref_number null), each with its line; such tables add up (add_cross_references)."""
+    return _xrefs_told(_xref_rows(entries))
+
+
+def _xref_rows(entries: DataFrame) -> DataFrame:
     kind = F.when(L.is_xref_header(), "header").when(L.is_xref("0"), "definition").when(L.is_xref("1"), "set").when(L.is_xref("2"), "kill")
     rows = entries.select("subscripts", "line_no", "value", kind.alias("kind")).where("kind IS NOT NULL")
-    rows = rows.select(L.sub(1).alias("file_number"), L.sub(2).alias("field_number"), F.when(F.col("kind") != "header", L.sub(4)).alias("xref_number"), "kind", "line_no", F.split("value", r"\^").alias("p"), "value")
+    return rows.select(L.sub(1).alias("file_number"), L.sub(2).alias("field_number"), F.when(F.col("kind") != "header", L.sub(4)).alias("xref_number"), "kind", "line_no", F.split("value", r"\^").alias("p"), "value")
+
+
+def _xrefs_told(rows: DataFrame) -> DataFrame:
     defines = (F.col("kind") == "definition") & (F.size("p") >= 2)
-    at = lambda k: F.when(F.col("kind") == k, F.col("line_no"))
-    told = (
-        rows.repartition("file_number", "field_number")
-        .groupBy("file_number", "field_number", "xref_number")
-        .agg(
-            F.min(at("header")).alias("header"),
-            F.max_by(F.struct(F.get("p", 1).alias("name"), F.coalesce(F.get("p", 2), F.lit("regular")).alias("xref_type"), F.col("line_no").alias("defined")), F.when(defines, F.col("line_no"))).alias("d"),
-            *[F.max_by(F.struct("value", "line_no"), at(k)).alias(k) for k in ("set", "kill")],
-        )
-    )
-    held = told.withColumn("since", F.min("header").over(Window.partitionBy("file_number", "field_number"))).where("d.defined > since")
-    logic = lambda k: F.when(F.col(f"{k}.line_no") > F.col("d.defined"), F.col(f"{k}.value")).alias(f"{k}_logic")
+    defined = F.struct("line_no", F.get("p", 1).alias("name"), F.coalesce(F.get("p", 2), F.lit("regular")).alias("xref_type"))
+    logic = lambda k: F.max(F.when(F.col("kind") == k, F.struct("line_no", "value"))).alias(k)
+    return rows.groupBy("file_number", "field_number", "xref_number").agg(F.min(F.when(F.col("kind") == "header", F.col("line_no"))).alias("header"), F.max(F.when(defines, defined)).alias("d"), logic("set"), logic("kill"))
+
+
+def add_cross_references(told: DataFrame) -> DataFrame:
+    return told.groupBy("file_number", "field_number", "xref_number").agg(F.min("header").alias("header"), *[F.max(c).alias(c) for c in ("d", "set", "kill")])
+
+
+def cross_references_of(told: DataFrame) -> DataFrame:
+    held = told.withColumn("since", F.min("header").over(Window.partitionBy("file_number", "field_number"))).where("d.line_no > since")
+    logic = lambda k: F.when(F.col(f"{k}.line_no") > F.col("d.line_no"), F.col(f"{k}.value")).alias(f"{k}_logic")
     return held.select(F.concat_ws("_", "file_number", "field_number", "xref_number").alias("xref_id"), "d.name", "file_number", "field_number", "d.xref_type", "xref_number", logic("set"), logic("kill"), F.lit("field").alias("execution"))
 
 

@@ -88,12 +88,30 @@ def calls(lines: DataFrame) -> DataFrame:
     return within(lines).select("routine", "label", "label_line", F.explode(named).alias("c")).select("routine", "label", "label_line", F.substring_index("c", "^", 1).alias("to_label"), F.substring_index("c", "^", -1).alias("to_routine"))
 
 
+def resolved(calls: DataFrame, labels: DataFrame) -> DataFrame:
+    """calls with found_routine, found_label, found_line and how: the label that each call means.
+
+    exact: label and routine are there (each such label, if a routine has it more than once). label: the label stands in one routine alone, whatever routine
+    is named. guess: else the first label of the routine that is named, or of all routines with the label the first by name. A call of none of
+    these is left out.
+    """
+    at = F.struct("routine", "line_no", "label")
+    exact = labels.select(F.col("routine").alias("to_routine"), F.col("label").alias("to_label"), at.alias("exact"))
+    by_label = labels.groupBy(F.col("label").alias("to_label")).agg(F.min(at).alias("first"), F.max("routine").alias("last_routine"))
+    by_routine = labels.groupBy(F.col("routine").alias("to_routine")).agg(F.min(F.struct("line_no", "label")).alias("top"))
+    met = calls.join(exact, ["to_routine", "to_label"], "left").join(by_label, "to_label", "left").join(by_routine, "to_routine", "left")
+    alone = F.col("first.routine") == F.col("last_routine")
+    top = F.when(F.col("top").isNotNull(), F.struct(F.col("to_routine").alias("routine"), F.col("top.line_no").alias("line_no"), F.col("top.label").alias("label")))
+    how = F.when(F.col("exact").isNotNull(), "exact").when(alone, "label").otherwise("guess")
+    told = met.withColumns({"how": how, "means": F.coalesce("exact", F.when(alone, F.col("first")), top, "first")}).where("means IS NOT NULL")
+    return told.select(*calls.columns, F.col("means.routine").alias("found_routine"), F.col("means.label").alias("found_label"), F.col("means.line_no").alias("found_line"), "how")
+
+
 def dependencies(calls: DataFrame, labels: DataFrame) -> DataFrame:
-    """routine, depends_on, call_count: calls to labels that are there, of other routines."""
-    outer = calls.where("label IS NOT NULL AND routine <> to_routine").groupBy("routine", "to_routine", "to_label").agg(F.count(F.lit(1)).alias("n"))
-    there = labels.groupBy(F.col("routine").alias("to_routine"), F.col("label").alias("to_label")).agg(F.count(F.lit(1)).alias("times"))
-    met = outer.join(there, ["to_routine", "to_label"])
-    return met.groupBy("routine", F.col("to_routine").alias("depends_on")).agg(F.sum(F.col("n") * F.col("times")).alias("call_count")).orderBy(F.col("call_count").desc(), "routine", "depends_on")
+    """routine, depends_on, confidence, call_count: calls of other routines, by how surely they are meant. Equal calls of a routine are counted before they are looked up."""
+    some = calls.where("label IS NOT NULL").groupBy("routine", "to_routine", "to_label").agg(F.count(F.lit(1)).alias("n"))
+    met = resolved(some, labels).where("routine <> found_routine")
+    return met.groupBy("routine", F.col("found_routine").alias("depends_on"), confidence(F.col("how")).alias("confidence")).agg(F.sum("n").alias("call_count")).orderBy(F.col("call_count").desc(), "routine", "depends_on", "confidence")
 
 
 def routine_nodes(lines: DataFrame, prefixes: DataFrame) -> DataFrame:
@@ -179,9 +197,12 @@ def wider_features(lines: DataFrame) -> DataFrame:
 
 
 def character_counts(lines: DataFrame) -> DataFrame:
-    """routine, line_no, character, n."""
-    chars = lines.select("routine", "line_no", F.explode(F.split("line", "")).alias("character")).where("character <> ''")
-    return chars.groupBy("routine", "line_no", "character").agg(F.count(F.lit(1)).alias("n"))
+    """routine, line_no, characters: a map of each character of the line to how often it stands in it. A line stays one row and goes through no shuffle: each of its
+    different characters is counted by what the line loses without it."""
+    line = F.col("line")
+    each = F.filter(F.array_distinct(F.split(line, "")), lambda c: c != "")
+    counts = F.transform(each, lambda c: (F.length(line) - F.length(F.replace(line, c, F.lit("")))).cast("int"))
+    return lines.select("routine", "line_no", F.map_from_arrays(each, counts).alias("characters"))
 
 
 def roll_up(told: DataFrame) -> DataFrame:
@@ -227,3 +248,41 @@ def stratified(df: DataFrame, strata: Column, each: int, seed: int = 1) -> DataF
     key = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
     rank = F.row_number().over(Window.partitionBy("_stratum").orderBy("_key"))
     return df.withColumn("_stratum", strata).withColumn("_key", key).withColumn("_rank", rank).where(F.col("_rank") <= each).drop("_stratum", "_key", "_rank")
+
+
+# -- a sample over several strata ------------------------------------------------------------------------------------------------
+
+#: Of how many units the sample by size is, sizes that part small, middle and large units and the share of each, units of each package, units at random.
+SAMPLE, SIZES, SHARES, OF_PACKAGE, AT_RANDOM = 200, (100, 500), (0.2, 0.5, 0.3), 5, 50
+#: Labels that part simple, middle and complex units, and units of each.
+COMPLEXITY, OF_COMPLEXITY = (3, 10), 20
+
+
+def sample_key(unit: Column, dimension: Column, seed: int = 1) -> Column:
+    """What orders units in a stratum: a digest of seed, dimension and unit, the same in any engine."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), dimension, unit.cast("string")))
+
+
+def strategic_sample(units: DataFrame, seed: int = 1, sizes: tuple[int, int] = SIZES, complexity: tuple[int, int] = COMPLEXITY) -> DataFrame:
+    """units (unit, size, package, labels), each unit once, to unit, strata: those of a sample by size, package and complexity and at random, each unit
+    once, with the strata that have taken it.
+
+    A stratum takes the units with the least keys. Spark keeps no more than the highest number of any stratum in each partition before it
+    shuffles, so a package that holds most units costs no more than others.
+    """
+    size = F.when(F.col("size") < sizes[0], "small").when(F.col("size") < sizes[1], "middle").otherwise("large")
+    labels = F.when(F.col("labels") < complexity[0], "simple").when(F.col("labels") < complexity[1], "middle").otherwise("complex")
+    small, middle, large = (round(SAMPLE * s) for s in SHARES)
+    stratum = lambda d, name, n: F.struct(F.lit(d).alias("dimension"), name.cast("string").alias("name"), n.cast("int").alias("quota"))
+    strata = F.array(
+        stratum("size", size, F.when(size == "small", small).when(size == "middle", middle).otherwise(large)),
+        stratum("package", F.coalesce(F.col("package"), F.lit("")), F.lit(OF_PACKAGE)),
+        stratum("complexity", labels, F.lit(OF_COMPLEXITY)),
+        stratum("random", F.lit("all"), F.lit(AT_RANDOM)),
+    )
+    each = units.select("unit", F.explode(strata).alias("s")).select("unit", "s.*")
+    key = sample_key(F.col("unit"), F.col("dimension"), seed)
+    rank = F.row_number().over(Window.partitionBy("dimension", "name").orderBy("_key", "unit"))
+    most = max(small, middle, large, OF_PACKAGE, OF_COMPLEXITY, AT_RANDOM)
+    taken = each.withColumn("_key", key).withColumn("_rank", rank).where(F.col("_rank") <= most).where(F.col("_rank") <= F.col("quota"))
+    return taken.groupBy("unit").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "dimension", "name"))), ",").alias("strata"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,12 @@ from pyspark.sql import functions as F
 from ..operators import edges as E
 from ..operators import records as R
 from ..operators import routines as M
+from ..operators.stored import Rounds
 from ..sources.exports import parse_lines, read_lines, read_packages
-from ..sources.settings import shared_dir
-from .graph import Graph
+from .graph import Graph, Saving
+
+#: Edge types that phase 2 adds.
+PHASE_2 = ("INDEXED_BY", "SUBFILE_OF", "VARIABLE_POINTER")
 
 
 def structure(spark: SparkSession, packages: DataFrame, files: DataFrame, fields: DataFrame) -> Graph:
@@ -33,42 +37,82 @@ def enrich(graph: Graph, xrefs: DataFrame, targets: DataFrame) -> Graph:
     return Graph(graph.spark, graph.node_frames | {"CrossReference": xrefs}, graph.edge_frames | more)
 
 
+#: Confidence of what leads to a stand-in.
+STAND_IN = 0.5
+
+
+def with_placeholders(graph: Graph, targets: DataFrame) -> Graph:
+    """The graph with a stand-in for each file that sub-files or variable pointers name and that isn't there, and edges of these types to them.
+
+    Targets are the variable pointers' (variable_targets), also those whose text is no file number: it is kept as it is. Only what names
+    such a file leads to it, so the edges that were there stay as they are; a stand-in has a name of its own and nothing else.
+    """
+    files, fields = graph.nodes("File"), graph.nodes("Field")
+    subs = R.subfiles(files)
+    asked = targets.where("coalesce(target_file, '') <> ''")
+    named = subs.select(F.col("parent_file_number").alias("number")).unionByName(asked.select(F.col("target_file").alias("number"))).distinct()
+    missing = named.where("number <> ''").join(files.select("number"), "number", "left_anti")
+    stub = {"name": F.concat(F.lit("FILE_"), "number"), "is_subfile": F.lit(False)}
+    stand_ins = missing.select("number", *[stub.get(c, F.lit(None)).cast(t).alias(c) for c, t in files.dtypes if c != "number"])
+    guessed = lambda df: df.withColumn("confidence", F.lit(STAND_IN))
+    more = {"SUBFILE_OF": guessed(E.subfile_of(stand_ins, subs)), "VARIABLE_POINTER": guessed(E.variable_pointer(stand_ins, fields, asked))}
+    return Graph(graph.spark, graph.node_frames | {"File": files.unionByName(stand_ins.select(*files.columns))}, graph.edge_frames | {n: graph.edges(n).unionByName(df) if n in graph.edge_frames else df for n, df in more.items()})
+
+
 def with_routines(graph: Graph, lines: DataFrame) -> Graph:
     """Phase 3 on a graph of packages: routines and labels of sources (routine, line_no, line), who owns them and what they call."""
     labels, prefixes = M.labels(lines), package_by_prefix(graph.nodes("Package"))
     routines, nodes = M.routine_nodes(lines, prefixes), M.label_nodes(labels)
     key = lambda r, n, at: F.concat_ws(":", r, n, at)
-    to = labels.select(F.col("routine").alias("to_routine"), F.col("label").alias("to_label"), key("routine", "label", "line_no").alias("dst"))
-    called = M.calls(lines).where("label IS NOT NULL").join(to, ["to_routine", "to_label"]).select(key("routine", "label", "label_line").alias("src"), "dst")
-    return Graph(graph.spark, graph.node_frames | {"Routine": routines, "Label": nodes}, graph.edge_frames | {"CONTAINS_LABEL": M.contains_label(routines, nodes), "OWNS_ROUTINE": M.owns_routine(routines), "CALLS": E.edges("CALLS", called)})
+    called = M.resolved(M.calls(lines).where("label IS NOT NULL"), labels)
+    ends = called.select(key("routine", "label", "label_line").alias("src"), key("found_routine", "found_label", "found_line").alias("dst"), M.confidence(F.col("how")).alias("sure"))
+    calls = E.edges("CALLS", ends, sure="sure").withColumn("confidence", F.col("sure")).drop("sure")
+    return Graph(graph.spark, graph.node_frames | {"Routine": routines, "Label": nodes}, graph.edge_frames | {"CONTAINS_LABEL": M.contains_label(routines, nodes), "OWNS_ROUTINE": M.owns_routine(routines), "CALLS": calls})
 
 
-def store(path: str, packages: DataFrame, files: DataFrame, fields: DataFrame, xrefs: DataFrame | None = None, targets: DataFrame | None = None) -> dict[str, int]:
-    """Save the graph of these records, of phase 2 too if there are cross-references; rows written by label and type. Nodes are saved first and edges derived
-    from the nodes as saved, so that no record is made twice."""
+def store(path: str, packages: DataFrame, files: DataFrame, fields: DataFrame, xrefs: DataFrame | None = None, targets: DataFrame | None = None, buckets: int | None = None) -> dict[str, int]:
+    """Save the graph of these records, of phase 2 too if there are cross-references; rows written by label and type. Nodes are written first and edges derived
+    from the nodes as written, so that no record is made twice; all of it becomes the graph at path at the end, or none of it."""
     spark = packages.sparkSession
     frames = {"Package": packages, "File": files, "Field": fields} | ({} if xrefs is None else {"CrossReference": xrefs})
-    written = Graph(spark, frames).save(path)
-    held = Graph.load(spark, path, [*frames], [])
-    graph = structure(spark, *(held.nodes(n) for n in ("Package", "File", "Field")))
-    if xrefs is not None:
-        graph = enrich(graph, held.nodes("CrossReference"), targets)
-    return written | Graph(spark, {}, graph.edge_frames).save(path)
-
-
-def records(spark: SparkSession, dictionary: str, packages: str, roots: str | None = None) -> tuple[DataFrame, ...]:
-    """Packages, files, fields, cross-references and variable targets of an export, a package table and an export of global roots. Lines are parsed
-    once and stored in the folder of spark.checkpoint.dir; once the graph is saved they may be deleted."""
-    stored = f"{shared_dir(spark)}/quillgraph-entries-{uuid.uuid4().hex}"
-    parse_lines(read_lines(spark, dictionary)).write.parquet(stored)
-    entries = spark.read.parquet(stored)
+    with Saving(spark, path, buckets) as saving:
+        saving.write(Graph(spark, frames))
+        held = saving.written()
+        graph = structure(spark, *(held.nodes(n) for n in ("Package", "File", "Field")))
+        if xrefs is not None:
+            graph = enrich(graph, held.nodes("CrossReference"), targets)
+        saving.write(Graph(spark, {}, graph.edge_frames))
+    return saving.rows
+
+
+def add_phase_2(spark: SparkSession, path: str, xrefs: DataFrame, targets: DataFrame) -> dict[str, int]:
+    """Phase 2 on the graph of phase 1 that is saved at path: its nodes and edges stay as they are, what phase 2 has is added or replaced; rows written."""
+    with Saving(spark, path, base=True) as saving:
+        if "File" not in saving.frames:
+            raise ValueError("phase 2 needs the nodes of phase 1")
+        saving.write(Graph(spark, {"CrossReference": xrefs}))
+        held = saving.written()
+        graph = enrich(held, held.nodes("CrossReference"), targets)
+        saving.write(Graph(spark, {}, {n: graph.edges(n) for n in PHASE_2}))
+    return saving.rows
+
+
+@contextmanager
+def reading(spark: SparkSession, dictionary: str) -> Iterator[DataFrame]:
+    """The entries of an export, parsed once and stored in the folder of spark.checkpoint.dir; they are deleted at the end, when the graph is saved."""
+    with Rounds(spark) as rounds:
+        yield rounds.put(parse_lines(read_lines(spark, dictionary)))
+
+
+def records(spark: SparkSession, entries: DataFrame, packages: str, roots: str | None = None) -> tuple[DataFrame, ...]:
+    """Packages, files, fields, cross-references and variable targets of an export's entries, a package table and an export of global roots."""
     rooted = parse_lines(read_lines(spark, roots)) if roots else None
     return R.packages(read_packages(spark, packages)), R.files(entries, rooted), R.fields(entries), R.cross_references(entries), R.variable_targets(entries)
 
 
 def load(spark: SparkSession, dictionary: str, packages: str, roots: str | None = None) -> Graph:
-    """The graph of both phases, to be asked at once; store() saves it."""
-    p, files, fields, xrefs, targets = records(spark, dictionary, packages, roots)
+    """The graph of both phases, to be asked at once, from the lines themselves; reading() and store() save it."""
+    p, files, fields, xrefs, targets = records(spark, parse_lines(read_lines(spark, dictionary)), packages, roots)
     return enrich(structure(spark, p, files, fields), xrefs, targets)
 
 

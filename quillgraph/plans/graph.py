@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -9,15 +10,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.upsert import clear
 from ..schemas import EDGE_TYPES, LABELS, edge_type, label
+from ..sources import commits
 
 #: Frames of a graph that are written at the same time.
 WRITES_AT_ONCE = 4
 
 
+def _name(name: str) -> str:
+    """The column that is the key of a node: its edges' src or dst."""
+    return "field_id" if name == "Field" else LABELS[name].key[0]
+
+
 def _key(name: str):
-    """One text for the key of a node: its edges' src or dst."""
-    return F.col("field_id") if name == "Field" else F.col(LABELS[name].key[0])
+    return F.col(_name(name))
 
 
 @dataclass
@@ -106,18 +113,90 @@ class Graph:
 
     # storage ------------------------------------------------------------------------------------------------------
 
-    def save(self, path: str) -> dict[str, int]:
-        """One directory for each frame, laid out by the column that joins look it up by. Rows written, by label and type."""
-        frames = [("nodes", n, df, LABELS[n].key) for n, df in self.node_frames.items()] + [("edges", n, df, ("dst",)) for n, df in self.edge_frames.items()]
+    def save(self, path: str, buckets: int | None = None) -> dict[str, int]:
+        """Make this the graph at path, whole or not at all; rows written, by label and type. What was there stays readable until vacuum()."""
+        with Saving(self.spark, path, buckets) as saving:
+            saving.write(self)
+        return saving.rows
 
-        def write(frame: tuple) -> tuple[str, int]:
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, labels: list[str] | None = None, types: list[str] | None = None) -> Graph:
+        """The graph that was saved last at path, or these labels and types of it; ValueError if there is none, or if it lacks one of them."""
+        told = commits.current(spark, path)
+        if told is None:
+            raise ValueError(f"no graph at {path}")
+        pick = lambda kind, names: [n for n, f in told["frames"].items() if f["kind"] == kind] if names is None else names
+        if lacking := {*(labels or []), *(types or [])} - {*told["frames"]}:
+            raise ValueError(f"the graph at {path} lacks {', '.join(sorted(lacking))}")
+        return cls(spark, *({n: _opened(spark, path, told["frames"][n]) for n in pick(*k)} for k in (("nodes", labels), ("edges", types))))
+
+    @staticmethod
+    def vacuum(spark: SparkSession, path: str) -> int:
+        """Delete what no longer belongs to the graph at path; readers that began before lose it."""
+        told = commits.current(spark, path)
+        return commits.vacuum(spark, path, {f["at"].split("/")[0] for f in told["frames"].values()}) if told else 0
+
+
+#: The columns by which edges lie, those that joins look them up by: fields and what hangs on them lie alike.
+LIES_BY = {"CONTAINS_FILE": "dst", "CONTAINS_FIELD": "dst", "CONTAINS_LABEL": "dst", "OWNS_ROUTINE": "dst"}
+
+
+def _opened(spark: SparkSession, path: str, frame: dict) -> DataFrame:
+    """A saved frame as a table in buckets of its key, so that a join on it needs no exchange and a look-up reads one bucket."""
+    at = f"{path}/{frame['at']}"
+    name = f"quillgraph_{hashlib.md5(at.encode()).hexdigest()}"
+    if not spark.catalog.tableExists(name):
+        quoted = at.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({frame['columns']}) USING parquet CLUSTERED BY ({frame['key']}) SORTED BY ({frame['key']}) INTO {frame['buckets']} BUCKETS LOCATION '{quoted}'")
+    return spark.table(name)
+
+
+class Saving:
+    """A save in parts: frames are written one after the other and can be read again at once; at the end, if nothing has failed, they become the graph at path.
+
+    base: begin with the frames of the graph that is there, and only add to them or replace some.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, base: bool = False):
+        self.spark, self.path, self.version = spark, path, f"v-{commits.fresh()}"
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        told = commits.current(spark, path)
+        self.before = told["number"] if told else 0
+        self.frames: dict[str, dict] = dict(told["frames"]) if told and base else {}
+        self.rows: dict[str, int] = {}
+
+    def __enter__(self) -> Saving:
+        return self
+
+    def write(self, graph: Graph) -> None:
+        frames = [("nodes", n, df, _name(n)) for n, df in graph.node_frames.items()] + [("edges", n, df, LIES_BY.get(n, "src")) for n, df in graph.edge_frames.items()]
+
+        def put(frame: tuple) -> tuple[str, dict]:
             kind, n, df, key = frame
-            df.repartition(F.col(key[0])).sortWithinPartitions(*key).write.mode("overwrite").parquet(f"{path}/{kind}/{n}")
-            return n, self.spark.read.schema(df.schema).parquet(f"{path}/{kind}/{n}").count()  # told by the files' footers
+            at = f"{self.version}/{kind}/{n}"
+            name = f"quillgraph_{hashlib.md5(f'{self.path}/{at}'.encode()).hexdigest()}"
+            # a task writes a bucket; keys that are many times there are of one node, and nodes' keys are single
+            df.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key).option("path", f"{self.path}/{at}").format("parquet").saveAsTable(name)
+            columns = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+            return n, {"kind": kind, "at": at, "key": key, "buckets": self.buckets, "columns": columns, "rows": self.spark.table(name).count()}  # told by the files' footers
 
         with ThreadPoolExecutor(WRITES_AT_ONCE) as pool:  # the last tasks of one write leave room for the first of the next
-            return dict(pool.map(write, frames))
+            made = dict(pool.map(put, frames))
+        self.frames |= made
+        self.rows |= {n: f["rows"] for n, f in made.items()}
 
-    @classmethod
-    def load(cls, spark: SparkSession, path: str, labels: list[str], types: list[str]) -> Graph:
-        return cls(spark, {n: spark.read.parquet(f"{path}/nodes/{n}") for n in labels}, {n: spark.read.parquet(f"{path}/edges/{n}") for n in types})
+    def written(self) -> Graph:
+        """What will be the graph, as it is written so far."""
+        return Graph(self.spark, *({n: _opened(self.spark, self.path, f) for n, f in self.frames.items() if f["kind"] == k} for k in ("nodes", "edges")))
+
+    def __exit__(self, failed: object, *_: object) -> None:
+        if not failed:
+            commits.commit(self.spark, self.path, {"frames": self.frames}, self.before)
+        else:
+            clear(self.spark, f"{self.path}/{self.version}")
+
+
+def saved_rows(spark: SparkSession, path: str) -> dict[str, int]:
+    """Rows of each label and type of the graph at path; empty if there is none."""
+    told = commits.current(spark, path)
+    return {n: f["rows"] for n, f in told["frames"].items()} if told else {}

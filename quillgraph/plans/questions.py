@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.paths import walk
+from ..operators.components import strong_components
+from ..operators.paths import neighbourhood as nearby
+from ..operators.paths import path_counts, walk
+from ..schemas import EDGE_TYPES
 from .graph import Graph
 
 _up = lambda c: F.col(c).asc_nulls_last()
@@ -157,10 +160,50 @@ def ancestors(graph: Graph, number: str | None = None) -> DataFrame:
 def subfile_counts(graph: Graph) -> DataFrame:
     """root_file, root_name, subfile_count of every file that is no sub-file; 0 where it has none."""
     roots = graph.nodes("File").join(graph.edges("SUBFILE_OF"), F.col("number") == F.col("src"), "left_anti").select("number", "name")
-    counts = subfile_paths(graph).groupBy("start").agg(F.count(F.lit(1)).alias("n"))
+    counts = path_counts(roots.select(F.col("number").alias("node")), graph.edges("SUBFILE_OF"), backward=True).groupBy("start").agg(F.sum("n").alias("n"))
     return roots.join(counts, F.col("number") == F.col("start"), "left").select(F.col("number").alias("root_file"), F.col("name").alias("root_name"), F.coalesce("n", F.lit(0)).alias("subfile_count")).orderBy(_down("subfile_count"), "root_file")
 
 
+def descendant_counts(graph: Graph) -> DataFrame:
+    """number, descendants, deepest of every file with sub-files: how many there are below it, theirs included, and how far down."""
+    starts = graph.edges("SUBFILE_OF").select(F.col("dst").alias("node")).distinct()
+    return path_counts(starts, graph.edges("SUBFILE_OF"), backward=True).groupBy(F.col("start").alias("number")).agg(F.sum("n").alias("descendants"), F.max("hops").alias("deepest"))
+
+
+def ancestor_counts(graph: Graph) -> DataFrame:
+    """number, ancestors of every sub-file."""
+    starts = graph.edges("SUBFILE_OF").select(F.col("src").alias("node")).distinct()
+    return path_counts(starts, graph.edges("SUBFILE_OF")).groupBy(F.col("start").alias("number")).agg(F.sum("n").alias("ancestors"))
+
+
+def file_pointers(graph: Graph) -> DataFrame:
+    """src, dst: each pair of files with a field of the one that points to the other, once."""
+    held = graph.edges("CONTAINS_FIELD").select("src", F.col("dst").alias("field_id"))
+    return held.join(graph.edges("POINTS_TO").select(F.col("src").alias("field_id"), "dst"), "field_id").select("src", "dst").distinct()
+
+
+def pointer_components(graph: Graph) -> DataFrame:
+    """number, component, size, circular: files that point to each other, over any number of files between; component is the least of them."""
+    told = strong_components(graph.nodes("File").select(F.col("number").alias("node")), file_pointers(graph))
+    return told.withColumnRenamed("node", "number")
+
+
+def circular_dependencies(graph: Graph) -> DataFrame:
+    """component, size, files: each group of files that depend on each other, files in order."""
+    return pointer_components(graph).where("circular").groupBy("component", "size").agg(F.array_join(F.sort_array(F.collect_list("number")), ",").alias("files")).orderBy(_down("size"), "component")
+
+
+def neighbourhood(graph: Graph, label: str, key: str, hops: int, types: list[str] | None = None) -> DataFrame:
+    """label, key, hops: all nodes within so many hops of one, over edges of these types (all, if none are named) in both directions."""
+    parts = []
+    for name in types or [*graph.edge_frames]:
+        kind = EDGE_TYPES[name]
+        end = lambda n, c: F.struct(F.lit(n).alias("label"), F.col(c).alias("key"))
+        parts.append(graph.edges(name).select(end(kind.source, "src").alias("src"), end(kind.target, "dst").alias("dst")))
+    start = graph.spark.createDataFrame([((label, key),)], "node struct<label:string,key:string>")
+    return nearby(start, reduce(DataFrame.unionByName, parts), hops).select("node.label", "node.key", "hops").orderBy("hops", "label", "key")
+
+
 #: Edge types of phase 2 and how many a whole dictionary has at least; fixed values.
 MINIMA = {"INDEXED_BY": 100, "SUBFILE_OF": 10, "VARIABLE_POINTER": 1}
 

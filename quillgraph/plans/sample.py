@@ -6,7 +6,6 @@ from them goes through the operators.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +13,9 @@ from pyspark.sql import functions as F
 
 from ..operators import records as R
 from ..operators.upsert import last_by_key
-from ..schemas import EDGE_TYPES, LABELS
 from ..sources.settings import shared_dir
 from .build import enrich, store, structure
-from .graph import Graph
+from .graph import Graph, saved_rows
 
 FILE_NUMBER = "CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS STRING) ELSE CAST(c_custkey - c_custkey % 5 AS STRING) || '.0' || CAST(c_custkey % 5 AS STRING) END"
 TARGET = "CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey - o_custkey % 5 + 5 ELSE o_custkey END AS STRING)"
@@ -79,39 +77,38 @@ def _place(spark: SparkSession, sf_dir: str, what: str) -> str:
     return f"{shared_dir(spark)}/quillgraph-sample/{spark.sparkContext.applicationId}/{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}/{what}"
 
 
-@functools.cache
-def _written(application: str, place: str) -> dict[str, int]:
-    return {}
-
-
 def saved_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """The whole graph as saved: loaded once by an application, then asked from its files, as a loaded dictionary is."""
     place = _place(spark, sf_dir, "graph")
-    if not (counts := _written(spark.sparkContext.applicationId, place)):
+    if not saved_rows(spark, place):
         packages, fields = R.packages(inputs(spark, sf_dir, "package_rows")), R.typed_fields(inputs(spark, sf_dir, "field_rows"))
-        counts.update(store(place, packages, inputs(spark, sf_dir, "files"), fields, cross_references(spark, sf_dir), inputs(spark, sf_dir, "target_rows").withColumn("line_no", F.lit(0))))
-    return Graph.load(spark, place, [n for n in counts if n in LABELS], [n for n in counts if n in EDGE_TYPES])
+        store(place, packages, inputs(spark, sf_dir, "files"), fields, cross_references(spark, sf_dir), inputs(spark, sf_dir, "target_rows").withColumn("line_no", F.lit(0)))
+    return Graph.load(spark, place)
 
 
 def written_counts(spark: SparkSession, sf_dir: str) -> dict[str, int]:
     """Rows that were written for each label and type."""
     saved_graph(spark, sf_dir)
-    return dict(_written(spark.sparkContext.applicationId, _place(spark, sf_dir, "graph")))
+    return saved_rows(spark, _place(spark, sf_dir, "graph"))
+
+
+def _made(spark: SparkSession, place: str) -> bool:
+    """A write has ended well there: Spark leaves a mark."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")
+    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where))
 
 
 def export_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder of text files with the rendered lines, in the order of their names."""
     place = _place(spark, sf_dir, "export")
-    if not (done := _written(spark.sparkContext.applicationId, place)):
+    if not _made(spark, place):
         inputs(spark, sf_dir, "lines").repartitionByRange(4, "line_no").sortWithinPartitions("line_no").select("raw").write.mode("overwrite").text(place)
-        done["files"] = 4
     return place
 
 
 def package_file(spark: SparkSession, sf_dir: str) -> str:
     """A folder with the package table as text with commas and a header."""
     place = _place(spark, sf_dir, "packages")
-    if not (done := _written(spark.sparkContext.applicationId, place)):
+    if not _made(spark, place):
         inputs(spark, sf_dir, "package_rows").coalesce(1).sortWithinPartitions("row_no").drop("row_no").write.mode("overwrite").csv(place, header=True, escape='"')
-        done["files"] = 1
     return place

@@ -17,6 +17,9 @@ from .operators import paths as W
 from .operators import records as R
 from .operators import routines as M
 from .operators import upsert as U
+from .operators.components import strong_components
+from .operators.keyed import Keyed
+from .operators.ranges import first_range
 from .plans import build as B
 from .plans import questions as Q
 from .plans.graph import Graph
@@ -25,6 +28,7 @@ from .sources.exports import parse_lines, read_lines, read_packages
 from .schemas import EDGE_TYPES
 from .sources.settings import Settings, shared_dir
 from .streaming.exports import keep_up, stream_entries
+from .streaming.records import KeptRecords, stream_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -181,6 +185,34 @@ def entries_from_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/entries").groupBy("global_name").agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("shortest"), F.max(size).alias("longest"))
 
 
+def _dropped(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """Records after three drops of files: the last ones first, the first one late, and one of them twice under another name (but for cross-references, whose
+    second definition is rightly another than the first where a header comes late)."""
+    folder = f"{shared_dir(spark)}/quillgraph-stream-{uuid.uuid4().hex}"
+    kept = KeptRecords(spark, folder, (kind,), 4)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = Path(export_files(spark, sf)), Path(f"{folder}/in")
+    fs = source.getFileSystem(conf)
+    names = sorted(n for s in fs.listStatus(source) if (n := s.getPath().getName()).startswith("part-"))
+    for drop in (names[2:], [names[1], *([f"{names[2]}-again"] if kind != "cross_references" else [])], names[:1]):
+        for n in drop:
+            spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, Path(source, n.removesuffix("-again")), fs, Path(target, n), False, conf)
+        kept.follow(stream_lines(spark, f"{folder}/in", 2)).awaitTermination()
+    return kept.records(kind)
+
+
+def _from_stream(kind: str, f: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[f"{kind}_from_stream"] = lambda spark, sf: f(_dropped(spark, sf, kind))
+    SQL[f"{kind}_from_stream"] = SQL[f"{kind}_from_lines"]
+
+
+_from_stream("files", lambda r: r.select("number", "name", "global_root", "is_subfile"))
+_from_stream("cross_references", lambda r: r.drop("execution"))
+# fields are told as often as they stand: once here, whatever stands twice
+_from_stream("fields", lambda r: r.drop("line_no", "field_id").distinct())
+
+
 # -- packages (S5, P21-P23, W3, J3, J16, A20, A24) ---------------------------------------------------------------------
 
 
@@ -228,6 +260,20 @@ def package_of_file(spark: SparkSession, sf: str) -> DataFrame:
     return E.package_of(inputs(spark, sf, "files"), R.packages(inputs(spark, sf, "package_rows")))
 
 
+#: Ranges of each supplier: some wide and nested, some equal (the first counts), some without an end, some the wrong way round, one single number.
+_SPANS = """SELECT CAST(s_suppkey AS BIGINT) AS place, 'S' || CAST(s_suppkey AS STRING) AS name,
+    CAST(CASE WHEN s_suppkey % 10 = 0 THEN 7 * s_suppkey ELSE 11 * s_suppkey + 0.5 END AS DOUBLE) AS low,
+    CAST(CASE WHEN s_suppkey % 17 = 3 THEN 'Infinity' WHEN s_suppkey % 10 = 0 THEN CAST(7 * s_suppkey AS STRING) WHEN s_suppkey % 4 = 1 THEN CAST(1000000000000 - s_suppkey AS STRING) WHEN s_suppkey % 9 = 4 THEN '0' ELSE CAST(11 * s_suppkey + 3 * (s_suppkey % 40) AS STRING) END AS DOUBLE) AS high FROM {supplier} WHERE s_suppkey >= 3
+    UNION ALL SELECT 100000 + s_suppkey, 'E' || CAST(s_suppkey AS STRING), CAST(11 * s_suppkey + 0.5 AS DOUBLE), CAST(11 * s_suppkey + 30 AS DOUBLE) FROM {supplier} WHERE s_suppkey % 2 = 0"""
+_ASKED = "SELECT DISTINCT CAST(o_orderkey AS STRING) AS key, CAST(o_orderkey AS DOUBLE) / 2 AS n FROM {orders}"
+
+
+@query(f"WITH s AS ({_SPANS.format(supplier='supplier')}) SELECT a.key, arg_min(s.name, s.place) AS name FROM ({_ASKED.format(orders='orders')}) a LEFT JOIN s ON a.n BETWEEN s.low AND s.high GROUP BY a.key")
+def first_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    spans = spark.sql(_SPANS, supplier=spark.read.parquet(f"{sf}/supplier.parquet"))
+    return first_range(spark.sql(_ASKED, orders=spark.read.parquet(f"{sf}/orders.parquet")), spans)
+
+
 @query("SELECT p_partkey, array_to_string(list_filter(list_transform(regexp_split_to_array(p_name || ', ' || p_brand || ' n/a', '[,\\s]+'), lambda x: upper(x)), lambda x: x <> '' AND x <> 'N/A'), ',') AS prefixes FROM part")
 def prefixes_of_parts(spark: SparkSession, sf: str) -> DataFrame:
     part = spark.read.parquet(f"{sf}/part.parquet")
@@ -274,6 +320,26 @@ def upsert_some_columns(spark: SparkSession, sf: str) -> DataFrame:
     return U.upsert_columns(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("old").alias("state")), new, ["id"], ["state"])
 
 
+#: New rows fall into 2 of 16 parts.
+_PARTED = "c_custkey % 16 IN (3, 7) AND c_custkey % 3 = 0"
+
+
+@query(f"""SELECT CAST(c_custkey % 16 AS INT) AS part, count(*) + count(*) FILTER ({_PARTED}) AS n, count(*) FILTER ({_PARTED}) AS n_new, count(*) FILTER ({_PARTED}) AS n_added, c_custkey % 16 NOT IN (3, 7) AS as_it_was FROM customer GROUP BY 1, 5""")
+def upsert_by_part(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each part of a table after an upsert, those of them that are new or changed, and whether its files stayed as they were (K2, K6)."""
+    folder = f"{shared_dir(spark)}/quillgraph-keyed-{uuid.uuid4().hex}"
+    table = Keyed(spark, folder, ("id",), 16, lambda: F.abs("id") % 16)
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    table.upsert(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit(0).alias("seen")), ["seen"])
+    before = table.part_numbers()
+    some = c.where(_PARTED).select(F.col("c_custkey").alias("id"), F.lit("new").alias("name"), F.lit(1).alias("seen"))
+    added = some.select((-F.col("id")).alias("id"), F.lit("added").alias("name"), "seen")
+    table.upsert(some.unionByName(added).unionByName(some.withColumns({"name": F.lit("older"), "seen": F.lit(0)})), ["seen"])
+    same = spark.createDataFrame([(p, before[p] == v) for p, v in table.part_numbers().items()], "part int, as_it_was boolean")
+    told = table.read().groupBy((F.abs("id") % 16).cast("int").alias("part")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("name") == "new").alias("n_new"), F.count_if(F.col("name") == "added").alias("n_added"))
+    return told.join(F.broadcast(same), "part")
+
+
 @query("SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2")
 def drop_repeats(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey")
@@ -506,6 +572,62 @@ def cycles_of_three(spark: SparkSession, sf: str) -> DataFrame:
     return W.cycles(edges.select(F.concat_ws(">", "src", "dst").alias("edge_id"), "src", "dst"), 3)
 
 
+# -- circles of any length, counts without paths, neighbourhoods (D18, T2-T4, T6, A15) ----------------------------------------------
+
+#: What leads to what over any number of hops, and the component of each node: those that lead to it and to which it leads.
+_REACH = "SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM r JOIN e ON e.src = r.dst"
+_COMPONENTS = "SELECT n.node, least(n.node, coalesce(min(a.dst), n.node)) AS component, greatest(count(DISTINCT a.dst), 1) AS size, count(a.dst) > 0 AS circular FROM n LEFT JOIN (SELECT a.src, a.dst FROM r a JOIN r b ON a.src = b.dst AND a.dst = b.src) a ON a.src = n.node GROUP BY n.node"
+
+_graph_query(
+    "pointer_components",
+    Q.pointer_components,
+    f"SELECT node AS number, component, size, circular FROM (WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM hops), n AS (SELECT number AS node FROM files), r AS ({_REACH}) {_COMPONENTS})",
+)
+_graph_query(
+    "circular_dependencies",
+    Q.circular_dependencies,
+    f"SELECT component, size, string_agg(node, ',' ORDER BY node) AS files FROM (WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM hops), n AS (SELECT number AS node FROM files), r AS ({_REACH}) {_COMPONENTS}) WHERE circular GROUP BY 1, 2",
+)
+#: Suppliers in rings of 40, some with a chord, with tails that lead in and out and that belong to none.
+_RINGS = "SELECT s_suppkey AS s, CASE WHEN s_suppkey % 40 = 39 THEN s_suppkey - 39 ELSE s_suppkey + 1 END AS t FROM {supplier} WHERE s_suppkey < 80 UNION ALL SELECT s_suppkey, s_suppkey - 5 FROM {supplier} WHERE s_suppkey % 40 = 20 UNION ALL SELECT s_suppkey, s_suppkey - 1 FROM {supplier} WHERE s_suppkey > 80 UNION ALL SELECT s_suppkey, s_suppkey FROM {supplier} WHERE s_suppkey % 10 = 7 UNION ALL SELECT 39, 40"
+_TEXT_RINGS = f"SELECT CAST(s AS STRING) AS src, CAST(t AS STRING) AS dst FROM ({_RINGS})"
+
+
+@query(f"WITH RECURSIVE e AS (SELECT DISTINCT * FROM ({_TEXT_RINGS.format(supplier='supplier')})), n AS (SELECT CAST(s_suppkey AS STRING) AS node FROM supplier), r AS ({_REACH}) {_COMPONENTS}")
+def ring_components(spark: SparkSession, sf: str) -> DataFrame:
+    supplier = spark.read.parquet(f"{sf}/supplier.parquet")
+    return strong_components(supplier.select(F.col("s_suppkey").cast("string").alias("node")), spark.sql(_TEXT_RINGS, supplier=supplier))
+
+
+def deep_descendant_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.descendant_counts(_deep(spark, sf))
+
+
+def deep_ancestor_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.ancestor_counts(_deep(spark, sf))
+
+
+for _f, _body in (
+    (deep_descendant_counts, f"{_DOWN} SELECT start AS number, count(*) AS descendants, CAST(max(hops) AS INT) AS deepest FROM w GROUP BY 1"),
+    (deep_ancestor_counts, f"{_DOWN} SELECT node AS number, count(*) AS ancestors FROM w GROUP BY 1"),
+):
+    QUERIES[_f.__name__], SQL[_f.__name__] = _f, _body
+
+_WAYS = " UNION ALL ".join(f"SELECT '{t.source}' || chr(1) || src AS a, '{t.target}' || chr(1) || dst AS b FROM {n.lower()}" for n, t in EDGE_TYPES.items() if n.lower() in _RECORDS)
+
+
+def _near(name: str, label: str, key: str, hops: int) -> None:
+    start = f"'{label}' || chr(1) || '{key}'"
+    _graph_query(
+        name,
+        lambda g: Q.neighbourhood(g, label, key, hops),
+        f"SELECT split_part(node, chr(1), 1) AS label, split_part(node, chr(1), 2) AS key, CAST(hops AS INT) AS hops FROM (WITH RECURSIVE one AS ({_WAYS}), w AS (SELECT a, b FROM one UNION SELECT b, a FROM one), r AS (SELECT {start} AS node, 0 AS hops UNION SELECT w.b, r.hops + 1 FROM r JOIN w ON w.a = r.node WHERE r.hops < {hops}) SELECT node, min(hops) AS hops FROM r GROUP BY node)",
+    )
+
+
+_near("neighbourhood", "File", "10", 2)
+_near("wide_neighbourhood", "Package", "NATION_1", 4)
+
 # -- further reports (D10-D12, D15, D16, D19, D20) -------------------------------------------------------------------------------
 
 _graph_query("file_structure", Q.file_structure, "SELECT d.file_number, d.number, d.name, d.data_type, f.name AS target_name FROM fields d JOIN files o ON o.number = d.file_number LEFT JOIN files f ON f.number = d.target_file")
@@ -518,6 +640,24 @@ _graph_query(
 _graph_query("fan_in_out", lambda g: Q.degree(g, ["CONTAINS_FIELD", "POINTS_TO"]), "SELECT key, CAST(sum(o) AS BIGINT) AS fan_out, CAST(sum(i) AS BIGINT) AS fan_in FROM (SELECT src AS key, 1 AS o, 0 AS i FROM all_edges WHERE type IN ('CONTAINS_FIELD', 'POINTS_TO') UNION ALL SELECT dst, 0, 1 FROM all_edges WHERE type IN ('CONTAINS_FIELD', 'POINTS_TO')) GROUP BY 1")
 _graph_query("subfiles_by_parent", Q.subfiles_by_parent, "SELECT dst AS parent, count(*) AS n, string_agg(src, ',' ORDER BY src) AS children FROM subfile_of GROUP BY 1")
 _graph_query("missing_parents", lambda g: Q.missing_parents(_without_tens(g)), "SELECT DISTINCT split_part(number, '.', 1) AS number, 'FILE_' || split_part(number, '.', 1) AS name, CAST(0.5 AS DOUBLE) AS confidence FROM files WHERE contains(number, '.') AND split_part(number, '.', 1) LIKE '%0'")
+#: Targets of variable pointers, some of them no numbers.
+_ODD = "CASE WHEN CAST(v_number AS INT) = 3 THEN 'X' || target_file ELSE target_file END"
+
+
+@query(
+    f"""WITH f AS (SELECT * FROM files WHERE number NOT LIKE '%0' OR contains(number, '.')), t AS (SELECT file_number, field_number, {_ODD} AS target FROM target_rows)
+    SELECT 'SUBFILE_OF' AS type, number AS src, split_part(number, '.', 1) AS dst, CAST(0.5 AS DOUBLE) AS confidence FROM f WHERE contains(number, '.') AND split_part(number, '.', 1) LIKE '%0'
+    UNION ALL SELECT 'VARIABLE_POINTER', d.field_id, t.target, 0.5 FROM t JOIN fields d ON t.file_number = d.file_number AND t.field_number = d.number WHERE t.target NOT IN (SELECT number FROM f)"""
+)
+def edges_to_placeholders(spark: SparkSession, sf: str) -> DataFrame:
+    """What leads to files that aren't there, after these have got stand-ins (D20)."""
+    g = _without_tens(saved_graph(spark, sf))
+    whole = B.with_placeholders(Graph(spark, g.node_frames), inputs(spark, sf, "target_rows").withColumn("target_file", F.expr(_ODD)).withColumn("line_no", F.lit(0)))
+    ends = [whole.edges(n).select(F.lit(n).alias("type"), "src", "dst", "confidence") for n in ("SUBFILE_OF", "VARIABLE_POINTER")]
+    stand_ins = whole.nodes("File").where(F.col("global_root").isNull() & (F.col("name") == F.concat(F.lit("FILE_"), "number"))).select(F.col("number").alias("dst"))
+    return ends[0].unionByName(ends[1]).join(stand_ins, "dst", "left_semi")
+
+
 _graph_query(
     "migration",
     Q.migration,
@@ -537,7 +677,7 @@ def _without_tens(graph: Graph) -> Graph:
 _CALLED = "CASE WHEN c_custkey % 4 = 1 THEN c_custkey ELSE 7 * (c_custkey // 7) + 1 END"
 _NAME = "CASE WHEN {k} % 3 = 0 THEN 'N' ELSE 'Y' END || CAST({k} AS STRING)"
 _SOURCE = f"""'R' || CAST(c_custkey % 97 AS STRING) || 'X ;; header' || chr(10) || ' ;;' || CAST(c_custkey % 7 AS STRING) || '.0;KIT;' || CASE WHEN c_custkey % 5 = 0 THEN '**' || CAST(c_custkey AS STRING) || ',9**;' ELSE '' END || 'Aug' || chr(10)
-    || 'EN' || CAST(c_custkey AS STRING) || '(A,B) ;start' || chr(10) || ' S X=' || CAST(c_custkey AS STRING) || ' D TAG^' || {_NAME.format(k=f'({_CALLED})')} || '(2,0) ;set [a] 20240131' || chr(10) || ' Q $$F("A")' || chr(10) || CASE WHEN c_custkey % 2 = 0 THEN 'ZAG ; note' ELSE 'TAG' END || chr(10) || ' S ^DPT(1)="Ab",^DIC(2)=3 Q 1'"""
+    || 'EN' || CAST(c_custkey AS STRING) || '(A,B) ;start' || chr(10) || ' S X=' || CAST(c_custkey AS STRING) || ' D TAG^' || {_NAME.format(k=f'({_CALLED})')} || '(2,0) ;set [a] 20240131' || chr(10) || ' Q $$F("A") D EN' || CAST(c_custkey + 2 AS STRING) || '^NOWHERE' || chr(10) || CASE WHEN c_custkey % 2 = 0 THEN 'ZAG ; note' ELSE 'TAG' END || chr(10) || ' S ^DPT(1)="Ab",^DIC(2)=3 Q 1'"""
 _SOURCES = f"SELECT c_custkey AS k, {_NAME.format(k='c_custkey')} AS routine, {_SOURCE} AS text FROM customer"
 _OWNED = "SELECT s.routine, arg_max(p.name, length(p.prefix)) AS package, arg_max(p.prefix, length(p.prefix)) AS prefix FROM s JOIN (SELECT prefix, arg_max(name, k) AS name FROM prefix_list WHERE o = 1 GROUP BY prefix) p ON starts_with(s.routine, p.prefix) GROUP BY 1"
 
@@ -595,20 +735,33 @@ def edges_owns_routine(spark: SparkSession, sf: str) -> DataFrame:
     return _routines(spark, sf).edges("OWNS_ROUTINE")
 
 
-_CALLS = f"s AS ({_SOURCES}), c AS (SELECT routine, {_CALLED.replace('c_custkey', 'k')} AS t, k FROM s), d AS (SELECT c.routine, c.k, x.routine AS dep FROM c JOIN s x ON x.k = c.t WHERE x.k % 2 = 1)"
+#: Labels of the sources, their calls, and the label that each call means: by label and routine, else by the label if it stands in one routine alone, else a guess.
+_CALLS = f"""s AS ({_SOURCES}), n AS (SELECT routine, 3 AS line, 'EN' || k AS label FROM s UNION ALL SELECT routine, 6, CASE WHEN k % 2 = 0 THEN 'ZAG' ELSE 'TAG' END FROM s),
+    c AS (SELECT routine, 'EN' || k AS label, 'TAG' AS to_label, {_NAME.format(k=f'({_CALLED})').replace('c_custkey', 'k')} AS to_routine FROM s UNION ALL SELECT routine, 'EN' || k, 'EN' || (k + 2), 'NOWHERE' FROM s),
+    l AS (SELECT label, min({{'r': routine, 'i': line, 'l': label}}) AS m, count(DISTINCT routine) AS n FROM n GROUP BY 1), f AS (SELECT routine, min({{'i': line, 'l': label}}) AS m FROM n GROUP BY 1),
+    d AS (SELECT c.*, CASE WHEN x.routine IS NOT NULL THEN 1.0 WHEN l.n = 1 THEN 0.7 ELSE 0.5 END AS sure, CASE WHEN x.routine IS NOT NULL THEN x.routine WHEN l.n = 1 THEN l.m.r WHEN f.m IS NOT NULL THEN c.to_routine ELSE l.m.r END AS dep,
+        CASE WHEN x.routine IS NOT NULL THEN x.label || ':' || x.line WHEN l.n = 1 THEN l.m.l || ':' || l.m.i WHEN f.m IS NOT NULL THEN f.m.l || ':' || f.m.i ELSE l.m.l || ':' || l.m.i END AS place
+        FROM c LEFT JOIN n x ON x.routine = c.to_routine AND x.label = c.to_label LEFT JOIN l ON l.label = c.to_label LEFT JOIN f ON f.routine = c.to_routine WHERE coalesce(x.routine, l.label, f.routine) IS NOT NULL)"""
 
 
-@query(f"WITH {_CALLS} SELECT routine || ':EN' || k || ':3' AS src, dep || ':TAG:6' AS dst, CAST(1 AS DOUBLE) AS confidence FROM d")
+@query(f"WITH {_CALLS} SELECT routine || ':' || label || ':3' AS src, dep || ':' || place AS dst, CAST(sure AS DOUBLE) AS confidence FROM d")
 def edges_calls(spark: SparkSession, sf: str) -> DataFrame:
     return _routines(spark, sf).edges("CALLS")
 
 
-@query(f"WITH {_CALLS} SELECT routine, dep AS depends_on, count(*) AS call_count FROM d WHERE routine <> dep GROUP BY 1, 2")
+@query(f"WITH {_CALLS} SELECT routine, dep AS depends_on, CAST(sure AS DOUBLE) AS confidence, count(*) AS call_count FROM d WHERE routine <> dep GROUP BY 1, 2, 3")
 def routine_dependencies(spark: SparkSession, sf: str) -> DataFrame:
     lines = _sources(spark, sf)
     return M.dependencies(M.calls(lines), M.labels(lines))
 
 
+@query(f"WITH {_CALLS} SELECT CASE sure WHEN 1.0 THEN 'exact' WHEN 0.7 THEN 'label' ELSE 'guess' END AS how, CAST(sure AS DOUBLE) AS confidence, count(*) AS n FROM d GROUP BY 1, 2")
+def confidence_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    lines = _sources(spark, sf)
+    rows = M.resolved(M.calls(lines).where("label IS NOT NULL"), M.labels(lines))
+    return rows.groupBy("how").agg(F.count(F.lit(1)).alias("n")).withColumn("confidence", M.confidence(F.col("how")))
+
+
 _LINES_OF = "SELECT routine, CAST(i AS INT) AS line_no, l[i] AS line FROM (SELECT routine, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT routine, string_split(text, chr(10)) AS l FROM ({})))"
 _COUNTS = ", ".join(f"CAST(len(regexp_extract_all(line, '{p}')) AS INT) AS {n}" for n, p in M.PATTERNS.items() if n != "symbols")
 
@@ -652,11 +805,26 @@ def best_schema(spark: SparkSession, sf: str) -> DataFrame:
     return M.best(M.scores(told)).withColumn("score", F.round("score", 9))
 
 
-@query("SELECT CASE l_returnflag WHEN 'A' THEN 'exact' WHEN 'N' THEN 'label' ELSE 'guess' END AS how, CAST(CASE l_returnflag WHEN 'A' THEN 1.0 WHEN 'N' THEN 0.7 ELSE 0.5 END AS DOUBLE) AS confidence, count(*) AS n FROM lineitem GROUP BY 1, 2")
-def confidence_tiers(spark: SparkSession, sf: str) -> DataFrame:
-    how = F.when(F.col("l_returnflag") == "A", "exact").when(F.col("l_returnflag") == "N", "label").otherwise("guess")
-    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(how.alias("how"))
-    return rows.groupBy("how").agg(F.count(F.lit(1)).alias("n")).withColumn("confidence", M.confidence(F.col("how")))
+@query(
+    f"""WITH s AS ({_LINES_OF.format(_SOURCES)}), c AS (SELECT DISTINCT routine, line_no, line, unnest(string_split(line, '')) AS c FROM s) SELECT routine, line_no, coalesce(string_agg(c || '=' || (length(line) - length(replace(line, c, ''))), '|' ORDER BY c), '') AS characters FROM c WHERE c <> '' GROUP BY 1, 2"""
+)
+def line_characters(spark: SparkSession, sf: str) -> DataFrame:
+    """What each line of the sources is made of; the map as one text, in order."""
+    told = M.character_counts(_sources(spark, sf)).where(F.size("characters") > 0)
+    return told.withColumn("characters", F.array_join(F.transform(F.array_sort(F.map_entries("characters")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), "|"))
+
+
+_UNITS = "SELECT doc_id AS unit, length(text) - length(replace(text, chr(10), '')) + 1 AS size, source AS package, n_chars % 17 AS labels FROM {documents} WHERE text IS NOT NULL"
+
+
+@query(
+    f"""WITH u AS ({_UNITS.format(documents='documents')}), e AS (SELECT unit, unnest(['size', 'package', 'complexity', 'random']) AS d, unnest([CASE WHEN size < 3 THEN 'small' WHEN size < 10 THEN 'middle' ELSE 'large' END, coalesce(package, ''), CASE WHEN labels < 3 THEN 'simple' WHEN labels < 10 THEN 'middle' ELSE 'complex' END, 'all']) AS name FROM u),
+    r AS (SELECT *, row_number() OVER (PARTITION BY d, name ORDER BY md5('1:' || d || ':' || unit), unit) AS i FROM e)
+    SELECT unit, string_agg(d || ':' || name, ',' ORDER BY d || ':' || name) AS strata FROM r WHERE i <= CASE d WHEN 'package' THEN 5 WHEN 'complexity' THEN 20 WHEN 'random' THEN 50 ELSE CASE name WHEN 'small' THEN 40 WHEN 'middle' THEN 100 ELSE 60 END END GROUP BY 1"""
+)
+def strategic_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as units, in a sample by size, package (their source) and complexity and at random (D8)."""
+    return M.strategic_sample(spark.sql(_UNITS, documents=spark.read.parquet(f"{sf}/documents.parquet")), sizes=(3, 10))
 
 
 @query(

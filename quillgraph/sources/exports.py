@@ -36,6 +36,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.join(places, "file").select((F.shiftleft("place", 44) + F.col("at")).alias("line_no"), "raw")
 
 
+def line_place() -> Column:
+    """A text that orders lines (file, block) by their file's name, then by place: where their split begins and where in the split they stand."""
+    at = F.col("block") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return F.concat_ws(" ", F.regexp_replace("file", "^([^:/]*):/+", "$1:/"), F.lpad(at.cast("string"), 19, "0"))
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """line_no, global_name, subscripts, value, raw_line of the lines that are entries. One scan, no shuffle, no Python.
 
@@ -55,9 +61,16 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_packages(spark: SparkSession, path: str) -> DataFrame:
-    """row_no and the package columns, all strings; columns that the file lacks are null."""
+    """row_no and the package columns, all strings; columns that the file lacks are null. Rows of several files are numbered by file name, then in order."""
     table = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True)
-    return package_rows(table.withColumn("row_no", F.monotonically_increasing_id()))
+    names = sorted(re.sub(":/+", ":/", n, count=1) for n in table.inputFiles())
+    at = F.monotonically_increasing_id()
+    if len(names) <= 1:
+        return package_rows(table.withColumn("row_no", at))
+    # a file that may hold lines in quotes is read by one task, which may read several
+    places = spark.createDataFrame([*enumerate(names)], "_place long, _file string")
+    named = table.withColumns({"_file": F.regexp_replace("_metadata.file_path", "^([^:/]*):/+", "$1:/"), "_at": at.bitwiseAND((1 << 33) - 1)})
+    return package_rows(named.join(places, "_file").withColumn("row_no", F.shiftleft("_place", 36) + F.col("_at")))
 
 
 def package_rows(table: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from ..sources.exports import clean_bytes, parse_lines
 
 
 def stream_entries(spark: SparkSession, directory: str, files_at_once: int = 100) -> DataFrame:
-    """line_no (null: a stream has no order of lines), global_name, subscripts, value, raw_line of every entry of the files in a directory."""
+    """line_no (null: streaming.records orders lines), global_name, subscripts, value, raw_line of every entry of the files in a directory."""
     text = spark.readStream.option("maxFilesPerTrigger", files_at_once).text(directory)
     return parse_lines(text.select(F.lit(None).cast("bigint").alias("line_no"), clean_bytes(F.col("value")).alias("raw")))
 

@@ -77,13 +77,11 @@ def test_graph_of_an_export(spark, entries):
         build.enrich(Graph(spark, {n: g.nodes(n).limit(0) for n in ("File", "Field")}), None, None)
 
 
-def test_ranges_are_inclusive_and_first_wins(spark, monkeypatch):
+def test_ranges_are_inclusive_and_first_wins(spark):
     packages = spark.createDataFrame([(1, "X", [], "430", "430.9"), (2, "Y", [], "400", "500"), (3, "Z", ["430"], "bad", "9")], "file_no long, name string, file_numbers array<string>, files_low string, files_high string")
     files = spark.createDataFrame([(n,) for n in ("430", "430.5", "430.9", "431", "1000", "-1", "ABC")], "number string")
     want = {"430": "Z", "430.5": "X", "430.9": "X", "431": "Y", "1000": None, "-1": None, "ABC": None}
     assert {r.number: r.package for r in E.package_of(files, packages).collect()} == want
-    monkeypatch.setattr(E, "BROADCAST_RANGES", 0)
-    assert {r.number: r.package for r in E.package_of(files, packages).collect()} == want
 
 
 def test_paths_take_no_edge_twice(spark):

@@ -33,4 +33,42 @@ def test_samples_and_shares(spark):
     how = spark.createDataFrame([("exact",), ("label",), (None,)], "how string")
     assert [r[0] for r in how.select(M.confidence(F.col("how"))).collect()] == [1.0, 0.7, 0.5]
     lines = M.lines_of(spark.createDataFrame([("r", "aab")], "routine string, text string"))
-    assert {(r.character, r.n) for r in M.character_counts(lines).collect()} == {("a", 2), ("b", 1)}
+    assert M.character_counts(lines).first().characters == {"a": 2, "b": 1}
+    odd = M.lines_of(spark.createDataFrame([("r", "é😀é\\.[("), ("s", "")], "routine string, text string"))
+    assert {r.routine: r.characters for r in M.character_counts(odd).collect()} == {"r": {"é": 2, "😀": 1, "\\": 1, ".": 1, "[": 1, "(": 1}, "s": {}}
+    plan = M.character_counts(lines)._jdf.queryExecution().toString()
+    assert "Generate explode(split(line" not in plan and "Aggregate" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_calls_by_how_they_resolve(spark):
+    labels = spark.createDataFrame([("A", "EN", 3), ("A", "X", 9), ("B", "EN", 2), ("B", "B0", 1), ("C", "ONE", 5), ("D", "EN", 1), ("D", "EN", 7)], "routine string, label string, line_no int")
+    said = [("EN", "A"), ("ONE", "Q"), ("ONE", "B"), ("EN", "C"), ("EN", "Q"), ("NO", "B"), ("NO", "Q"), ("EN", "D")]
+    calls = spark.createDataFrame([("A", "X", 9, *s) for s in said], "routine string, label string, label_line int, to_label string, to_routine string")
+    got = sorted((r.to_label, r.to_routine, r.found_routine, r.found_label, r.found_line, r.how) for r in M.resolved(calls, labels).collect())
+    assert got == sorted(
+        [
+            ("EN", "A", "A", "EN", 3, "exact"),
+            ("ONE", "Q", "C", "ONE", 5, "label"),
+            ("ONE", "B", "C", "ONE", 5, "label"),
+            ("EN", "C", "C", "ONE", 5, "guess"),
+            ("EN", "Q", "A", "EN", 3, "guess"),
+            ("NO", "B", "B", "B0", 1, "guess"),
+            ("EN", "D", "D", "EN", 1, "exact"),
+            ("EN", "D", "D", "EN", 7, "exact"),
+        ]
+    )
+    assert {(r.depends_on, r.confidence, r.call_count) for r in M.dependencies(calls, labels).collect()} == {("C", 0.7, 2), ("C", 0.5, 1), ("B", 0.5, 1), ("D", 1.0, 2)}
+
+
+def test_sample_over_strata(spark):
+    rows = [(i, [5, 200, 900][i % 3], "hot" if i % 2 else f"p{i % 40}", i % 25) for i in range(3000)] + [(9000 + i, 1, None, 0) for i in range(3)]
+    units = spark.createDataFrame(rows, "unit long, size long, package string, labels long")
+    got = {r.unit: r.strata.split(",") for r in M.strategic_sample(units).collect()}
+    taken = [s for strata in got.values() for s in strata]
+    assert {n: taken.count(f"size:{n}") for n in ("small", "middle", "large")} == {"small": 40, "middle": 100, "large": 60}
+    assert taken.count("package:hot") == 5 and taken.count("package:") == 3 and taken.count("random:all") == 50
+    assert all(taken.count(f"complexity:{n}") == 20 for n in ("simple", "middle", "complex"))
+    assert got == {r.unit: r.strata.split(",") for r in M.strategic_sample(units.repartition(7)).collect()}
+    assert got.keys() != {r.unit for r in M.strategic_sample(units, seed=2).collect()}
+    plan = M.strategic_sample(units)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan  # no stratum meets whole
