@@ -59,7 +59,8 @@ def indexed_by(fields: DataFrame, xrefs: DataFrame) -> DataFrame:
     """A field that is defined twice gets an edge from each definition."""
     x = xrefs.select(F.col("xref_id").alias("dst"), "file_number", F.col("field_number").alias("number"), F.col("name").alias("x_name"), "xref_type", "set_logic", "kill_logic")
     held = fields.select(F.col("field_id").alias("src"), "file_number", "number").join(x, ["file_number", "number"])
-    return edges("INDEXED_BY", held.dropDuplicates(["src", "dst"]), xref_name="x_name", xref_type="xref_type", set_condition="set_logic", kill_condition="kill_logic")
+    # a field's id tells its file and number, so repeats are dropped where the join has left them: no second exchange
+    return edges("INDEXED_BY", held.dropDuplicates(["file_number", "number", "src", "dst"]), xref_name="x_name", xref_type="xref_type", set_condition="set_logic", kill_condition="kill_logic")
 
 
 def variable_pointer(files: DataFrame, fields: DataFrame, targets: DataFrame) -> DataFrame:

@@ -63,7 +63,7 @@ def segments(rounds: Rounds, spans: DataFrame) -> DataFrame:
 def first_range(numbers: DataFrame, spans: DataFrame) -> DataFrame:
     """numbers (key, n) with name: that of the range with the least place that holds n, null where none does. Keys whose n is null or isn't a number are left out."""
     with Rounds(numbers.sparkSession) as rounds:
-        cuts = segments(rounds, spans).select(F.lit(None).cast(numbers.schema["key"].dataType).alias("key"), "v", "after", F.struct("name").alias("mark"))
+        cuts = rounds.put(segments(rounds, spans)).select(F.lit(None).cast(numbers.schema["key"].dataType).alias("key"), "v", "after", F.struct("name").alias("mark"))
         asked = numbers.where("n IS NOT NULL AND NOT isnan(n)").select("key", (F.col("n") + F.lit(0.0)).alias("v"), F.lit(1).alias("after"), F.lit(None).cast(cuts.schema["mark"].dataType).alias("mark"))
         both = cuts.withColumn("ask", F.lit(False)).unionByName(asked.withColumn("ask", F.lit(True)))
         met = last_mark(rounds, both, "mark", "v", "after", "key").where("ask").select("key", F.col("mark.name").alias("name"))

@@ -1,4 +1,4 @@
-"""Writes by key: append, insert or replace, and removal of duplicates. A write is one directory, so it happens whole or not at all."""
+"""Writes by key: append, insert or replace, and removal of duplicates."""
 
 from __future__ import annotations
 
@@ -18,24 +18,25 @@ def first_by_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*[c if c in key else F.col(f"r.{c}") for c in df.columns])
 
 
-def upsert(old: DataFrame, new: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
-    """old with the rows of new in place of those with their key; of new rows with one key the last counts."""
-    rows = last_by_key(new, key, order) if order else new.dropDuplicates(key)
+def upsert(old: DataFrame, new: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """old with the rows of new in place of those with their key; of new rows with one key the last in this order counts. A table that stays is better off as
+    operators.keyed: this makes all of it anew."""
+    rows = last_by_key(new, key, order)
     return old.join(rows, key, "left_anti").unionByName(rows.select(*old.columns))
 
 
-def upsert_columns(old: DataFrame, new: DataFrame, key: list[str], update: list[str]) -> DataFrame:
+def upsert_columns(old: DataFrame, new: DataFrame, key: list[str], update: list[str], order: list[str]) -> DataFrame:
     """As upsert, but of a row that is there already only `update` changes."""
     was = old.withColumn("_old", F.lit(True))
-    n = new.dropDuplicates(key)
+    n = last_by_key(new, key, order)
     both = was.alias("o").join(n.alias("n"), key, "full_outer")
     pick = lambda c: c if c in key else (F.when(F.col("o._old") & (F.lit(c not in update) | F.col(f"n.{c}").isNull()), F.col(f"o.{c}")).otherwise(F.col(f"n.{c}"))).alias(c)
     return both.select(*[pick(c) for c in old.columns])
 
 
-def merge_edges(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """One edge for each pair of ends."""
-    return last_by_key(df, ["src", "dst"], order) if order else df.dropDuplicates(["src", "dst"])
+def merge_edges(df: DataFrame, order: list[str]) -> DataFrame:
+    """One edge for each pair of ends, the last in this order."""
+    return last_by_key(df, ["src", "dst"], order)
 
 
 def drop_repeats(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +21,11 @@ PHASE_2 = ("INDEXED_BY", "SUBFILE_OF", "VARIABLE_POINTER")
 
 def structure(spark: SparkSession, packages: DataFrame, files: DataFrame, fields: DataFrame) -> Graph:
     """Phase 1: packages, files and fields, with containment and pointers."""
-    return Graph(
-        spark,
-        {"Package": packages, "File": files, "Field": fields},
-        {"CONTAINS_FILE": E.contains_file(files, packages), "CONTAINS_FIELD": E.contains_field(files, fields), "POINTS_TO": E.points_to(files, fields)},
-    )
+    return Graph(spark, {"Package": packages, "File": files, "Field": fields}, _phase_1(packages, files, fields))
+
+
+def _phase_1(packages: DataFrame, files: DataFrame, fields: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    return {"CONTAINS_FILE": lambda: E.contains_file(files, packages), "CONTAINS_FIELD": lambda: E.contains_field(files, fields), "POINTS_TO": lambda: E.points_to(files, fields)}
 
 
 def enrich(graph: Graph, xrefs: DataFrame, targets: DataFrame) -> Graph:
@@ -78,10 +78,11 @@ def store(path: str, packages: DataFrame, files: DataFrame, fields: DataFrame, x
     with Saving(spark, path, buckets) as saving:
         saving.write(Graph(spark, frames))
         held = saving.written()
-        graph = structure(spark, *(held.nodes(n) for n in ("Package", "File", "Field")))
+        made = _phase_1(*(held.nodes(n) for n in ("Package", "File", "Field")))
         if xrefs is not None:
-            graph = enrich(graph, held.nodes("CrossReference"), targets)
-        saving.write(Graph(spark, {}, graph.edge_frames))
+            later = enrich(held, held.nodes("CrossReference"), targets)
+            made |= {n: later.edges(n) for n in PHASE_2}
+        saving.write(Graph(spark, {}, made))
     return saving.rows
 
 

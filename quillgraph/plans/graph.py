@@ -15,7 +15,7 @@ from ..schemas import EDGE_TYPES, LABELS, edge_type, label
 from ..sources import commits
 
 #: Frames of a graph that are written at the same time.
-WRITES_AT_ONCE = 4
+WRITES_AT_ONCE = 6
 
 
 def _name(name: str) -> str:
@@ -27,14 +27,30 @@ def _key(name: str):
     return F.col(_name(name))
 
 
+class Frames(dict):
+    """Frames by name; one that is given as a function is made when it is asked for first."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = dict.__getitem__(self, name)
+        if callable(df):
+            df = self[name] = df()
+        return df
+
+    def items(self) -> list[tuple[str, DataFrame]]:
+        return [(n, self[n]) for n in self]
+
+
 @dataclass
 class Graph:
-    """nodes by label; edges by type, each with src and dst."""
+    """nodes by label; edges by type, each with src and dst. Frames may be functions that make them."""
 
     spark: SparkSession
     node_frames: dict[str, DataFrame] = field(default_factory=dict)
     edge_frames: dict[str, DataFrame] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.node_frames, self.edge_frames = Frames(self.node_frames), Frames(self.edge_frames)
+
     def nodes(self, name: str) -> DataFrame:
         label(name)
         return self.node_frames[name]
@@ -169,10 +185,11 @@ class Saving:
         return self
 
     def write(self, graph: Graph) -> None:
-        frames = [("nodes", n, df, _name(n)) for n, df in graph.node_frames.items()] + [("edges", n, df, LIES_BY.get(n, "src")) for n, df in graph.edge_frames.items()]
+        frames = [("nodes", n, df, _name(n)) for n, df in graph.node_frames.items()] + [("edges", n, df, LIES_BY.get(n, "src")) for n, df in dict.items(graph.edge_frames)]
 
         def put(frame: tuple) -> tuple[str, dict]:
             kind, n, df, key = frame
+            df = df() if callable(df) else df  # what has rounds of its own runs beside the other writes
             at = f"{self.version}/{kind}/{n}"
             name = f"quillgraph_{hashlib.md5(f'{self.path}/{at}'.encode()).hexdigest()}"
             # a task writes a bucket; keys that are many times there are of one node, and nodes' keys are single

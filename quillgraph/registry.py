@@ -213,6 +213,23 @@ _from_stream("cross_references", lambda r: r.drop("execution"))
 _from_stream("fields", lambda r: r.drop("line_no", "field_id").distinct())
 
 
+_TOLD = {"Package": "packages", "File": "files", "Field": "fields", "CrossReference": "x", "CONTAINS_FILE": "contains_file", "CONTAINS_FIELD": "contains_field", "POINTS_TO": "points_to", "SUBFILE_OF": "subfile_of", "INDEXED_BY": "x JOIN fields d ON x.file_number = d.file_number AND x.field_number = d.number", "VARIABLE_POINTER": "v JOIN fields d ON v.file_number = d.file_number AND v.field_number = d.number JOIN files f ON f.number = v.target"}
+
+
+@query(
+    f"""WITH x AS (SELECT * FROM ({SQL["cross_references_from_lines"]})), v AS (SELECT {FILE_NUMBER} AS file_number, CAST(l_orderkey AS STRING) AS field_number, CAST(l_partkey AS STRING) AS target FROM {_LAST_LINES} l JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '4-NOT SPECIFIED')
+    """
+    + " UNION ALL ".join(f"SELECT '{'edge' if n in EDGE_TYPES else 'node'}:{n}' AS name, count(*) AS rows FROM {t}" for n, t in _TOLD.items())
+)
+def graph_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    """A load in one go: export and package table as text files, parsed, derived and saved as a graph; rows written."""
+    folder = f"{shared_dir(spark)}/quillgraph-load-{uuid.uuid4().hex}"
+    with B.reading(spark, export_files(spark, sf)) as entries:
+        told = B.store(folder, *B.records(spark, entries, package_file(spark, sf), export_files(spark, sf)))
+    rows = [(("edge:" if k in EDGE_TYPES else "node:") + k, n) for k, n in told.items()]
+    return spark.createDataFrame(rows, "name string, rows bigint")
+
+
 # -- packages (S5, P21-P23, W3, J3, J16, A20, A24) ---------------------------------------------------------------------
 
 
@@ -309,7 +326,7 @@ def cross_reference_last_wins(spark: SparkSession, sf: str) -> DataFrame:
 def upsert_nodes(spark: SparkSession, sf: str) -> DataFrame:
     c = spark.read.parquet(f"{sf}/customer.parquet")
     new = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id"), F.lit("new").alias("name")).unionByName(c.where("c_custkey % 7 = 0").select((-1 - F.col("c_custkey")).alias("id"), F.lit("new").alias("name")))
-    return U.upsert(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), new, ["id"])
+    return U.upsert(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), new, ["id"], ["name"])
 
 
 @query("SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'seen' ELSE 'old' END AS state FROM customer UNION ALL SELECT -1 - c_custkey, 'made', 'seen' FROM customer WHERE c_custkey % 7 = 0")
@@ -317,7 +334,7 @@ def upsert_some_columns(spark: SparkSession, sf: str) -> DataFrame:
     c = spark.read.parquet(f"{sf}/customer.parquet")
     made = lambda w, i: c.where(w).select(i.alias("id"), F.lit("made").alias("name"), F.lit("seen").alias("state"))
     new = made("c_custkey % 3 = 0", F.col("c_custkey")).unionByName(made("c_custkey % 7 = 0", -1 - F.col("c_custkey")))
-    return U.upsert_columns(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("old").alias("state")), new, ["id"], ["state"])
+    return U.upsert_columns(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("old").alias("state")), new, ["id"], ["state"], ["name"])
 
 
 #: New rows fall into 2 of 16 parts.
@@ -359,7 +376,7 @@ def parallel_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT DISTINCT src, dst FROM variable_pointer")
 def merged_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return U.merge_edges(sample_graph(spark, sf).edges("VARIABLE_POINTER")).select("src", "dst")
+    return U.merge_edges(sample_graph(spark, sf).edges("VARIABLE_POINTER"), ["v_number"]).select("src", "dst")
 
 
 @query("SELECT count(*) AS first, CAST(count(*) + count(*) FILTER (s_suppkey % 2 = 0) AS BIGINT) AS both, true AS cleared FROM supplier")
