@@ -13,7 +13,8 @@ differ in the byte before them, is a maximal repeat, with all its occurrences. A
 has found once or more is also counted over the buckets of that anchor, by the 128-bit key of each string, so nothing is lost.
 
 Nulls, empties: a null text is empty; nothing is removed from texts of fewer than `length` bytes. Every row is a text of its own, so a
-repeated row is a repeat; a null doc_id stays null. Extra columns are not read. A text is told by a 64-bit key of doc_id
+repeated row is a repeat; a null doc_id stays null. Rows that are equal in doc_id and text take part as one, however many they are: such a text is removed
+whole if it has `length` bytes, and its row comes back as often as it stood. Extra columns are not read. A text is told by a 64-bit key of doc_id
 and text; of 10^10 texts about three pairs would share one, so keys that different rows share are looked for first, and their rows get others.
 """
 
@@ -32,6 +33,9 @@ from .common import as_long, durable, free, in_runs, mix, passing, pieces, prefi
 LENGTH, K, BUCKET = 200, 96, 256
 #: Rows that are worked on together: some texts are long, and several arrays stand beside each.
 ROWS = 400
+#: Equal rows that come back at a time.
+COPIES = 10_000
+NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -338,14 +342,16 @@ def _windows(split: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _cut(held: DataFrame) -> DataFrame:
-    """held: doc_id, body, n_bytes, sha, spans. Removes the spans of each document."""
+    """held: doc_id, body, n_bytes, sha, spans, copies. Removes the spans of each document."""
 
     def run(parts):
         unpack = zstandard.ZstdDecompressor()
         for b in slices(parts, ROWS):
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
             for z, n, sha, spans in zip(*(b.column(k) for k in range(1, 5)), strict=True):
-                if not z.is_valid:
+                if not z.is_valid and spans.is_valid:  # nothing in it was in doubt, but its row is many
+                    row = (n.as_py(), n.as_py(), 1, NOTHING, b"")
+                elif not z.is_valid:
                     row = (n.as_py(), 0, 0, sha.as_py(), None)
                 else:
                     text = unpack.decompress(z.as_buffer())
@@ -357,9 +363,9 @@ def _cut(held: DataFrame) -> DataFrame:
                 for x, y in zip(out.values(), row, strict=True):
                     x.append(y)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, k) for x, k in zip(out.values(), kinds, strict=True))], names=["doc_id", *out])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, k) for x, k in zip(out.values(), kinds, strict=True)), b.column(5)], names=["doc_id", *out, "copies"])
 
-    return held.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return held.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, copies long")
 
 
 def _key(seed: int) -> Column:
@@ -368,14 +374,32 @@ def _key(seed: int) -> Column:
 
 def keyed(docs: DataFrame, name: str) -> DataFrame:
     """docs with a column `name`: a key that only rows of one doc_id and text share."""
+    return counted(docs, name)[0]
+
+
+def counted(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """keyed(), and `name`, n of the keys that n rows share, n above 1."""
     (shared,) = free(docs.withColumn(name, F.lit(0)), "shared")
     told = docs.select(_key(1).alias(shared), _key(2).alias("other"))
-    clash = durable(told.groupBy(shared).agg(F.min("other").alias("least"), F.max("other").alias("most")).where("least <> most").select(shared))
+    several = durable(told.groupBy(shared).agg(F.min("other").alias("least"), F.max("other").alias("most"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    clash = several.where("least <> most").select(shared)
     out = docs.withColumn(name, _key(1))
     if clash.isEmpty():
-        return out
+        return out, several.select(F.col(shared).alias(name), "n")
     out = out.join(clash, F.col(name) == F.col(shared), "left")
-    return out.withColumn(name, F.when(F.col(shared).isNull(), F.col(name)).otherwise(_key(2))).drop(shared)
+    out = out.withColumn(name, F.when(F.col(shared).isNull(), F.col(name)).otherwise(_key(2))).drop(shared)
+    return out, durable(out.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+
+
+def once(rows: DataFrame, many: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows (doc, doc_id, text), those that are many as one; and doc, lo, hi of what is removed from them for that alone: all of a text that is long enough."""
+    if many.isEmpty():
+        return rows, rows.limit(0).select("doc", F.lit(0).alias("lo"), F.lit(0).alias("hi"))
+    keys = many.select("doc")
+    # each task hands on one copy
+    single = durable(rows.join(keys, "doc", "left_semi").groupBy("doc").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")))
+    size = F.octet_length(F.col("text").cast("binary"))
+    return rows.join(keys, "doc", "left_anti").unionByName(single), single.where(size >= LENGTH).select("doc", F.lit(0).alias("lo"), size.alias("hi"))
 
 
 def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -405,19 +429,26 @@ def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept: the bytes left (null: all of them)."""
-    contexts, spans = repeated_spans(keyed(docs.select("doc_id", "text"), "doc"))
-    by = spans.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    rows = contexts.where("anchor IS NULL").select("doc", "doc_id", "body", "n_bytes", "sha")
-    return _cut(rows.join(by, "doc", "left").select("doc_id", "body", "n_bytes", "sha", "spans"))
+    told, many = counted(docs.select("doc_id", "text"), "doc")
+    rows, whole = once(told, many)
+    contexts, spans = repeated_spans(rows)
+    by = spans.unionByName(whole).groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    rows = contexts.where("anchor IS NULL").select("doc", "doc_id", "body", "n_bytes", "sha").join(many.withColumnRenamed("n", "copies"), "doc", "left")
+    cut = _cut(rows.join(by, "doc", "left").select("doc_id", "body", "n_bytes", "sha", "spans", F.coalesce("copies", F.lit(1)).alias("copies")))
+    # rows that are many come back as many as they were
+    left = F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {COPIES}")))
+    each = cut.withColumn("lot", left).withColumn("one", F.explode(F.array_repeat(F.lit(0), F.least(F.lit(COPIES), F.col("copies") - COPIES * F.col("lot")).cast("int"))))
+    return each.drop("lot", "one", "copies")
 
 
 def rewrite(docs: DataFrame) -> DataFrame:
     """The documents, all columns, without their repeated bytes; what a cut leaves of a broken character goes too, and n_chars follows the text. Null
     and short texts stay as they are, every row stays, and columns may have any names."""
     key, cuts = free(docs, "key", "cuts")
-    told = keyed(docs, key)
-    _, spans = repeated_spans(told.select(F.col(key).alias("doc"), "doc_id", "text"))
-    by = spans.groupBy(F.col("doc").alias(key)).agg(F.collect_set(F.struct("lo", "hi")).alias(cuts))
+    told, many = counted(docs, key)
+    rows, whole = once(told.select(F.col(key).alias("doc"), "doc_id", "text"), many.select(F.col(key).alias("doc"), "n"))
+    _, spans = repeated_spans(rows)
+    by = spans.unionByName(whole).groupBy(F.col("doc").alias(key)).agg(F.collect_set(F.struct("lo", "hi")).alias(cuts))
     names = docs.columns
     where, count = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 

@@ -170,6 +170,29 @@ def test_repeats(spark, table, monkeypatch, bucket):
     assert sorted(tuple(r) for r in got.collect()) == brute_repeats(rows, repeats.LENGTH)
 
 
+def test_rows_that_repeat_are_one(spark):
+    r = random.Random(12)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    long, short, other = text(2000), text(150), text(900)
+    def table(copies):
+        return spark.createDataFrame([(1, long)] * copies + [(None, other)] * copies + [(2, short)] * copies + [(3, text(50) + long[100:400]), (4, "x" + other), (None, None), (None, None)], "doc_id long, text string").repartition(3)
+    def contexts(df):
+        told, many = repeats.counted(df, "doc")
+        return repeats.repeated_spans(repeats.once(told, many)[0])[0].where("anchor IS NOT NULL").count()
+    r.seed(1)
+    few = table(2)
+    r.seed(1)
+    lots = table(1000)
+    assert contexts(few) == contexts(lots)
+    got = repeats.remove_repeats(lots).toPandas()
+    assert len(got) == 3004
+    tell = lambda d: {(int(x.n_bytes), int(x.n_removed), int(x.n_spans)) for x in got[d].itertuples()}
+    assert tell(got.doc_id == 1) == {(2000, 2000, 1)} and tell(got.doc_id == 2) == {(150, 0, 0)} and (got.doc_id == 1).sum() == 1000
+    assert tell(got.doc_id == 3) == {(350, 300, 1)} and tell(got.doc_id == 4) == {(901, 900, 1)} and tell(got.doc_id.isna()) == {(900, 900, 1), (0, 0, 0)}
+    left = repeats.rewrite(lots).groupBy("doc_id", "text").count().collect()
+    assert {(x.doc_id, x.text if x.text is None else len(x.text)): x["count"] for x in left} == {(1, 0): 1000, (None, 0): 1000, (2, 150): 1000, (3, 50): 1, (4, 1): 1, (None, None): 2}
+
+
 def test_texts_whose_keys_clash(spark, table, monkeypatch):
     """Keys of 4 bits clash at once; the rows that share one get another, so each text keeps its own spans and every row its columns."""
     key = repeats._key
