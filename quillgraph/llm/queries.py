@@ -156,7 +156,7 @@ ORACLE["op12_prefix_trie"] = f"""
         FROM o JOIN b ON b.path = o.path AND b.depth = o.depth LEFT JOIN kids ON kids.least = o.least AND kids.depth = o.depth"""
 
 #: Least number of each node's component over links (a, b) among nodes n (id).
-_SQL_COMPONENTS = "both AS (SELECT a, b FROM links UNION SELECT b, a FROM links), reach AS (SELECT id AS a, id AS b FROM n UNION SELECT r.a, l.b FROM reach r JOIN both l ON l.a = r.b), c AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)"
+_SQL_COMPONENTS = "ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links), reach AS (SELECT id AS a, id AS b FROM n UNION SELECT r.a, l.b FROM reach r JOIN ways l ON l.a = r.b), c AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)"
 ORACLE["op3_minhash_neardup"] = rf"""
         WITH RECURSIVE w AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
         s AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
@@ -165,8 +165,8 @@ ORACLE["op3_minhash_neardup"] = rf"""
         links AS (SELECT a, b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * both_have >= 75 * (x.n + y.n - both_have)), {_SQL_COMPONENTS}
         SELECT id AS doc_id, n AS n_shingles, component AS component_id, id = component AS kept FROM n JOIN c USING (id)"""
 ORACLE["op6_embedding_neardup"] = f"""
-        WITH RECURSIVE v AS (SELECT vec_id AS id, CAST(vec AS DOUBLE[]) AS v FROM embeddings),
+        WITH RECURSIVE v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
         u AS (SELECT id, v, sqrt(list_dot_product(v, v)) AS m FROM v WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0),
         links AS (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.id < b.id WHERE list_dot_product(a.v, b.v) / (a.m * b.m) >= 0.9), n AS (SELECT id FROM v), {_SQL_COMPONENTS},
-        d AS (SELECT a AS id, count(*) AS n_links FROM both GROUP BY a)
+        d AS (SELECT a AS id, count(*) AS n_links FROM ways GROUP BY a)
         SELECT id AS vec_id, coalesce(n_links, 0) AS n_links, component AS component_id, id = component AS kept FROM n JOIN c USING (id) LEFT JOIN d USING (id)"""
