@@ -6,6 +6,10 @@ of at least t share, among the k least hashes of their union, a binomially distr
 falls once in several billion pairs. So a sketch with fewer values that anyone else has is alone, and only its rarest values, all but
 `_least(n) - 1`, need a list (any pair with enough overlap meets in one of them). Lists whose documents hang together are a cluster.
 
+A passage that very many documents share hangs together what has no links. So clusters of more than BLOCK are looked at by sketches alone
+first, longer ones of LONG values and in blocks of WIDE: only pairs whose union-sketch estimate leaves a link possible join them anew, and full sets are
+sent for what is joined then.
+
 Within a cluster, documents stand in bands of set size, so that only a band and the next can hold links, and in blocks of at most
 about BLOCK; a task gets two blocks. There the inverted lists of the retained values give the overlaps of pairs, union sketches of the pairs that share enough
 give estimates that rule most out, and what is left is verified on the full sets: exact Jaccard. It tells
@@ -26,7 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import as_long, components, durable, free, in_runs, mix, passing, pieces, runs, slices, word_hashes
 
-SHINGLE, K, BLOCK = 5, 32, 64
+SHINGLE, K, BLOCK, LONG, WIDE = 5, 32, 64, 128, 512
+#: By length, values among the least of a union that a link shares but once in more than 10^9 pairs.
+LEAST = {K: 8, LONG: 64}
 _TURN = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _CHUNK = 1 << 14
 #: Candidate pairs for each set of a task that are verified one by one.
@@ -50,8 +56,8 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = SHINGLE) -> Itera
             yield np.zeros(0, np.uint64)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n, f1 and f2 (a 128-bit fingerprint of the set), sketch (its K least hashes, in order)."""
+def sketches(docs: DataFrame, k: int = K) -> DataFrame:
+    """doc_id, n, f1 and f2 (a 128-bit fingerprint of the set), sketch (its k least hashes, in order)."""
 
     def run(parts):
         for b in slices(parts):
@@ -62,7 +68,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     n.append(len(s))
                     f1.append(mix(s).sum(dtype=np.uint64))
                     f2.append(mix(s ^ _TURN[9]).sum(dtype=np.uint64))
-                    kept.append(s[:K])
+                    kept.append(s[:k])
                 lens = np.array([0, *map(len, kept)]).cumsum()
                 lists = pa.ListArray.from_arrays(pa.array(lens, pa.int32()), as_long(np.concatenate(kept) if kept else np.zeros(0, np.uint64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n, pa.int64()), as_long(np.array(f1, np.uint64)), as_long(np.array(f2, np.uint64)), lists], names=["doc_id", "n", "f1", "f2", "sketch"])
@@ -90,10 +96,39 @@ def _clusters(reps: DataFrame) -> DataFrame:
     return rare.select("rep", "n").distinct().join(found, F.col("rep") == F.col("node")).select("rep", "n", F.col("component").alias("cluster"))
 
 
-def _tasks(clusters: DataFrame) -> DataFrame:
+def _rejoined(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """clusters, the large ones parted into what pairs join whose union-sketch estimate leaves a link possible; who has no such pair is left out."""
+    sizes = durable(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK).select("cluster"))
+    if sizes.isEmpty():
+        return clusters
+    large = durable(clusters.join(sizes, "cluster").select("rep", "n", "cluster"))
+    tasks = _tasks(large, WIDE)
+    texts = docs.join(large.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    longer = sketches(texts, LONG).select(F.col("doc_id").alias("rep"), "n", "sketch").dropDuplicates(["rep"])
+    held = longer.join(tasks, "rep").select(F.explode("keys").alias("key"), "rep", "n", "sketch")
+
+    def compare(parts):
+        for t in runs(parts, "key"):
+            ids, size = t.column("rep").to_numpy(), t.column("n").to_numpy()
+            lists = t.column("sketch").combine_chunks()
+            sketch = np.full((len(ids), LONG), -1, np.int64)
+            width = lists.value_lengths().to_numpy(zero_copy_only=False)
+            sketch[np.arange(LONG)[None, :] < width[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+            i, j = _candidates(size, sketch)
+            link = np.eye(len(ids), dtype=bool)
+            link[i, j] = link[j, i] = True
+            if edges := _spanning(ids, link):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], names=["a", "b"])
+
+    found = components(in_runs(held, "key").mapInArrow(compare, "a long, b long"))
+    anew = large.join(found, F.col("rep") == F.col("node")).select("rep", "n", F.col("component").alias("cluster"))
+    return clusters.join(sizes, "cluster", "left_anti").select("rep", "n", "cluster").unionByName(anew)
+
+
+def _tasks(clusters: DataFrame, block: int = BLOCK) -> DataFrame:
     """rep and keys: the tasks, each of two blocks, in which it is compared."""
     banded = durable(clusters.withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(4 / 3)) - 1e-9).cast("int")))
-    blocks = banded.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = banded.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     sides = [blocks.select("cluster", (F.col("band") + d).alias("band"), F.col("blocks").alias(name)) for d, name in ((1, "below"), (-1, "above"))]
     known = blocks
     for s in sides:
@@ -126,29 +161,48 @@ def inverted(flat: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
 
 
 def union_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Shared values among the K least of each pair's union, for rows of sorted sketches padded with -1: the union-sketch estimate."""
+    """Shared values among the least of each pair's union, as many as a sketch has, for rows of sorted sketches padded with -1: the union-sketch estimate."""
     big = np.iinfo(np.int64).max
     both = np.sort(np.concatenate([np.where(a < 0, big, a), np.where(b < 0, big, b)], 1), 1)
     same = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != big)
     rank = np.arange(same.shape[1])[None, :] - (np.cumsum(same, 1) - same)
-    return (same & (rank < K)).sum(1)
+    return (same & (rank < a.shape[1])).sum(1)
 
 
 def candidates(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of sets, by number, whose union-sketch estimate does not rule a link out: of those that the inverted lists of their sketches bring together."""
-    m = len(sets)
-    size = np.array([*map(len, sets)])
-    sketch = np.full((m, K), -1, np.int64)
+    sketch = np.full((len(sets), K), -1, np.int64)
     for i, s in enumerate(sets):
         sketch[i, : min(K, len(s))] = s[:K].view(np.int64)
+    return _candidates(np.array([*map(len, sets)]), sketch)
+
+
+def _candidates(size: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    k = sketch.shape[1]
     at = np.flatnonzero(sketch.ravel() >= 0)
-    need = np.where(size < 25, np.ceil(0.75 * size), 8)
+    # the union of a link with a set this small is all in the sketches
+    need = np.where(size < 0.75 * k + 1, np.ceil(0.75 * size), LEAST[k])
     need = np.minimum(need[:, None], need[None, :])
-    i, j = np.nonzero(np.triu(inverted(sketch.ravel()[at], at // K, m) >= need, 1))
-    near = union_shared(sketch[i], sketch[j]) >= need[i, j] if len(i) else np.zeros(0, bool)
+    i, j = np.nonzero(np.triu(inverted(sketch.ravel()[at], at // k, len(size)) >= need, 1))
+    near = np.zeros(len(i), bool)
+    for c in range(0, len(i), _CHUNK):
+        x, y = i[c : c + _CHUNK], j[c : c + _CHUNK]
+        near[c : c + _CHUNK] = union_shared(sketch[x], sketch[y]) >= need[x, y]
     return i[near], j[near]
 
 
+def _spanning(ids: np.ndarray, link: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that span the components of a table of links."""
+    root = np.arange(len(ids))
+    while True:
+        least = np.where(link, root[None, :], len(ids)).min(1)
+        least = least[least]
+        if (least == root).all():
+            break
+        root = least
+    return [(int(ids[k]), int(ids[r])) for k, r in enumerate(root) if k != r]
+
+
 def forest(ids: np.ndarray, sets: list[np.ndarray], pairs: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
     """Edges that span the components of the links (Jaccard 0.75 or more) among these pairs of sets."""
     m, (i, j) = len(ids), pairs
@@ -162,14 +216,7 @@ def forest(ids: np.ndarray, sets: list[np.ndarray], pairs: tuple[np.ndarray, np.
     ok = 100 * common >= 75 * (size[i] + size[j] - common)
     link = np.eye(m, dtype=bool)
     link[i[ok], j[ok]] = link[j[ok], i[ok]] = True
-    root = np.arange(m)
-    while True:
-        least = np.where(link, root[None, :], m).min(1)
-        least = least[least]
-        if (least == root).all():
-            break
-        root = least
-    return [(int(ids[k]), int(ids[r])) for k, r in enumerate(root) if k != r]
+    return _spanning(ids, link)
 
 
 def links(docs: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -211,7 +258,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = durable(sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")))
     reps = sets.join(same.withColumnRenamed("rep", "doc_id"), ["n", "f1", "f2", "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), "n", "sketch")
     with passing() as keep:
-        tasks = keep(durable(_tasks(_clusters(reps))))
+        tasks = keep(durable(_tasks(_rejoined(docs, _clusters(reps)))))
     found = components(links(docs, tasks))
     of = same.join(found, F.col("rep") == F.col("node"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component"))
     out = seen.join(of, ["n", "f1", "f2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -170,6 +170,73 @@ def test_repeats(spark, table, monkeypatch, bucket):
     assert sorted(tuple(r) for r in got.collect()) == brute_repeats(rows, repeats.LENGTH)
 
 
+def test_formulas_stay(spark):
+    page = "<html><body><article><h1>Energy</h1><p>" + "Long enough a text to be an article. " * 8 + "</p><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> here.</p></article></body></html>"
+    got = extract.extract(spark.createDataFrame([(1, "http://a.org/", page)], "page_id long, url string, html string")).first()
+    assert got.text.split("\n")[-1] == "Energy is E=m here."
+
+
+def test_ordinal_fit_is_the_least():
+    """Against the penalised likelihood as it is told, by itself: no step in any direction makes it less."""
+    rng = np.random.default_rng(5)
+    hits = rng.random((120, 6)) < 0.4
+    grade = np.clip((hits @ np.array([2.0, 1, 0, -1, 0.5, 0]) + rng.normal(size=120)).astype(int), 0, toxicity.GRADES - 1)
+    row, at = np.nonzero(hits)
+    w, theta = toxicity._solve(row, at, grade, 6, steps=3000)
+
+    def loss(w, theta):
+        x = hits @ w
+        over = np.column_stack([np.ones(120), *(1 / (1 + np.exp(t - x)) for t in theta), np.zeros(120)])
+        return -np.log(over[np.arange(120), grade] - over[np.arange(120), grade + 1]).sum() + 0.02 / 2 * (w**2).sum()
+
+    assert (np.diff(theta) > 0).all()
+    least = loss(w, theta)
+    for _ in range(300):
+        step = rng.normal(size=9)
+        step *= rng.choice([1e-3, 1e-2, 1e-1]) / np.linalg.norm(step)
+        assert loss(w + step[:6], theta + step[6:]) > least - 1e-4
+    flat = loss(np.zeros(6), np.array([0.1, 0.2, 0.3]))
+    assert least < flat - 20
+
+
+def test_toxicity_scores_are_those_of_its_features(spark):
+    """Whole texts scored word by word, with a set of features."""
+    r = random.Random(3)
+    vocabulary = ["".join(r.choice("abcdé") for _ in range(r.randint(2, 9))) for _ in range(40)]
+    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(0, 60))).replace("a", "A", i % 5), i) for i in range(50)] + [(90, None, 1), (91, "", 1), (92, "x" * 20_000, 1)]
+
+    def marks(word):
+        return set(toxicity._marks(np.frombuffer(word, np.uint8), np.array([0, len(word)]))[1].tolist())
+
+    features = np.array(sorted({h for w in vocabulary[:12] for h in marks(w.encode())}), np.uint64)
+    model = toxicity.Ordinal(features, np.linspace(-1, 1, len(features)), np.array([0.5, 1.0, 2.5]))
+    weight = dict(zip(features.tolist(), model.weights, strict=True))
+    for x in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string, grade long"), model).collect():
+        seen = {h for w in words(dict((i, t) for i, t, _ in rows)[x.doc_id]) for h in marks(w.encode())}
+        over = [1 / (1 + math.exp(t - sum(weight.get(h, 0) for h in seen))) for t in model.thresholds]
+        assert abs(x.severity - sum(over)) < 1e-9 and abs(x.p_toxic - over[0]) < 1e-9 and x.rejected == (over[0] >= 0.5)
+
+
+def test_a_shared_passage_sends_no_sets(spark, monkeypatch):
+    """Documents that share a passage and are else their own hang together by it, but aren't compared by their sets; links among them are still found."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(8))
+    notice = " ".join(word() for _ in range(90))
+    own = [" ".join(word() for _ in range(110)) for _ in range(400)]
+    rows = [(i, f"{t} {notice}") for i, t in enumerate(own)] + [(1000 + i, f"{own[i]} end {notice}") for i in range(0, 400, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen = neardup.sketches(df)
+    reps = seen.select(F.col("doc_id").alias("rep"), "n", "sketch")
+    clusters = durable(neardup._clusters(reps))
+    assert clusters.groupBy("cluster").count().agg(F.max("count")).first()[0] > 64
+    for wide in (512, 50):
+        monkeypatch.setattr(neardup, "WIDE", wide)
+        left = neardup._rejoined(df, clusters)
+        assert left.count() < 60 and left.groupBy("cluster").count().agg(F.max("count")).first()[0] < 10
+        got = {x.doc_id: x.component_id for x in neardup.near_duplicates(df).collect()}
+        assert got == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+
+
 def test_rows_that_repeat_are_one(spark):
     r = random.Random(12)
     text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
