@@ -36,13 +36,13 @@ PAGES = 200
 
 _words = lambda s: frozenset(s.split())
 #: Elements by what they do; fixed values of HTML.
-INLINE = _words("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter picture q ruby rp rt s samp small source span strike strong sub sup time tt u var wbr")
+INLINE = _words("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter picture q ruby rp rt s samp small source span strike strong sub sup time tt u var wbr math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics")
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
 CONTAINERS = _words("div section article main aside nav header footer form menu ul ol table dl details dialog figure fieldset center td body head")
 NEVER = _words("nav aside footer form menu dialog fieldset")
 #: What holds no text of a page. RAW is text up to its end tag; the others hold elements.
 RAW = _words("script style title textarea iframe noscript xmp noembed noframes")
-HIDDEN = _words("select button object canvas svg math template")
+HIDDEN = _words("select button object canvas svg template annotation annotation-xml")
 #: Starts of these end an open select or button, and the head.
 ENDS_HIDDEN = _words("p h1 h2 h3 h4 h5 h6 article section main table ul ol blockquote figure header footer nav aside form pre dl hr")
 OF_HEAD = _words("head base link meta title style script noscript template")
