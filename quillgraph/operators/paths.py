@@ -41,7 +41,7 @@ def walk(starts: DataFrame, edges: DataFrame, most: int | None = None, backward:
 
 
 def cycles(edges: DataFrame, most: int) -> DataFrame:
-    """Nodes that a path of at most `most` hops leads back to, with the least hops."""
+    """Nodes that a path of at most `most` hops leads back to, with the least hops; components.strong_components tells circles of any length."""
     nodes = edges.select(F.col("src").alias("node")).distinct()
     back = walk(nodes, edges, most).where(F.col("start") == F.col("node"))
     return back.groupBy("node").agg(F.min("hops").alias("hops"))

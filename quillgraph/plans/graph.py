@@ -149,18 +149,34 @@ class Graph:
     @staticmethod
     def vacuum(spark: SparkSession, path: str) -> int:
         """Delete what no longer belongs to the graph at path; readers that began before lose it."""
-        told = commits.current(spark, path)
-        return commits.vacuum(spark, path, {f["at"].split("/")[0] for f in told["frames"].values()}) if told else 0
+        if not (told := commits.current(spark, path)):
+            return 0
+        used = {f["at"].split("/")[0] for f in told["frames"].values()}
+        for version in commits.names(spark, path):
+            if version not in used:
+                _forget(spark, path, version)
+        return commits.vacuum(spark, path, used)
 
 
 #: The columns by which edges lie, those that joins look them up by: fields and what hangs on them lie alike.
 LIES_BY = {"CONTAINS_FILE": "dst", "CONTAINS_FIELD": "dst", "CONTAINS_LABEL": "dst", "OWNS_ROUTINE": "dst"}
 
 
+def _table(path: str, at: str) -> str:
+    """The name under which the session's catalog knows a saved frame."""
+    return f"quillgraph_{hashlib.md5(f'{path}/{at}'.encode()).hexdigest()}"
+
+
+def _forget(spark: SparkSession, path: str, version: str) -> None:
+    """Take the frames of a version out of the catalog."""
+    for kind in ("nodes", "edges"):
+        for n in commits.names(spark, f"{path}/{version}/{kind}"):
+            spark.sql(f"DROP TABLE IF EXISTS {_table(path, f'{version}/{kind}/{n}')}")
+
+
 def _opened(spark: SparkSession, path: str, frame: dict) -> DataFrame:
     """A saved frame as a table in buckets of its key, so that a join on it needs no exchange and a look-up reads one bucket."""
-    at = f"{path}/{frame['at']}"
-    name = f"quillgraph_{hashlib.md5(at.encode()).hexdigest()}"
+    at, name = f"{path}/{frame['at']}", _table(path, frame["at"])
     if not spark.catalog.tableExists(name):
         quoted = at.replace("'", "\\'")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({frame['columns']}) USING parquet CLUSTERED BY ({frame['key']}) SORTED BY ({frame['key']}) INTO {frame['buckets']} BUCKETS LOCATION '{quoted}'")
@@ -191,7 +207,7 @@ class Saving:
             kind, n, df, key = frame
             df = df() if callable(df) else df  # what has rounds of its own runs beside the other writes
             at = f"{self.version}/{kind}/{n}"
-            name = f"quillgraph_{hashlib.md5(f'{self.path}/{at}'.encode()).hexdigest()}"
+            name = _table(self.path, at)
             # a task writes a bucket; keys that are many times there are of one node, and nodes' keys are single
             df.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key).option("path", f"{self.path}/{at}").format("parquet").saveAsTable(name)
             columns = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
@@ -210,6 +226,7 @@ class Saving:
         if not failed:
             commits.commit(self.spark, self.path, {"frames": self.frames}, self.before)
         else:
+            _forget(self.spark, self.path, self.version)
             clear(self.spark, f"{self.path}/{self.version}")
 
 

@@ -58,17 +58,22 @@ def commit(spark: SparkSession, path: str, told: dict, after: int) -> int:
     return after + 1
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder, without the commits; nothing if it isn't there."""
+    where, fs = _path(spark, path)
+    return sorted(n for s in fs.listStatus(where) if (n := s.getPath().getName()) != FOLDER) if fs.exists(where) else []
+
+
 def vacuum(spark: SparkSession, path: str, used: set[str]) -> int:
     """Delete the folders beside the commits that `used` doesn't name, and the commits before the last; how many folders went."""
-    where, fs = _path(spark, path)
     gone = 0
-    for s in fs.listStatus(where) if fs.exists(where) else []:
-        name = s.getPath().getName()
-        if name != FOLDER and name not in used:
-            gone += bool(fs.delete(s.getPath(), True))
+    for name in names(spark, path):
+        if name not in used:
+            where, fs = _path(spark, f"{path}/{name}")
+            gone += bool(fs.delete(where, True))
     last = _last(spark, path)
     for n in range(last - 1, 0, -1):
-        old, _ = _path(spark, f"{path}/{FOLDER}/{n:012d}.json")
+        old, fs = _path(spark, f"{path}/{FOLDER}/{n:012d}.json")
         if not fs.delete(old, False):
             break
     return gone

@@ -53,7 +53,10 @@ def test_of_two_saves_one_lands(spark, tmp_path):
             first.__exit__(None)
         first.before += 1
     assert saved_rows(spark, path) == {"File": 1}
+    tables = lambda: {t.name for t in spark.catalog.listTables()}
+    before = tables()
     assert Graph.vacuum(spark, path) == 1 and Graph.load(spark, path).nodes("File").count() == 1
+    assert len(before - tables()) == 1  # what is gone is gone from the catalog
     with pytest.raises(ValueError, match="no graph"):
         Graph.load(spark, str(tmp_path / "nothing"))
     with pytest.raises(ValueError, match="lacks"):
