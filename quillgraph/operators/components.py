@@ -32,8 +32,8 @@ def _colours(rounds: Rounds, edges: DataFrame) -> DataFrame:
         # what a node's label has learnt in the round before holds for the node as well
         far = lambda c: now.select(F.col("node").alias(f"_{c}"), F.col(c).alias(f"far_{c}"))
         met = hop.join(far("f"), F.col("f.id") == F.col("_f")).join(far("b"), F.col("b.id") == F.col("_b"))
-        now = rounds.put(met.select("node", F.least("f", "far_f").alias("f"), F.least("b", "far_b").alias("b")))
-        state = now.agg(F.sum(F.col("f.h").cast("decimal(38,0)")), F.sum(F.col("b.h").cast("decimal(38,0)"))).first()
+        sums = [F.sum(F.col(f"{c}.h").cast("decimal(38,0)")).alias(c) for c in ("f", "b")]
+        now, state = rounds.put_told(met.select("node", F.least("f", "far_f").alias("f"), F.least("b", "far_b").alias("b")), *sums)
         if state == seen:  # labels only fall: equal sums are equal labels
             return now.select("node", F.col("f.id").alias("f"), F.col("b.id").alias("b"))
         seen = state

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ..sources.settings import shared_dir
 from .upsert import clear
@@ -21,11 +22,19 @@ class Rounds:
         return self
 
     def put(self, df: DataFrame) -> DataFrame:
+        return self.put_told(df)[0]
+
+    def put_told(self, df: DataFrame, *figures: Column) -> tuple[DataFrame, dict | None]:
+        """df as written, and figures of it (named aggregates) that the write itself tells; None if Spark found df to be empty."""
         path = f"{shared_dir(self.spark)}/quillgraph-round-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        watch = Observation()
+        (df.observe(watch, *figures) if figures else df).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (path, out)
-        return out
+        try:
+            return out, watch.get if figures else None
+        except Py4JError:
+            return out, None
 
     def keep(self, df: DataFrame) -> DataFrame:
         """df stays; one that put() has not written is written first."""
