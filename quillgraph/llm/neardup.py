@@ -103,7 +103,8 @@ def _rejoined(docs: DataFrame, clusters: DataFrame) -> DataFrame:
         return clusters
     large = durable(clusters.join(sizes, "cluster").select("rep", "n", "cluster"))
     tasks = _tasks(large, WIDE)
-    texts = docs.join(large.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    # by a shuffle at every size, as in links(): the ids grow with the documents
+    texts = docs.select("doc_id", "text").join(large.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     longer = sketches(texts, LONG).select(F.col("doc_id").alias("rep"), "n", "sketch").dropDuplicates(["rep"])
     held = longer.join(tasks, "rep").select(F.explode("keys").alias("key"), "rep", "n", "sketch")
 
@@ -246,7 +247,7 @@ def links(docs: DataFrame, tasks: DataFrame) -> DataFrame:
                 if edges := forest(ids, sets, candidates(sets)):
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], names=["a", "b"])
 
-    held = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(tasks, F.col("doc_id") == F.col("rep")).select("rep", "text", "keys")
+    held = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(tasks.hint("merge"), F.col("doc_id") == F.col("rep")).select("rep", "text", "keys")
     apart = held.mapInArrow(spread, "key long, rep long, shingles binary")
     return in_runs(apart, "key").mapInArrow(compare, "a long, b long")
 
