@@ -7,8 +7,8 @@ falls once in several billion pairs. So a sketch with fewer values that anyone e
 `_least(n) - 1`, need a list (any pair with enough overlap meets in one of them). Lists whose documents hang together are a cluster.
 
 A passage that very many documents share hangs together what has no links. So clusters of more than BLOCK are looked at by sketches alone
-first, longer ones of LONG values and in blocks of WIDE: only pairs whose union-sketch estimate leaves a link possible join them anew, and full sets are
-sent for what is joined then.
+first, longer ones of LONG values and in blocks of WIDE: full sets are sent only of documents with a partner whose union-sketch estimate leaves a link
+possible.
 
 Within a cluster, documents stand in bands of set size, so that only a band and the next can hold links, and in blocks of at most
 about BLOCK; a task gets two blocks. There the inverted lists of the retained values give the overlaps of pairs, union sketches of the pairs that share enough
@@ -17,6 +17,7 @@ only a spanning forest of the links it found. No pairs are listed, no group meet
 
 Nulls, empties: a null or wordless text has an empty set, links with nothing and is its own component; so is a row whose doc_id is
 null. Fewer words than a shingle count as one shingle. Rows that repeat a doc_id are judged by it. Extra columns are not read.
+Texts count whole; a very long one is worked on by itself, with some tens of bytes for each of its own.
 """
 
 from __future__ import annotations
@@ -96,8 +97,8 @@ def _clusters(reps: DataFrame) -> DataFrame:
     return rare.select("rep", "n").distinct().join(found, F.col("rep") == F.col("node")).select("rep", "n", F.col("component").alias("cluster"))
 
 
-def _rejoined(docs: DataFrame, clusters: DataFrame) -> DataFrame:
-    """clusters, the large ones parted into what pairs join whose union-sketch estimate leaves a link possible; who has no such pair is left out."""
+def _with_partners(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """clusters, the large ones without those whose union-sketch estimates rule out a link with any other in them."""
     sizes = durable(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK).select("cluster"))
     if sizes.isEmpty():
         return clusters
@@ -105,7 +106,7 @@ def _rejoined(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     tasks = _tasks(large, WIDE)
     # by a shuffle at every size, as in links(): the ids grow with the documents
     texts = docs.select("doc_id", "text").join(large.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-    longer = sketches(texts, LONG).select(F.col("doc_id").alias("rep"), "n", "sketch").dropDuplicates(["rep"])
+    longer = sketches(texts, LONG).select(F.col("doc_id").alias("rep"), "n", "sketch")
     held = longer.join(tasks, "rep").select(F.explode("keys").alias("key"), "rep", "n", "sketch")
 
     def compare(parts):
@@ -115,15 +116,11 @@ def _rejoined(docs: DataFrame, clusters: DataFrame) -> DataFrame:
             sketch = np.full((len(ids), LONG), -1, np.int64)
             width = lists.value_lengths().to_numpy(zero_copy_only=False)
             sketch[np.arange(LONG)[None, :] < width[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
-            i, j = _candidates(size, sketch)
-            link = np.eye(len(ids), dtype=bool)
-            link[i, j] = link[j, i] = True
-            if edges := _spanning(ids, link):
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], names=["a", "b"])
+            if len(some := np.unique(np.concatenate(_candidates(size, sketch)))):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some])], names=["rep"])
 
-    found = components(in_runs(held, "key").mapInArrow(compare, "a long, b long"))
-    anew = large.join(found, F.col("rep") == F.col("node")).select("rep", "n", F.col("component").alias("cluster"))
-    return clusters.join(sizes, "cluster", "left_anti").select("rep", "n", "cluster").unionByName(anew)
+    found = in_runs(held, "key").mapInArrow(compare, "rep long").distinct()
+    return clusters.join(sizes, "cluster", "left_anti").select("rep", "n", "cluster").unionByName(large.join(found, "rep", "left_semi").select("rep", "n", "cluster"))
 
 
 def _tasks(clusters: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -259,7 +256,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = durable(sets.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")))
     reps = sets.join(same.withColumnRenamed("rep", "doc_id"), ["n", "f1", "f2", "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), "n", "sketch")
     with passing() as keep:
-        tasks = keep(durable(_tasks(_rejoined(docs, _clusters(reps)))))
+        tasks = keep(durable(_tasks(_with_partners(docs, _clusters(reps)))))
     found = components(links(docs, tasks))
     of = same.join(found, F.col("rep") == F.col("node"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component"))
     out = seen.join(of, ["n", "f1", "f2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
