@@ -7,7 +7,7 @@ range where the cut falls, and only that range of each source is put in order. N
 
 Nulls, empties: a null text has size 0; null is a source of its own, after the others. Rows with one doc_id and size share a
 key and rank among themselves in any order, which leaves the result the same up to which of the equal rows is cut. An
-empty table, or one without words, has targets of 0. Reruns agree: keys depend on doc_id and the seed alone.
+empty table, or one without words, has targets of 0. Of a text, of any length, only the number of words counts. Reruns agree: keys depend on doc_id and the seed alone.
 """
 
 from __future__ import annotations

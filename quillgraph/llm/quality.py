@@ -4,7 +4,7 @@ Every rule is evaluated once for each document; the ledger keeps the measurement
 Policies are versioned masks over those bits, so a verdict, a new policy or an ablation needs no second look at a text.
 
 Nulls, empties: a null or empty text has no words; its counts are 0 and it fails `few_words`. Repeated rows are judged
-each for itself. Columns of the input other than doc_id and text are not read, so their names can't clash.
+each for itself, of equal lines the first is no duplicate, and whole texts count: a text stands in one row with a list of its words. Columns of the input other than doc_id and text are not read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ Nulls, empties: a null text is empty; nothing is removed from texts of fewer tha
 repeated row is a repeat; a null doc_id stays null. Rows that are equal in doc_id and text take part as one, however many they are: such a text is removed
 whole if it has `length` bytes, and its row comes back as often as it stood. Extra columns are not read. A text is told by a 64-bit key of doc_id
 and text; of 10^10 texts about three pairs would share one, so keys that different rows share are looked for first, and their rows get others.
+A very long text is worked on by itself, with some tens of bytes for each of its own.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ least hashes (a documented bound); every document is then scored, over its whole
 
 Nulls, empties: a null or empty text has no features and the least severity; a label of null, or of a document that isn't there, is
 not learned from; without toxic labels, or without labels, nothing is rejected and severity is 0. Rows are judged each
-for itself, repeated or not. Extra columns are not read.
+for itself, repeated or not. Extra columns are not read. Of features that tell equally much the ones with the least hash are taken; of thresholds that a
+row meets equally the lower grade counts. A very long text is worked on by itself, with some tens of bytes for each of its own.
 """
 
 from __future__ import annotations

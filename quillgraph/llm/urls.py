@@ -6,7 +6,7 @@ sets eight bits of one 256-bit block; the few that pass go to an exact hash join
 
 Nulls, empties: a null url, or one without `://`, has an empty host and path, no candidates and the default verdict. Repeated
 rows and urls are judged each for itself; candidates are made once for each distinct (host, path). Of rules with one host and path the
-last verdict by name holds: block before allow. Extra columns are not read.
+last verdict by name holds: block before allow. Extra columns are not read. Urls count whole; the html is never read.
 """
 
 from __future__ import annotations
