@@ -98,3 +98,21 @@ def test_first_ranges(spark):
     assert {x.key: x.name for x in got.collect()} == want
     none = first_range(spark.createDataFrame(asked, "key string, n double"), spark.createDataFrame([], "low double, high double, place long, name string"))
     assert {x.name for x in none.collect()} == {None} and none.count() == len(want)
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    from quillgraph.operators.stored import Rounds
+
+    n, written = 400, []
+    put = Rounds.put_told
+    monkeypatch.setattr(Rounds, "put_told", lambda self, *a: written.append(1) or put(self, *a))
+    edges = [(f"c{i}", f"c{i + 1}") for i in range(n)] + [(f"c{i}", f"c{i + 5}") for i in range(0, n, 20)]  # a chain with short cuts
+    edges += [(f"r{i}", f"r{(i + 1) % n}") for i in range(n)] + [("c9", "r0")]  # a ring
+    edges += [(f"l{i}", f"l{(i + 1) % n}") for i in range(n)] + [("l7", "l50"), ("l3", "x0"), *((f"x{i}", f"x{i + 1}") for i in range(n)), (f"x{n}", "l90"), ("l8", "y0"), ("y0", "c3")]  # a ring with a handle, and what leaves it
+    edges += [("p0", "p1"), ("p1", "p2"), ("p2", "p0"), ("q", "p0"), ("p0", "c0")]  # a ring that one node alone is the end of
+    nodes = sorted({m for e in edges for m in e})
+    told = {r.node: (r.component, r.size, r.circular) for r in strong_components(spark.createDataFrame([(m,) for m in nodes], "node string"), spark.createDataFrame(edges, "src string, dst string")).collect()}
+    handle = sorted(m for m in nodes if m[0] in "lx")
+    want = {m: (m, 1, False) for m in nodes} | {f"r{i}": ("r0", n, True) for i in range(n)} | {m: (handle[0], len(handle), True) for m in handle} | {f"p{i}": ("p0", 3, True) for i in range(3)}
+    assert told == want
+    assert len(written) <= 50, len(written)
