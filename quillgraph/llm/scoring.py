@@ -8,8 +8,8 @@ model of the corpus.
 The first pass cuts every text into ids, counts words and ids of all training documents, and stores the ids. Training: the documents are dealt to
 rounds, each about twice as large as the one before, more of them the more documents there are; in a round every task goes on from the weights of the
 round before, and weights are averaged by the targets seen. Every text of a round is windows of WINDOW inputs, one after the other, so every id of
-every training document is an input; of the later half of each window, TARGETS places are targets, other ones from batch to batch (a share of the
-positions, the same at every size; no window is left out). How tasks split the table decides which windows a step sees, so another split gives other
+every training document is an input, and a target: the windows that begin at one block have the places of every other block as targets, and those that begin
+at the next block all others, so each id is told once from the WINDOW / 2 ids before it at least, as in scoring. How tasks split the table decides which windows a step sees, so another split gives other
 scores, within what training leaves to chance. Scoring: windows overlap by half; the later half of each is scored, so every id is scored once, with at
 least WINDOW / 2 ids before it where the text has them, in batched masked attention.
 
@@ -42,8 +42,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WINDOW, STRIDE, WIDTH, HIDDEN = 32, 16, 24, 48
 GROUPS, GROUP = 45, 45
-#: Targets of a window in training; windows of a step; learning rate of the first round.
-TARGETS, BATCH, RATE = 1, 512, 0.01
+#: Windows of a step; learning rate of the first round.
+BATCH, RATE = 512, 0.01
 HEAD, CHUNK = 1 << 17, 512
 #: Documents of the first round of training; rounds double.
 ROUND_DOCS = 20_000
@@ -127,7 +127,7 @@ class Attention:
         e = q @ key.transpose(0, 2, 1)
         e += bias
         e[opens, :, :STRIDE] = -1e4
-        np.minimum(e, 30, out=e)
+        e -= e.max(2, keepdims=True)
         np.exp(e, out=e)
         return e, e @ ONES[:WINDOW], key, value
 
@@ -150,7 +150,7 @@ class Attention:
         _, u = self.up(z.reshape(-1, WIDTH))
         one = u @ w["one"]
         one += w["one_b"]
-        np.minimum(one, 40, out=one)
+        one -= one.max(1, keepdims=True)
         out = one.ravel().take(np.arange(0, one.size, GROUPS + 1) + cls)
         np.exp(one, out=one)
         out -= np.log(one @ ONES[: GROUPS + 1])
@@ -165,7 +165,7 @@ class Attention:
                 np.matmul(us[i:j], w["two"][c], out=two[i:j])
                 two[i:j] += w["two_b"][c]
             i = j
-        np.minimum(two, 40, out=two)
+        two -= two.max(1, keepdims=True)
         more = two.ravel().take(np.arange(0, two.size, GROUP) + place.take(order[:m]))
         np.exp(two, out=two)
         more -= np.log(two @ ONES[:GROUP])
@@ -193,7 +193,7 @@ class Attention:
         c, p = cls[:, at].ravel(), place[:, at].ravel()
         ok /= max(ok.sum(), 1)
         one = u @ w["one"] + w["one_b"]
-        np.minimum(one, 40, out=one)
+        one -= one.max(1, keepdims=True)
         np.exp(one, out=one)
         one /= (one @ ONES[: GROUPS + 1])[:, None]
         one[np.arange(len(u)), c] -= 1
@@ -209,7 +209,7 @@ class Attention:
             if i < j:
                 s = us[i:j] @ w["two"][k]
                 s += w["two_b"][k]
-                np.minimum(s, 40, out=s)
+                s -= s.max(1, keepdims=True)
                 np.exp(s, out=s)
                 s /= (s @ ONES[:GROUP])[:, None]
                 s[np.arange(j - i), ps[i:j]] -= 1
@@ -228,11 +228,8 @@ class Attention:
         g["near"] = np.bincount(np.maximum(dist, 0).ravel(), np.where(dist >= 0, dp.sum(0), 0).ravel(), WINDOW).astype(np.float32)
         dqx = np.concatenate([dp @ key, dz], 2)
         dkv = np.empty((n, WINDOW, 2 * d), np.float32)
-        np.multiply(dp[:, 0, :, None], q[:, 0, None, :], out=dkv[:, :, :d])
-        np.multiply(e[:, 0, :, None], dz[:, 0, None, :], out=dkv[:, :, d:])
-        for j in range(1, t):
-            dkv[:, :, :d] += dp[:, j, :, None] * q[:, j, None, :]
-            dkv[:, :, d:] += e[:, j, :, None] * dz[:, j, None, :]
+        dkv[:, :, :d] = dp.transpose(0, 2, 1) @ q
+        dkv[:, :, d:] = e.transpose(0, 2, 1) @ dz
         gkv = scatter(rows.ravel(), dkv.reshape(-1, 2 * d), len(emb))
         gqx = scatter(late.ravel(), dqx.reshape(-1, 2 * d), len(emb))
         gq, gx, gk, gv = gqx[:, :d] * scale, gqx[:, d:], gkv[:, :d], gkv[:, d:]
@@ -285,24 +282,29 @@ def blocks(kinds: Classes, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarra
     return rows.reshape(-1, STRIDE), target.reshape(-1, STRIDE), np.repeat(np.arange(len(size)), per + 1), opens
 
 
-def train_on(model: Attention, adam: Adam, kinds: Classes, ids: np.ndarray, size: np.ndarray) -> int:
-    """A step for each BATCH windows of these texts. How many targets there were."""
+def train_on(model: Attention, adam: Adam, kinds: Classes, ids: np.ndarray, size: np.ndarray, begin: int | None = None) -> int:
+    """A step for each BATCH windows of these texts, all places of the later blocks targets; windows begin at this block (0 or 1; None: in turn). How many targets
+    there were."""
     rows, target, _, opens = blocks(kinds, ids, size)
-    lo = adam.t % 2  # windows begin at either block
+    lo = adam.t % 2 if begin is None else begin
     if (len(rows) - lo) % 2:  # the last block has nothing after it
         rows, target, opens = np.pad(rows, ((0, 1), (0, 0)), constant_values=Classes.NONE), np.pad(target, ((0, 1), (0, 0)), constant_values=-1), np.append(opens, False)
     cls, place = kinds.of.take(np.maximum(target, 0)), kinds.place.take(np.maximum(target, 0))
-    real, seen = target >= 0, 0
+    real, seen, at = target >= 0, 0, np.arange(STRIDE)
     while lo + 2 <= len(rows):
         hi = lo + 2 * min(BATCH, (len(rows) - lo) // 2)
         late = slice(lo + 1, hi, 2)
-        at = (np.arange(TARGETS) * (STRIDE // TARGETS) + 5 * adam.t) % STRIDE
         adam.step(model.gradient(rows[lo:hi], opens[late], real[late], cls[late], place[late], at))
-        seen += int(real[late][:, at].sum())
+        seen += int(real[late].sum())
         lo = hi
     return seen
 
 
+def train_whole(model: Attention, adam: Adam, kinds: Classes, ids: np.ndarray, size: np.ndarray) -> int:
+    """Every id of these texts, their ends included, is a target once: blocks take turns at being the later one of a window."""
+    return sum(train_on(model, adam, kinds, ids, size, begin) for begin in (0, 1))
+
+
 def score_of(model: Attention, kinds: Classes, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
     """log10 probability of each text."""
     rows, target, text, opens = blocks(kinds, ids, size)
@@ -440,7 +442,7 @@ def _train(stored: DataFrame, kinds: Classes, start: np.ndarray, rate: float, en
         adam, seen = Adam(model, rate), 0
         for b in parts:
             for _, _, ids, size in _texts(b.column(0)):
-                seen += train_on(model, adam, kinds, *_ended(ids, size, end))
+                seen += train_whole(model, adam, kinds, *_ended(ids, size, end))
         if seen:
             yield _sum(model.flat().astype(np.float64) * seen, seen)
 

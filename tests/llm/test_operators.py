@@ -571,6 +571,28 @@ def test_training_leaves_no_window_out(monkeypatch):
     assert seen > len(ids) / 40
 
 
+def test_every_id_is_a_target_once(monkeypatch):
+    """Of texts of all lengths every id, the end included, is told once, whatever windows a step has."""
+    size = np.append(np.arange(1, 80), 700)
+    n = scoring.GROUPS * scoring.GROUP + 10
+    ids = np.random.default_rng(2).integers(0, n, size.sum())
+    kinds = scoring.classes(np.ones(n), np.zeros(n, bool))
+    told = np.zeros((scoring.GROUPS + 1, scoring.GROUP), int)
+
+    def gradient(self, rows, opens, real, cls, place, at):
+        some = real[:, at]
+        np.add.at(told, (cls[:, at][some], place[:, at][some]), 1)
+        return {}
+
+    monkeypatch.setattr(scoring.Attention, "gradient", gradient)
+    monkeypatch.setattr(scoring, "BATCH", 3)
+    model = scoring.Attention(kinds)
+    seen = scoring.train_whole(model, scoring.Adam(model, 0.01), kinds, ids, size)
+    want = np.zeros_like(told)
+    np.add.at(want, (kinds.of[ids], kinds.place[ids]), 1)
+    assert seen == len(ids) and (told == want).all()
+
+
 def test_words_are_cut_like_whole_texts(table):
     """Ids, and the keys of words, are those of each word alone, whatever was kept before."""
     rows, _ = table
