@@ -700,7 +700,9 @@ _OWNED = "SELECT s.routine, arg_max(p.name, length(p.prefix)) AS package, arg_ma
 
 
 def _sources(spark: SparkSession, sf: str) -> DataFrame:
-    texts = spark.sql(_SOURCES.replace("FROM customer", "FROM {customer}").replace("//", "div"), customer=spark.read.parquet(f"{sf}/customer.parquet"))
+    # a few MB of the table make much work: rows are dealt to as many tasks as a shuffle has, where the splits of so small a file would be one or two
+    customer = spark.read.parquet(f"{sf}/customer.parquet").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
+    texts = spark.sql(_SOURCES.replace("FROM customer", "FROM {customer}").replace("//", "div"), customer=customer)
     return M.lines_of(texts)
 
 

@@ -72,3 +72,12 @@ def test_sample_over_strata(spark):
     assert got.keys() != {r.unit for r in M.strategic_sample(units, seed=2).collect()}
     plan = M.strategic_sample(units)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan  # no stratum meets whole
+
+
+def test_sources_are_dealt_to_tasks(spark):
+    """A small table whose rows make much work is not left to the one task that reads it."""
+    from pyspark.sql import functions as F
+
+    from quillgraph import registry
+
+    assert registry._sources(spark, "/root/testdata/sf0.001").select(F.spark_partition_id().alias("p")).distinct().count() > 1
