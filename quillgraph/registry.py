@@ -24,6 +24,7 @@ from .plans import build as B
 from .plans import questions as Q
 from .plans.graph import Graph
 from .plans.sample import FILE_NUMBER, INPUTS, TARGET, cross_references, export_files, inputs, package_file, sample_graph, saved_graph, written_counts as counts_written
+from .sources import commits
 from .sources.exports import parse_lines, read_lines, read_packages
 from .schemas import EDGE_TYPES
 from .sources.settings import Settings, shared_dir
@@ -180,25 +181,37 @@ _from_text("cross_references", lambda e: R.cross_references(e).drop("execution")
 @query("SELECT g AS global_name, count(*) AS n, min(len(value)) AS shortest, max(len(value)) AS longest FROM parsed GROUP BY 1")
 def entries_from_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/quillgraph-stream-{uuid.uuid4().hex}"
-    keep_up(stream_entries(spark, export_files(spark, sf), 2), lambda df, n: df.select("global_name", "value").write.mode("append").parquet(f"{folder}/entries"), f"{folder}/progress").awaitTermination()
+    export = export_files(spark, sf)
+    keep_up(stream_entries(spark, export, _at_once(len(_files(spark, export)))), lambda df, n: df.select("global_name", "value").write.mode("append").parquet(f"{folder}/entries"), f"{folder}/progress").awaitTermination()
     size = F.length("value").cast("bigint")
     return spark.read.parquet(f"{folder}/entries").groupBy("global_name").agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("shortest"), F.max(size).alias("longest"))
 
 
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the text files of an export, in order."""
+    return [n for n in commits.names(spark, folder) if n.startswith("part-")]
+
+
+def _at_once(files: int) -> int:
+    """Files of a batch of the stream: batches grow with the export, not their number."""
+    return max(2, files // 2)
+
+
 def _dropped(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """Records after three drops of files: the last ones first, the first one late, and one of them twice under another name (but for cross-references, whose
     second definition is rightly another than the first where a header comes late)."""
     folder = f"{shared_dir(spark)}/quillgraph-stream-{uuid.uuid4().hex}"
-    kept = KeptRecords(spark, folder, (kind,), 4)
+    export = export_files(spark, sf)
+    names = _files(spark, export)
+    kept = KeptRecords(spark, folder, (kind,), max(4, len(names)))  # a part is kept by one task: as many parts as there are files
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    source, target = Path(export_files(spark, sf)), Path(f"{folder}/in")
+    source, target = Path(export), Path(f"{folder}/in")
     fs = source.getFileSystem(conf)
-    names = sorted(n for s in fs.listStatus(source) if (n := s.getPath().getName()).startswith("part-"))
     for drop in (names[2:], [names[1], *([f"{names[2]}-again"] if kind != "cross_references" else [])], names[:1]):
         for n in drop:
             spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, Path(source, n.removesuffix("-again")), fs, Path(target, n), False, conf)
-        kept.follow(stream_lines(spark, f"{folder}/in", 2)).awaitTermination()
+        kept.follow(stream_lines(spark, f"{folder}/in", _at_once(len(names)))).awaitTermination()
     return kept.records(kind)
 
 

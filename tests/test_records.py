@@ -153,3 +153,22 @@ def test_settings(tmp_path, monkeypatch):
     monkeypatch.setenv("QUILLGRAPH_DICTIONARY", str(tmp_path / "none"))
     s = Settings.from_env()
     assert str(tmp_path / "none") in s.missing()
+
+
+def test_export_and_kept_parts_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    """A task writes so many lines of the export, and keeps one part of so many: larger tables make more of them, in as many batches."""
+    import shutil
+
+    from quillgraph import registry
+    from quillgraph.plans import sample
+
+    tables = shutil.copytree("/root/testdata/sf0.001", tmp_path / "sf")
+    monkeypatch.setattr(sample, "ROWS_A_FILE", 1000)
+    parts = []
+    keep = registry.KeptRecords
+    monkeypatch.setattr(registry, "KeptRecords", lambda spark, folder, kinds, n: parts.append(n) or keep(spark, folder, kinds, n))
+    told = registry.QUERIES["files_from_stream"](spark, str(tables))
+    want = registry.QUERIES["files_from_lines"](spark, str(tables))
+    assert sorted(map(repr, told.collect())) == sorted(map(repr, want.collect()))
+    names = registry._files(spark, sample.export_files(spark, str(tables)))
+    assert len(names) > 4 and parts == [len(names)]
