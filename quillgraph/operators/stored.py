@@ -4,6 +4,8 @@ a lost executor costs no more than the tasks at hand."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,6 +14,21 @@ from ..sources.settings import shared_dir
 from .upsert import clear
 
 
+#: Spark's setting: tasks of a shuffle that names no number.
+TASKS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def dealt_to(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """What is written meanwhile has so many tasks in its shuffles, if the session has fewer."""
+    before = spark.conf.get(TASKS)
+    spark.conf.set(TASKS, str(max(int(before), tasks)))
+    try:
+        yield
+    finally:
+        spark.conf.set(TASKS, before)
+
+
 class Rounds:
     """What put() has written is deleted at the end, but for what keep() names: results that a caller reads later."""
 

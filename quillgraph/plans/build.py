@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import edges as E
 from ..operators import records as R
 from ..operators import routines as M
-from ..operators.stored import Rounds
+from ..operators.stored import Rounds, dealt_to
 from ..sources.exports import parse_lines, read_lines, read_packages
 from .graph import Graph, Saving
 
@@ -72,10 +72,11 @@ def with_routines(graph: Graph, lines: DataFrame) -> Graph:
 
 def store(path: str, packages: DataFrame, files: DataFrame, fields: DataFrame, xrefs: DataFrame | None = None, targets: DataFrame | None = None, buckets: int | None = None) -> dict[str, int]:
     """Save the graph of these records, of phase 2 too if there are cross-references; rows written by label and type. Nodes are written first and edges derived
-    from the nodes as written, so that no record is made twice; all of it becomes the graph at path at the end, or none of it."""
+    from the nodes as written, so that no record is made twice; all of it becomes the graph at path at the end, or none of it. buckets: of each frame, and
+    tasks of the shuffles of the load, at least: a number that grows with the records keeps a task's share."""
     spark = packages.sparkSession
     frames = {"Package": packages, "File": files, "Field": fields} | ({} if xrefs is None else {"CrossReference": xrefs})
-    with Saving(spark, path, buckets) as saving:
+    with dealt_to(spark, buckets or 1), Saving(spark, path, buckets) as saving:
         saving.write(Graph(spark, frames))
         held = saving.written()
         made = _phase_1(*(held.nodes(n) for n in ("Package", "File", "Field")))

@@ -209,7 +209,7 @@ class Saving:
             at = f"{self.version}/{kind}/{n}"
             name = _table(self.path, at)
             # a task writes a bucket; keys that are many times there are of one node, and nodes' keys are single
-            df.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key).option("path", f"{self.path}/{at}").format("parquet").saveAsTable(name)
+            df.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key).option("path", f"{self.path}/{at}").option("compression", "zstd").format("parquet").saveAsTable(name)
             columns = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
             return n, {"kind": kind, "at": at, "key": key, "buckets": self.buckets, "columns": columns, "rows": self.spark.table(name).count()}  # told by the files' footers
 

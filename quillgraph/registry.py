@@ -23,7 +23,7 @@ from .operators.ranges import first_range
 from .plans import build as B
 from .plans import questions as Q
 from .plans.graph import Graph
-from .plans.sample import FILE_NUMBER, INPUTS, TARGET, cross_references, export_files, inputs, package_file, sample_graph, saved_graph, written_counts as counts_written
+from .plans.sample import FILE_NUMBER, INPUTS, TARGET, cross_references, export_files, inputs, package_file, sample_graph, saved_graph, tasks, written_counts as counts_written
 from .sources import commits
 from .sources.exports import parse_lines, read_lines, read_packages
 from .schemas import EDGE_TYPES
@@ -238,7 +238,7 @@ def graph_from_text(spark: SparkSession, sf: str) -> DataFrame:
     """A load in one go: export and package table as text files, parsed, derived and saved as a graph; rows written."""
     folder = f"{shared_dir(spark)}/quillgraph-load-{uuid.uuid4().hex}"
     with B.reading(spark, export_files(spark, sf)) as entries:
-        told = B.store(folder, *B.records(spark, entries, package_file(spark, sf), export_files(spark, sf)))
+        told = B.store(folder, *B.records(spark, entries, package_file(spark, sf), export_files(spark, sf)), buckets=tasks(spark, sf))
     rows = [(("edge:" if k in EDGE_TYPES else "node:") + k, n) for k, n in told.items()]
     return spark.createDataFrame(rows, "name string, rows bigint")
 

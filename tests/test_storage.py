@@ -3,13 +3,16 @@
 import os
 import random
 import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from quillgraph.operators import records as R
 from quillgraph.operators.keyed import Keyed
-from quillgraph.plans import build
+from quillgraph.operators.stored import TASKS
+from quillgraph.operators.upsert import last_by_key
+from quillgraph.plans import build, sample
 from quillgraph.plans.graph import Graph, Saving, saved_rows
 from quillgraph.plans.sample import sample_graph
 from quillgraph.sources import commits
@@ -182,3 +185,33 @@ def test_stand_ins(spark):
     assert {(r.number, r.name) for r in g.nodes("File").collect()} == {("31", "A"), ("9.01", "S"), ("31.2", "T"), ("9", "FILE_9"), ("77", "FILE_77"), ("X9", "FILE_X9")}
     assert {(r.src, r.dst, r.confidence) for r in g.edges("SUBFILE_OF").collect()} == {("31.2", "31", 1.0), ("9.01", "9", 0.5)}
     assert {(r.dst, r.confidence) for r in g.edges("VARIABLE_POINTER").collect()} == {("31", 1.0), ("77", 0.5), ("X9", 0.5), ("9", 0.5)}
+
+
+def test_loads_of_larger_tables_have_more_tasks(spark, tmp_path, monkeypatch):
+    """A bucket of the saved graph and a task of its load have so many rows: larger tables make more of them, and the session's number is as before."""
+    tables = str(shutil.copytree(SF, tmp_path / "sf"))
+    monkeypatch.setattr(sample, "ROWS_A_TASK", 1000)
+    seen, write = [], Saving.write
+    monkeypatch.setattr(Saving, "write", lambda self, g: seen.append(spark.conf.get(TASKS)) or write(self, g))
+    before, n = spark.conf.get(TASKS), sample.tasks(spark, tables)
+    rows = {k: df.count() for k, df in sample.saved_graph(spark, tables).edge_frames.items()}
+    told = commits.current(spark, sample._place(spark, tables, "graph"))
+    assert n > int(before) and {f["buckets"] for f in told["frames"].values()} == {n} and seen == [str(n)] * 2 and spark.conf.get(TASKS) == before
+    assert rows == {k: df.count() for k, df in sample.saved_graph(spark, SF).edge_frames.items()}
+
+
+def test_cross_references_are_dealt_by_id_without_their_order(spark, tmp_path):
+    """Of lines that repeat the last stays, also where an order stands twice or a line has no number; what is dealt by id has no column of the order."""
+    tables = str(shutil.copytree(SF, tmp_path / "sf"))
+    lines, orders = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("lineitem", "orders"))
+    lines = lines.unionByName(lines.where("l_orderkey % 7 = 0").withColumn("l_linenumber", F.lit(None).cast(lines.schema["l_linenumber"].dataType)))
+    for name, df in (("lineitem", lines), ("orders", orders.unionByName(orders.where("o_orderkey % 5 = 0")))):
+        os.remove(f"{tables}/{name}.parquet")
+        df.write.parquet(f"{tables}/{name}.parquet")
+    got = sample.cross_references(spark, tables)
+    want = last_by_key(sample.inputs(spark, tables, "xref_rows"), ["xref_id"], sample.XREF_ORDER).withColumn("set_logic", F.nullif("set_logic", F.lit(""))).select(*got.columns)
+    rows = sorted(map(repr, got.collect()))
+    assert rows == sorted(map(repr, want.collect())) and any("xref_id=None" in r for r in rows)
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    dealt = [b for b in plan.split("\n\n") if "hashpartitioning(xref_id" in b]
+    assert dealt and not any(c in b for b in dealt for c in sample.XREF_ORDER)
