@@ -55,7 +55,7 @@ class Keyed:
             return []
         rows = combine(self._read(told, touched), new)
         version = commits.fresh()
-        rows = rows.withColumn("part", part).repartition(min(len(touched), self.parts), "part")
+        rows = rows.withColumn("part", part).repartitionById(self.parts, "part")  # a task for each: hashed, several parts would meet in one
         rows.write.partitionBy("part").parquet(f"{self.path}/version={version}")
         schema = told["schema"] or ", ".join(f"`{n}` {t}" for n, t in new.dtypes)
         commits.commit(self.spark, self.path, {"parts": told["parts"] | dict.fromkeys(touched, version), "schema": schema}, told["number"])

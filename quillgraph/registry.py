@@ -20,6 +20,7 @@ from .operators import upsert as U
 from .operators.components import strong_components
 from .operators.keyed import Keyed
 from .operators.ranges import first_range
+from .operators.stored import dealt_to
 from .plans import build as B
 from .plans import questions as Q
 from .plans.graph import Graph
@@ -197,8 +198,8 @@ def _at_once(files: int) -> int:
     return max(2, files // 2)
 
 
-def _dropped(spark: SparkSession, sf: str, kind: str) -> DataFrame:
-    """Records after three drops of files: the last ones first, the first one late, and one of them twice under another name (but for cross-references, whose
+def _dropped(spark: SparkSession, sf: str, kind: str) -> tuple[DataFrame, int]:
+    """Records, and in how many parts they are kept, after three drops of files: the last ones first, the first one late, and one of them twice under another name (but for cross-references, whose
     second definition is rightly another than the first where a header comes late)."""
     folder = f"{shared_dir(spark)}/quillgraph-stream-{uuid.uuid4().hex}"
     export = export_files(spark, sf)
@@ -208,22 +209,23 @@ def _dropped(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     source, target = Path(export), Path(f"{folder}/in")
     fs = source.getFileSystem(conf)
-    for drop in (names[2:], [names[1], *([f"{names[2]}-again"] if kind != "cross_references" else [])], names[:1]):
-        for n in drop:
-            spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, Path(source, n.removesuffix("-again")), fs, Path(target, n), False, conf)
-        kept.follow(stream_lines(spark, f"{folder}/in", _at_once(len(names)))).awaitTermination()
-    return kept.records(kind)
+    with dealt_to(spark, kept.parts):  # a stream's session is as this one when it starts
+        for drop in (names[2:], [names[1], *([f"{names[2]}-again"] if kind != "cross_references" else [])], names[:1]):
+            for n in drop:
+                spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, Path(source, n.removesuffix("-again")), fs, Path(target, n), False, conf)
+            kept.follow(stream_lines(spark, f"{folder}/in", _at_once(len(names)))).awaitTermination()
+    return kept.records(kind), kept.parts
 
 
-def _from_stream(kind: str, f: Callable[[DataFrame], DataFrame]) -> None:
-    QUERIES[f"{kind}_from_stream"] = lambda spark, sf: f(_dropped(spark, sf, kind))
+def _from_stream(kind: str, f: Callable[[DataFrame, int], DataFrame]) -> None:
+    QUERIES[f"{kind}_from_stream"] = lambda spark, sf: f(*_dropped(spark, sf, kind))
     SQL[f"{kind}_from_stream"] = SQL[f"{kind}_from_lines"]
 
 
-_from_stream("files", lambda r: r.select("number", "name", "global_root", "is_subfile"))
-_from_stream("cross_references", lambda r: r.drop("execution"))
+_from_stream("files", lambda r, n: r.select("number", "name", "global_root", "is_subfile"))
+_from_stream("cross_references", lambda r, n: r.drop("execution"))
 # fields are told as often as they stand: once here, whatever stands twice
-_from_stream("fields", lambda r: r.drop("line_no", "field_id").distinct())
+_from_stream("fields", lambda r, n: r.drop("line_no", "field_id").repartition(n, "file_number", "number").distinct())
 
 
 _TOLD = {"Package": "packages", "File": "files", "Field": "fields", "CrossReference": "x", "CONTAINS_FILE": "contains_file", "CONTAINS_FIELD": "contains_field", "POINTS_TO": "points_to", "SUBFILE_OF": "subfile_of", "INDEXED_BY": "x JOIN fields d ON x.file_number = d.file_number AND x.field_number = d.number", "VARIABLE_POINTER": "v JOIN fields d ON v.file_number = d.file_number AND v.field_number = d.number JOIN files f ON f.number = v.target"}

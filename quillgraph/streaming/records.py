@@ -68,7 +68,9 @@ class KeptRecords:
         told = self.table(kind).read()
         if told is None:
             return None
-        return R.files_of(told) if kind == "files" else R.cross_references_of(told) if kind == "cross_references" else told
+        if kind == "cross_references":  # asked by field: as many tasks as there are parts
+            return R.cross_references_of(told.repartition(self.parts, "file_number", "field_number"))
+        return R.files_of(told) if kind == "files" else told
 
     def follow(self, lines: DataFrame, once: bool = True) -> StreamingQuery:
         """Take in a stream of lines; with once, all files that are there. Begun again, it goes on where it ended."""

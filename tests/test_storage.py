@@ -8,6 +8,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from quillgraph import registry
 from quillgraph.operators import records as R
 from quillgraph.operators.keyed import Keyed
 from quillgraph.operators.stored import TASKS
@@ -215,3 +216,27 @@ def test_cross_references_are_dealt_by_id_without_their_order(spark, tmp_path):
     plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
     dealt = [b for b in plan.split("\n\n") if "hashpartitioning(xref_id" in b]
     assert dealt and not any(c in b for b in dealt for c in sample.XREF_ORDER)
+
+
+def test_each_part_is_written_by_a_task_of_its_own(spark, tmp_path):
+    table = Keyed(spark, str(tmp_path / "t"), ("k",), 32)
+    table.upsert(spark.range(2000).select(F.col("id").alias("k"), F.lit(0).alias("at")), ["at"])
+    files = files_under(tmp_path / "t")
+    assert len(files) == 32 == len({os.path.basename(f).split("-")[1] for f in files})
+
+
+def test_streams_of_larger_tables_have_more_tasks(spark, tmp_path, monkeypatch):
+    """The export is laid out, and its records are kept and asked, by as many tasks as the tables are large."""
+    tables = str(shutil.copytree(SF, tmp_path / "sf"))
+    monkeypatch.setattr(sample, "ROWS_A_TASK", 1000)
+    monkeypatch.setattr(sample, "ROWS_A_FILE", 1000)
+    laid, kept, of, take = [], [], sample.inputs, KeptRecords.take
+    monkeypatch.setattr(sample, "inputs", lambda s, d, name, **g: laid.append((name, s.conf.get(TASKS))) or of(s, d, name, **g))
+    monkeypatch.setattr(KeptRecords, "take", lambda self, batch, number=0: kept.append(batch.sparkSession.conf.get(TASKS)) or take(self, batch, number))
+    before, n = spark.conf.get(TASKS), str(sample.tasks(spark, tables))
+    for kind in ("fields", "cross_references"):
+        got = registry.QUERIES[f"{kind}_from_stream"](spark, tables)
+        dealt = re.findall(r"hashpartitioning\(file_number#\d+, \w+#\d+, (\d+)\), REPARTITION_BY_NUM", spark.sparkContext._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple"))
+        assert laid == [("lines", n)] and int(n) > int(before) and {*kept, *dealt} == {str(len(registry._files(spark, sample.export_files(spark, tables))))} and dealt
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, registry.QUERIES[f"{kind}_from_lines"](spark, tables).distinct().collect()))
+    assert spark.conf.get(TASKS) == before
