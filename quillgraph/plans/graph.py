@@ -158,8 +158,9 @@ class Graph:
         return commits.vacuum(spark, path, used)
 
 
-#: The columns by which edges lie, those that joins look them up by: fields and what hangs on them lie alike.
-LIES_BY = {"CONTAINS_FILE": "dst", "CONTAINS_FIELD": "dst", "CONTAINS_LABEL": "dst", "OWNS_ROUTINE": "dst"}
+#: The columns by which frames lie that don't by their key or src, those that joins look them up by: fields and what hangs on them lie alike, cross-references by the
+#: field that they name, so that phase 2 finds their fields without dealing them again.
+LIES_BY = {"CrossReference": "file_number, field_number", "CONTAINS_FILE": "dst", "CONTAINS_FIELD": "dst", "CONTAINS_LABEL": "dst", "OWNS_ROUTINE": "dst"}
 
 
 def _table(path: str, at: str) -> str:
@@ -201,15 +202,15 @@ class Saving:
         return self
 
     def write(self, graph: Graph) -> None:
-        frames = [("nodes", n, df, _name(n)) for n, df in graph.node_frames.items()] + [("edges", n, df, LIES_BY.get(n, "src")) for n, df in dict.items(graph.edge_frames)]
+        frames = [("nodes", n, df, LIES_BY.get(n, _name(n))) for n, df in graph.node_frames.items()] + [("edges", n, df, LIES_BY.get(n, "src")) for n, df in dict.items(graph.edge_frames)]
 
         def put(frame: tuple) -> tuple[str, dict]:
             kind, n, df, key = frame
             df = df() if callable(df) else df  # what has rounds of its own runs beside the other writes
             at = f"{self.version}/{kind}/{n}"
             name = _table(self.path, at)
-            # a task writes a bucket; keys that are many times there are of one node, and nodes' keys are single
-            df.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key).option("path", f"{self.path}/{at}").option("compression", "zstd").format("parquet").saveAsTable(name)
+            # a task writes a bucket; keys that are many times there are of one node or of one field, and nodes' own keys are single
+            df.repartition(self.buckets, *key.split(", ")).write.bucketBy(self.buckets, *key.split(", ")).sortBy(*key.split(", ")).option("path", f"{self.path}/{at}").option("compression", "zstd").format("parquet").saveAsTable(name)
             columns = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
             return n, {"kind": kind, "at": at, "key": key, "buckets": self.buckets, "columns": columns, "rows": self.spark.table(name).count()}  # told by the files' footers
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgraph import registry
+from quillgraph.operators import edges as E
 from quillgraph.operators import records as R
 from quillgraph.operators.keyed import Keyed
 from quillgraph.operators.stored import TASKS
@@ -218,6 +219,26 @@ def test_cross_references_are_dealt_by_id_without_their_order(spark, tmp_path):
     assert dealt and not any(c in b for b in dealt for c in sample.XREF_ORDER)
 
 
+def exchanges(spark, df):
+    told = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [b for b in told.split("\n\n") if re.match(r"\s*\(\d+\) Exchange", b)]
+
+
+def test_lines_are_dealt_by_order_only_and_cross_references_once(spark, saved):
+    """Orders meet their customers before they meet lines, and saved cross-references lie by their field, so INDEXED_BY deals none of them again."""
+    g = Graph.load(spark, saved[0])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (sample.cross_references(spark, SF), sample.inputs(spark, SF, "target_rows")):
+            lines = [b for b in exchanges(spark, df) if "l_linenumber#" in b]
+            assert lines and all("hashpartitioning(l_orderkey#" in b for b in lines)
+        dealt = exchanges(spark, E.indexed_by(g.nodes("Field"), g.nodes("CrossReference")))
+        assert dealt and not any(c in b for b in dealt for c in ("xref_id#", "dst#"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_each_part_is_written_by_a_task_of_its_own(spark, tmp_path):
     table = Keyed(spark, str(tmp_path / "t"), ("k",), 32)
     table.upsert(spark.range(2000).select(F.col("id").alias("k"), F.lit(0).alias("at")), ["at"])
