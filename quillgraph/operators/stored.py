@@ -14,19 +14,24 @@ from ..sources.settings import shared_dir
 from .upsert import clear
 
 
-#: Spark's setting: tasks of a shuffle that names no number.
-TASKS = "spark.sql.shuffle.partitions"
+#: Spark's settings: tasks of a shuffle that names no number, and up to which size adaptive reads join shares of a shuffle.
+TASKS, JOINED = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+#: Bytes, as compressed, that a task takes of joined shares: in memory they are many times as large.
+SHARE = 16 << 20
 
 
 @contextmanager
 def dealt_to(spark: SparkSession, tasks: int) -> Iterator[None]:
-    """What is written meanwhile has so many tasks in its shuffles, if the session has fewer."""
-    before = spark.conf.get(TASKS)
-    spark.conf.set(TASKS, str(max(int(before), tasks)))
+    """What is written meanwhile has so many tasks in its shuffles, if the session has fewer, and shares are joined up to SHARE, if the session goes further."""
+    before = {c: spark.conf.get(c) for c in (TASKS, JOINED)}
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[JOINED])
+    spark.conf.set(TASKS, str(max(int(before[TASKS]), tasks)))
+    spark.conf.set(JOINED, f"{min(size, SHARE)}b")
     try:
         yield
     finally:
-        spark.conf.set(TASKS, before)
+        for c, was in before.items():
+            spark.conf.set(c, was)
 
 
 class Rounds:

@@ -12,7 +12,7 @@ from quillgraph import registry
 from quillgraph.operators import edges as E
 from quillgraph.operators import records as R
 from quillgraph.operators.keyed import Keyed
-from quillgraph.operators.stored import TASKS
+from quillgraph.operators.stored import JOINED, SHARE, TASKS, dealt_to
 from quillgraph.operators.upsert import last_by_key
 from quillgraph.plans import build, sample
 from quillgraph.plans.graph import Graph, Saving, saved_rows
@@ -246,6 +246,21 @@ def test_each_part_is_written_by_a_task_of_its_own(spark, tmp_path):
     assert len(files) == 32 == len({os.path.basename(f).split("-")[1] for f in files})
 
 
+def test_shares_are_joined_up_to_a_size_only(spark, tmp_path, monkeypatch):
+    """What is dealt to more tasks isn't joined again to large shares, in a stream's batches either; a session that joins less stays as it is."""
+    before, seen, take = spark.conf.get(JOINED), [], KeptRecords.take
+    monkeypatch.setattr(KeptRecords, "take", lambda self, batch, number=0: seen.append(batch.sparkSession.conf.get(JOINED)) or take(self, batch, number))
+    registry.QUERIES["fields_from_stream"](spark, SF)
+    assert {*seen} == {f"{SHARE}b"} and spark.conf.get(JOINED) == before
+    spark.conf.set(JOINED, "16k")
+    try:
+        with dealt_to(spark, 8):
+            assert spark.conf.get(JOINED) == f"{16 << 10}b" and spark.conf.get(TASKS) == "8"
+        assert spark.conf.get(JOINED) == "16k"
+    finally:
+        spark.conf.set(JOINED, before)
+
+
 def test_streams_of_larger_tables_have_more_tasks(spark, tmp_path, monkeypatch):
     """The export is laid out, and its records are kept and asked, by as many tasks as the tables are large."""
     tables = str(shutil.copytree(SF, tmp_path / "sf"))
