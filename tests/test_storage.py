@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from quillgraph import registry
 from quillgraph.operators import edges as E
 from quillgraph.operators import records as R
+from quillgraph.operators import stored
 from quillgraph.operators.keyed import Keyed
-from quillgraph.operators.stored import JOINED, SHARE, TASKS, dealt_to
+from quillgraph.operators.stored import BY_SPLITS, FILTERED, JOINED, READ, SHARE, SPLIT, TASKS, TOLD_BY, dealt_to
 from quillgraph.operators.upsert import last_by_key
 from quillgraph.plans import build, sample
 from quillgraph.plans.graph import Graph, Saving, saved_rows
@@ -21,6 +22,7 @@ from quillgraph.sources import commits
 from quillgraph.sources.exports import line_place, parse_lines, read_packages
 from quillgraph.streaming.records import KEYS, KeptRecords, stream_lines
 
+from .conftest import same_rows
 from .test_records import EXPORT
 
 SF = "/root/testdata/sf0.001"
@@ -276,3 +278,34 @@ def test_streams_of_larger_tables_have_more_tasks(spark, tmp_path, monkeypatch):
         assert laid == [("lines", n)] and int(n) > int(before) and {*kept, *dealt} == {str(len(registry._files(spark, sample.export_files(spark, tables))))} and dealt
         assert sorted(map(repr, got.collect())) == sorted(map(repr, registry.QUERIES[f"{kind}_from_lines"](spark, tables).distinct().collect()))
     assert spark.conf.get(TASKS) == before
+
+
+def test_a_load_reads_and_writes_by_bounded_shares(spark, saved):
+    session = {c: spark.conf.get(c) for c in (READ, BY_SPLITS, FILTERED, TOLD_BY)}
+    held = Graph.load(spark, saved[0])
+    lies = E.contains_field(held.nodes("File"), held.nodes("Field")).repartition(4, "dst")  # as its fields do: no exchange, a task for each bucket
+    told = lambda df: df.select("*")._jdf.queryExecution().executedPlan().toString()
+    with dealt_to(spark, 4):
+        assert spark.conf.get(READ) == f"{SPLIT}b" and "Bucketed: true" in told(lies) and "hashpartitioning(dst" not in told(lies)
+    assert {c: spark.conf.get(c) for c in session} == session
+    spark.conf.set(READ, "1m")
+    try:
+        with dealt_to(spark, 4):
+            assert spark.conf.get(READ) == f"{1 << 20}b"
+    finally:
+        spark.conf.set(READ, session[READ])
+
+
+def test_lines_that_a_join_drops_are_not_dealt(spark, monkeypatch):
+    rows = lambda: sample.inputs(spark, SF, "target_rows")
+    plain = rows().toPandas()
+    monkeypatch.setattr(stored, "LARGE", 1)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        with dealt_to(spark, 4):
+            asked = rows()
+            assert "might_contain" in asked._jdf.queryExecution().executedPlan().toString()
+            assert len(plain) > 1000 and same_rows(asked.toPandas(), plain, [*plain.columns])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
