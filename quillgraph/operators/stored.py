@@ -19,13 +19,15 @@ TASKS, JOINED, READ = "spark.sql.shuffle.partitions", "spark.sql.adaptive.adviso
 #: Whether tables in buckets are read by splits where no join asks for the buckets; from which size of a table on a join with few rows tells it by a Bloom filter
 #: which of its rows to deal, and up to which size of these rows' table.
 BY_SPLITS = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-FILTERED, TOLD_BY = (f"spark.sql.optimizer.runtime.bloomFilter.{c}Threshold" for c in ("applicationSideScanSize", "creationSide"))
+FILTERED, TOLD_BY, ITEMS, BITS = (f"spark.sql.optimizer.runtime.bloomFilter.{c}" for c in ("applicationSideScanSizeThreshold", "creationSideThreshold", "expectedNumItems", "numBits"))
 #: Bytes, as compressed, that a task takes of joined shares: in memory they are many times as large.
 SHARE = 16 << 20
 #: Bytes of a file that a task reads: a shuffle to more than 200 tasks holds a task's rows in memory until they are dealt, many times as large as in the file.
 SPLIT = 8 << 20
 #: Bytes of a table whose rows are asked for by a filter before they are dealt.
 LARGE = 64 << 20
+#: Keys and bits of such a filter, Spark's limits: 8 MB, of which a session makes 1 MB by default, full at some million keys.
+KEYS, WIDE = 4_000_000, 1 << 26
 
 
 @contextmanager
@@ -34,8 +36,8 @@ def dealt_to(spark: SparkSession, tasks: int) -> Iterator[None]:
     the session goes further. Saved frames are read by buckets, so what lies as it is to be written is written by a task for each bucket, and rows of a
     large table that a join drops are not dealt, but for those that a Bloom filter lets through."""
     size = lambda c, most: f"{min(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[c]), most)}b"
-    before = {c: spark.conf.get(c) for c in (TASKS, JOINED, READ, BY_SPLITS, FILTERED, TOLD_BY)}
-    meanwhile = {TASKS: str(max(int(before[TASKS]), tasks)), JOINED: size(JOINED, SHARE), READ: size(READ, SPLIT), BY_SPLITS: "false", FILTERED: size(FILTERED, LARGE), TOLD_BY: "1t"}
+    before = {c: spark.conf.get(c) for c in (TASKS, JOINED, READ, BY_SPLITS, FILTERED, TOLD_BY, ITEMS, BITS)}
+    meanwhile = {TASKS: str(max(int(before[TASKS]), tasks)), JOINED: size(JOINED, SHARE), READ: size(READ, SPLIT), BY_SPLITS: "false", FILTERED: size(FILTERED, LARGE), TOLD_BY: "1t", ITEMS: str(KEYS), BITS: str(WIDE)}
     for c, now in meanwhile.items():
         spark.conf.set(c, now)
     try:
