@@ -50,6 +50,8 @@ ROUND_DOCS = 20_000
 #: Tasks that add up the weights of a round; words that a worker keeps.
 ADDERS, KEPT = 16, 500_000
 ONES = np.ones(64, np.float32)
+#: Logits of less are told by exp as they are.
+SAFE = 40
 #: Key of the one end token among words.
 END = np.uint64(0)
 #: What the first pass tells: counts of words, counts of ids, held-out documents, and from there on the rounds of training documents.
@@ -108,27 +110,31 @@ class Attention:
         return self
 
     def ready(self) -> Attention:
-        """What scoring would compute again and again: query, the row itself, key and value of every input row, and additions to logits."""
+        """What scoring would compute again and again: query, the row itself and value of every input row, and additions to logits."""
         w = self.w
-        self.table = np.concatenate([w["emb"] @ (w["q"] * np.float32(WIDTH**-0.5)), w["emb"], w["emb"] @ w["k"], w["emb"] @ w["v"]], 1)
+        self.table = np.concatenate([w["emb"] @ self.asked(), w["emb"], w["emb"] @ w["v"]], 1)
         self.bias = self.near(np.arange(STRIDE))[0]
         return self
 
+    def asked(self) -> np.ndarray:
+        """Query and key in one: makes queries that meet the input rows themselves, which spares the keys."""
+        return (self.w["q"] @ self.w["k"].T) * np.float32(WIDTH**-0.5)
+
     def near(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Addition to logits of target positions `at` of the later half: by distance; nothing comes later."""
         dist = (STRIDE + at)[:, None] - np.arange(WINDOW)[None, :]
         return np.where(dist >= 0, self.w["near"][np.maximum(dist, 0)], np.float32(-1e4)), dist
 
-    def attend(self, q: np.ndarray, kv: np.ndarray, bias: np.ndarray, opens: np.ndarray, step: int = 1) -> tuple[np.ndarray, ...]:
-        """Attention, not yet divided by its sums, with the sums; keys and values of each window. A window begins every `step` blocks."""
+    def attend(self, q: np.ndarray, kv: np.ndarray, bias: np.ndarray, opens: np.ndarray, step: int = 1, out: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """Attention (in out, if given), not yet divided by its sums, with the sums; keys and values of each window (the same if kv has one WIDTH only). A
+        window begins every `step` blocks."""
         n = len(q)
         win = as_strided(kv, (n, WINDOW, kv.shape[2]), (step * STRIDE * kv.strides[1], kv.strides[1], kv.strides[2]))
-        key, value = win[:, :, :WIDTH], win[:, :, WIDTH:]
-        e = q @ key.transpose(0, 2, 1)
+        key, value = win[:, :, :WIDTH], win[:, :, -WIDTH:]
+        e = np.matmul(q, key.transpose(0, 2, 1), out=out)
         e += bias
         e[opens, :, :STRIDE] = -1e4
-        e -= e.max(2, keepdims=True)
-        np.exp(e, out=e)
+        np.exp(level(e, STRIDE), out=e)
         return e, e @ ONES[:WINDOW], key, value
 
     def up(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,107 +143,110 @@ class Attention:
         f = z @ w["a"]
         f += w["ab"]
         np.maximum(f, 0, out=f)
-        return f, z + f @ w["b"]
+        u = f @ w["b"]
+        u += z
+        return f, u
+
+    def heads(self, u: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of rows in the order of their classes: u with a column of ones, the weights that it meets, the logits of the class and (of rows whose class has
+        places) of the place, and each class with its rows."""
+        w = self.w
+        u = np.concatenate([u, np.ones((len(u), 1), u.dtype)], 1)
+        w1, w2 = np.vstack([w["one"], w["one_b"]]), np.concatenate([w["two"], w["two_b"][:, None]], 1)
+        cut = np.append(0, np.bincount(of, minlength=GROUPS + 1).cumsum()).tolist()
+        parts = [(k, slice(cut[k], cut[k + 1])) for k in range(GROUPS) if cut[k] < cut[k + 1]]
+        two = np.empty((cut[GROUPS], GROUP), u.dtype)
+        for k, part in parts:
+            np.matmul(u[part], w2[k], out=two[part])
+        return u, w1, w2, level(u @ w1), level(two), parts
 
     def log_prob(self, rows: np.ndarray, opens: np.ndarray, cls: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Log-probability of the target at each place of the later blocks; rows: blocks + 1."""
-        w = self.w
         g = self.table.take(rows, 0)
-        e, total, _, value = self.attend(g[1:, :, :WIDTH], g[:, :, 2 * WIDTH :], self.bias, opens)
+        e, total, _, value = self.attend(g[1:, :, :WIDTH], g[:, :, WIDTH:], self.bias, opens)
         z = e @ value
         z /= total[:, :, None]
         z += g[1:, :, WIDTH : 2 * WIDTH]
-        _, u = self.up(z.reshape(-1, WIDTH))
-        one = u @ w["one"]
-        one += w["one_b"]
-        one -= one.max(1, keepdims=True)
-        out = one.ravel().take(np.arange(0, one.size, GROUPS + 1) + cls)
-        np.exp(one, out=one)
-        out -= np.log(one @ ONES[: GROUPS + 1])
         order = np.argsort(cls, kind="stable")
-        us = u.take(order, 0)
-        cut = np.bincount(cls, minlength=GROUPS + 1).cumsum()
-        m = cut[GROUPS - 1]
-        two = np.empty((m, GROUP), np.float32)
-        i = 0
-        for c, j in enumerate(cut[:GROUPS].tolist()):
-            if i < j:
-                np.matmul(us[i:j], w["two"][c], out=two[i:j])
-                two[i:j] += w["two_b"][c]
-            i = j
-        two -= two.max(1, keepdims=True)
-        more = two.ravel().take(np.arange(0, two.size, GROUP) + place.take(order[:m]))
-        np.exp(two, out=two)
-        more -= np.log(two @ ONES[:GROUP])
-        out[order[:m]] += more
+        of = cls.take(order)
+        _, u = self.up(z.reshape(-1, WIDTH).take(order, 0))
+        _, _, _, one, two, _ = self.heads(u, of)
+        log = one.ravel().take(np.arange(0, one.size, GROUPS + 1) + of)
+        log -= np.log(np.exp(one, out=one) @ ONES[: GROUPS + 1])
+        m = len(two)
+        log[:m] += two.ravel().take(np.arange(0, two.size, GROUP) + place.take(order[:m]))
+        log[:m] -= np.log(np.exp(two, out=two) @ ONES[:GROUP])
+        out = np.empty_like(log)
+        out[order] = log
         return out
 
     def gradient(self, rows: np.ndarray, opens: np.ndarray, real: np.ndarray, cls: np.ndarray, place: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-likelihood. Windows of two blocks each, one after the other: rows (2 * windows x STRIDE) of inputs; of the later
         blocks (windows x STRIDE) whether they open a text, targets that are real, their classes and places; at: the places that are targets now."""
         w, d, scale = self.w, WIDTH, np.float32(WIDTH**-0.5)
-        emb = w["emb"]
-        tq, tkv = np.concatenate([emb @ (w["q"] * scale), emb], 1), np.concatenate([emb @ w["k"], emb @ w["v"]], 1)
-        late = np.ascontiguousarray(rows[1::2, at])
-        n, t = late.shape
-        qx, kv = tq.take(late, 0), tkv.take(rows, 0)
-        q = qx[:, :, :d]
-        bias, dist = self.near(at)
-        e, total, key, value = self.attend(q, kv, bias, opens, 2)
-        e /= total[:, :, None]
-        z = e @ value
-        z += qx[:, :, d:]
-        ok = real[:, at].ravel().astype(np.float32)
-        z = z.reshape(-1, d)
-        f, u = self.up(z)
-        c, p = cls[:, at].ravel(), place[:, at].ravel()
-        ok /= max(ok.sum(), 1)
-        one = u @ w["one"] + w["one_b"]
-        one -= one.max(1, keepdims=True)
-        np.exp(one, out=one)
-        one /= (one @ ONES[: GROUPS + 1])[:, None]
-        one[np.arange(len(u)), c] -= 1
-        one *= ok[:, None]
-        g = {"one": u.T @ one, "one_b": one.sum(0)}
-        du = one @ w["one"].T
+        n, t = len(real), len(at)
+        (bias, dist), asked = self.near(at), self.asked()
+        at = slice(None) if t == STRIDE else at
+        x = w["emb"].take(rows, 0)
+        late = x[1::2, at].reshape(-1, d)
+        # what goes back to a window's rows is one product: by the change of logits from the queries, by attention from the change of values
+        by, of = np.empty((n, 2 * t, WINDOW), x.dtype), np.empty((n, 2 * t, d), x.dtype)
+        q, own, dp = of[:, :t], of[:, t:], by[:, :t]
+        q[:] = (late @ asked).reshape(n, t, d)
+        e, total, key, _ = self.attend(q, x, bias, opens, 2, by[:, t:])
+        part_of = 1 / total[:, :, None]
+        met = e @ key  # the input rows that each target attends to, before they are values
+        met *= part_of
+        c = cls[:, at].ravel()
         order = np.argsort(c, kind="stable")
-        us, ps, oks = u[order], p[order], ok[order]
-        g["two"], g["two_b"] = np.zeros_like(w["two"]), np.zeros_like(w["two_b"])
-        ds = np.zeros_like(us)
-        i = 0
-        for k, j in enumerate(np.bincount(c, minlength=GROUPS + 1).cumsum()[:GROUPS].tolist()):
-            if i < j:
-                s = us[i:j] @ w["two"][k]
-                s += w["two_b"][k]
-                s -= s.max(1, keepdims=True)
-                np.exp(s, out=s)
-                s /= (s @ ONES[:GROUP])[:, None]
-                s[np.arange(j - i), ps[i:j]] -= 1
-                s *= oks[i:j, None]
-                g["two"][k], g["two_b"][k] = us[i:j].T @ s, s.sum(0)
-                ds[i:j] = s @ w["two"][k].T
-            i = j
-        du[order] += ds
-        g["b"] = f.T @ du
-        df = (du @ w["b"].T) * (f > 0)
-        g["a"], g["ab"] = z.T @ df, df.sum(0)
-        dz = (du + df @ w["a"].T).reshape(n, t, d)
-        dp = dz @ value.transpose(0, 2, 1)
-        dp -= ((dp * e) @ ONES[:WINDOW])[:, :, None]
+        c, p, ok = c.take(order), place[:, at].ravel().take(order), real[:, at].ravel().take(order).astype(x.dtype)
+        ok /= max(ok.sum(), 1)
+        z = met.reshape(-1, d) @ w["v"]
+        z += late
+        z = z.take(order, 0)
+        f, u = self.up(z)
+        u, w1, w2, one, two, parts = self.heads(u, c)
+        m = len(two)
+        for s, target in ((one, c), (two, p[:m])):
+            np.exp(s, out=s)
+            s *= (ok[: len(s)] / (s @ ONES[: s.shape[1]]))[:, None]
+            s.reshape(-1)[np.arange(0, s.size, s.shape[1]) + target] -= ok[: len(s)]
+        g1, g2 = (one.T @ u).T, np.zeros((GROUPS, GROUP, d + 1), x.dtype)  # the wider factor first: BLAS is faster so
+        du, ds = one @ w1[:d].T, np.empty((m, d), x.dtype)
+        for k, part in parts:
+            np.matmul(two[part].T, u[part], out=g2[k])
+            np.matmul(two[part], w2[k, :d].T, out=ds[part])
+        du[:m] += ds
+        g = {"one": g1[:d], "one_b": g1[d], "two": g2[:, :, :d].transpose(0, 2, 1), "two_b": g2[:, :, d], "b": (du.T @ f).T}
+        df = du @ w["b"].T
+        df *= f > 0
+        g["a"], g["ab"] = z.T @ df, np.ones(len(df), x.dtype) @ df
+        du += df @ w["a"].T
+        dz = np.empty_like(du)
+        dz[order] = du
+        g["v"] = met.reshape(-1, d).T @ dz
+        np.multiply((dz @ w["v"].T).reshape(n, t, d), part_of, out=own)
+        np.matmul(own, key.transpose(0, 2, 1), out=dp)
+        dp -= ((own * met) @ ONES[:d])[:, :, None]
         dp *= e
         g["near"] = np.bincount(np.maximum(dist, 0).ravel(), np.where(dist >= 0, dp.sum(0), 0).ravel(), WINDOW).astype(np.float32)
-        dqx = np.concatenate([dp @ key, dz], 2)
-        dkv = np.empty((n, WINDOW, 2 * d), np.float32)
-        dkv[:, :, :d] = dp.transpose(0, 2, 1) @ q
-        dkv[:, :, d:] = e.transpose(0, 2, 1) @ dz
-        gkv = scatter(rows.ravel(), dkv.reshape(-1, 2 * d), len(emb))
-        gqx = scatter(late.ravel(), dqx.reshape(-1, 2 * d), len(emb))
-        gq, gx, gk, gv = gqx[:, :d] * scale, gqx[:, d:], gkv[:, :d], gkv[:, d:]
-        g["emb"] = gx + gq @ w["q"].T + gk @ w["k"].T + gv @ w["v"].T
-        g["q"], g["k"], g["v"] = emb.T @ gq, emb.T @ gk, emb.T @ gv
+        dq = (dp @ key).reshape(-1, d)
+        dx = (by.transpose(0, 2, 1) @ of).reshape(x.shape)
+        dz += dq @ asked.T
+        dx[1::2, at] += dz.reshape(n, t, d)
+        g["emb"] = scatter(rows.ravel(), dx.reshape(-1, d), len(w["emb"]))
+        dm = (late.T @ dq) * scale
+        g["q"], g["k"] = dm @ w["k"], dm.T @ w["q"]
         return g
 
 
+def level(x: np.ndarray, sure: int = 0) -> np.ndarray:
+    """Logits, less the largest of each row where any exp could overflow or a row's could all vanish; sure: a place where each row's logit is not masked."""
+    if x.size and not (x.max() < SAFE and x[..., sure].min() > -SAFE):
+        x -= x.max(-1, keepdims=True)
+    return x
+
+
 def scatter(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sums of rows by at."""
     order = np.argsort(at.astype(np.int16), kind="stable")
@@ -251,16 +260,25 @@ def scatter(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 class Adam:
     def __init__(self, model: Attention, rate: float):
         self.model, self.rate, self.t = model, rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in model.w.items()}
-        self.s = {k: np.zeros_like(v) for k, v in model.w.items()}
+        self.m, self.s, self.by = ({k: np.zeros_like(v) for k, v in model.w.items()} for _ in range(3))
 
     def step(self, g: dict[str, np.ndarray]) -> None:
         self.t += 1
-        c1, c2 = np.float32(1 / (1 - 0.9**self.t)), np.float32(1 / (1 - 0.98**self.t))
+        c1, c2 = 1 / (1 - 0.9**self.t), 1 / (1 - 0.98**self.t)
         for k, x in g.items():
-            self.m[k] += np.float32(0.1) * (x - self.m[k])
-            self.s[k] += np.float32(0.02) * (x * x - self.s[k])
-            self.model.w[k] -= np.float32(self.rate) * (self.m[k] * c1) / (np.sqrt(self.s[k] * c2) + np.float32(1e-8))
+            m, s, by = self.m[k], self.s[k], self.by[k]
+            np.subtract(x, m, out=by)
+            by *= np.float32(0.1)
+            m += by
+            np.multiply(x, x, out=by)
+            by -= s
+            by *= np.float32(0.02)
+            s += by
+            np.sqrt(s, out=by)
+            by += np.float32(1e-8 / math.sqrt(c2))
+            np.divide(m, by, out=by)
+            by *= np.float32(self.rate * c1 / math.sqrt(c2))
+            self.model.w[k] -= by
 
 
 def blocks(kinds: Classes, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

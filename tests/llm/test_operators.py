@@ -526,6 +526,43 @@ def test_gradient():
             assert grads[name][where] == pytest.approx(slope, rel=2e-3, abs=1e-5), name
 
 
+def test_a_step_sums_each_input_row_once(monkeypatch):
+    """What goes back to the input table is one row of WIDTH numbers for each input, not one for each of query, row, key and value."""
+    r, n, kinds, model = _toy(4, 0.2)
+    rows, target, _, opens = scoring.blocks(kinds, r.integers(0, n, 400), np.array([150, 250]))
+    rows, target, opens = rows[: len(rows) // 2 * 2], target[: len(rows) // 2 * 2], opens[: len(rows) // 2 * 2]
+    some, summed, scatter = np.maximum(target, 0), [], scoring.scatter
+
+    def counted(at, values, size):
+        summed.append(values.size)
+        return scatter(at, values, size)
+
+    monkeypatch.setattr(scoring, "scatter", counted)
+    model.gradient(rows, opens[1::2], (target >= 0)[1::2], kinds.of[some][1::2], kinds.place[some][1::2], np.arange(scoring.STRIDE))
+    assert sum(summed) == rows.size * scoring.WIDTH
+
+
+def test_logits_are_levelled_only_where_exp_needs_it():
+    """Exp is taken of logits as they are, without a pass for each row's largest, and of large or vanishing ones less that; scores are the same."""
+    r, n, kinds, model = _toy(5, 0.3)
+    q, kv, opens = (r.normal(0, 1, s).astype(np.float32) for s in ((2, 3, scoring.WIDTH), (4, scoring.STRIDE, 2 * scoring.WIDTH), (2,)))
+    bias = model.near(np.array([1, 5, 15]))[0]
+    win = kv.reshape(2, scoring.WINDOW, -1)
+    for size, levelled in ((1, False), (100, True), (-100, True)):
+        logits = np.einsum("ntd,nsd->nts", q * np.float32(abs(size)), win[:, :, : scoring.WIDTH].astype(np.float64)) + bias + min(size, 0) * 10
+        e, total, _, _ = model.attend(q * np.float32(abs(size)), kv, bias + np.float32(min(size, 0) * 10), opens > 9, 2)
+        assert np.isfinite(e).all() and (total > 0).all()
+        assert np.allclose(e, np.exp(logits - levelled * logits.max(2, keepdims=True)), rtol=1e-2, atol=1e-5)
+    for k, by in (("one", 60), ("two", 60), ("q", 20)):
+        model.w[k] *= np.float32(by)
+    for k in ("one_b", "two_b"):
+        model.w[k] -= np.float32(200)
+    ids = r.integers(0, n, 50)
+    got = scoring.score_of(model.ready(), kinds, ids, np.array([50]))
+    want = sum(plain_log(model, kinds, ids, t)[ids[t]] for t in range(50)) / math.log(10)
+    assert got[0] == pytest.approx(want, rel=1e-3)
+
+
 def test_training_learns_order():
     """A text that always goes on the same way is soon expected to."""
     n = scoring.GROUPS * scoring.GROUP + 10
